@@ -18,9 +18,13 @@ CHOICE_SYSTEM_PROMPT = (
 
 
 def eval_items(items: DataFrame, max_items=100, order_by=None) -> DataFrame:
-    """The first `max_items` items; numbers them by `order_by` when they have no position."""
+    """The first `max_items` items.
+
+    Items without a stored position are numbered in the order of `order_by`;
+    only the top of that order is, not the whole table.
+    """
     if "item_pos" not in items.columns:
-        items = with_position(items, order_by)
+        return with_position(items.orderBy(*order_by).limit(max_items), order_by)
     return items.filter(F.col("item_pos") < max_items)
 
 

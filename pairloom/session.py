@@ -1,6 +1,5 @@
 """Session settings and the shared folder for checkpoints and scratch tables."""
 
-import os
 import tempfile
 import uuid
 
@@ -44,25 +43,25 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session may go without it, and gets a temporary folder.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if path:
         return path
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    path = tempfile.mkdtemp(prefix="pairloom-")
-    # Remembered on the context so that one session keeps one folder.
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    # Remembered on the context, so one session keeps one folder.
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="pairloom-"))
+    return context.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return os.path.join(base or shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint; survives lost executors."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
+    context = df.sparkSession.sparkContext
+    path = shared_dir(df.sparkSession)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(path)
     return df.checkpoint(eager=True)

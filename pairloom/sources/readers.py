@@ -98,3 +98,8 @@ def read_benchmark(spark, name, path, fmt="json") -> DataFrame:
     if fmt == "json":
         return read_jsonl(spark, path, schema, "fail")
     return spark.read.schema(schema).format(fmt).load(path)
+
+
+def read_results(spark, path) -> DataFrame:
+    """Stored evaluation results; filters on benchmark and model prune files."""
+    return spark.read.schema(schemas.EVAL_RESULTS).parquet(path)

@@ -3,11 +3,19 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Quotes are doubled, and whitespace at the ends of a text survives.
+CSV_OPTIONS = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+
 
 def write_pairs(df: DataFrame, path, sort=True):
     """Curated pairs as CSV with a header, ordered by question."""
     df = df.orderBy("ParentId") if sort else df
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def append_jsonl(df: DataFrame, path):
@@ -36,7 +44,7 @@ def write_verdicts(df: DataFrame, path):
 
 
 def write_comparison(df: DataFrame, path):
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def land_posts(posts: DataFrame, table, buckets):
