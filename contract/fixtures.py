@@ -6,10 +6,24 @@
 from pyspark.sql import functions as F
 
 from pairloom.session import configure
+from pairloom.sources.readers import spread
+
+
+TEXT_KEYS = {
+    "documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id", "turn"],
+}
+
+
+_tables = {}
 
 
 def table(spark, sf_dir, name):
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema and files are looked up once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _tables:
+        df = configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+        _tables[key] = spread(df, *TEXT_KEYS[name]) if name in TEXT_KEYS else df
+    return _tables[key]
 
 
 def posts(spark, sf_dir, null_bodies=False):

@@ -18,7 +18,9 @@ WS = r"[\t-\r\x1c-\x20\x85\p{Z}]"
 
 TAG = r"<[^>]+>"
 CODE_BLOCK = rf"(?s)<pre><code>{WS}*(.*?){WS}*</code></pre>"
-TOKEN = r"[^\t\n\x0b\f\r ]+"
+# Characters between tokens of the default count.
+TOKEN_GAP = "\t\n\x0b\x0c\r "
+TOKEN_AND_GAP = rf"[^{TOKEN_GAP}]++[{TOKEN_GAP}]*+"
 
 
 def strip(col) -> Column:
@@ -68,9 +70,14 @@ def token_count(col, counter=None) -> Column:
     """Tokens of a text, 0 for null or empty.
 
     `counter` maps a column to a count column (for example a pandas UDF around
-    a tokenizer); the default counts runs of non-space characters.
+    a tokenizer); the default counts runs of non-space characters. It turns each
+    run into one character and takes the length, which makes no array of tokens.
     """
-    counted = counter(col) if counter else F.regexp_count(col, F.lit(TOKEN))
+    if counter is None:
+        marks = F.regexp_replace(F.ltrim(col, F.lit(TOKEN_GAP)), TOKEN_AND_GAP, "x")
+        counted = F.length(marks)
+    else:
+        counted = counter(col)
     return F.coalesce(counted.cast("bigint"), F.lit(0).cast("bigint"))
 
 

@@ -89,13 +89,17 @@ def extract_answers(outputs: DataFrame, strict=False) -> DataFrame:
         "answer_part": A.answer_part(F.col("raw_output")),
     })
     answer = F.col("answer_part")
-    predicted = (
+    stated = (
         F.when(A.unclosed(F.col("raw_output")), F.lit(None).cast("string"))
         .when(F.col("benchmark") == A.OPEN_QA, answer)
         .when(F.col("benchmark") == A.MULTIPLE_CHOICE, A.mcq_answer(answer))
-        .otherwise(A.predicted_answer(answer, strict))
+        .otherwise(A.stated_answer(answer, strict))
     )
-    return parts.withColumn("predicted_answer", predicted)
+    # A column of its own, so the search above is not repeated below.
+    parts = parts.withColumn("_stated", stated)
+    is_number = ~F.col("benchmark").isin(A.OPEN_QA, A.MULTIPLE_CHOICE)
+    predicted = F.when(is_number, A.clean_number(F.col("_stated"))).otherwise(F.col("_stated"))
+    return parts.withColumn("predicted_answer", predicted).drop("_stated")
 
 
 def score_outputs(outputs: DataFrame, items: DataFrame, counter=None, strict=False) -> DataFrame:

@@ -32,6 +32,8 @@ def local_session(cores="*", shuffle_partitions=8, memory="8g") -> SparkSession:
         .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # Recording a call site for every column expression slows plan building.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -27,6 +27,16 @@ def read_rows(spark: SparkSession, path, fields, row_per_line=True) -> DataFrame
     return rows.select(*[_typed(name) for name in fields])
 
 
+def spread(df: DataFrame, *keys) -> DataFrame:
+    """Use all cores on a table that arrives in fewer tasks than there are cores.
+
+    A file of one row group is one task, however much work its rows need. Large
+    tables have more tasks than cores and are returned as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
+
+
 def _typed(name):
     column = F.col(f"_{name}")
     return (column.try_cast("bigint") if name in schemas.BIGINT_FIELDS else column).alias(name)
