@@ -157,4 +157,4 @@ def compare_models(base: DataFrame, tuned: DataFrame) -> DataFrame:
         "item_pos", "question",
         *[f"{p}_{c}" for p in ("base", "ft") for c in ("correct", "think_tokens", "ans_tokens", "time")],
     )
-    return report.limit(0) if base.isEmpty() or tuned.isEmpty() else report
+    return report.filter(base.limit(1).exists() & tuned.limit(1).exists())

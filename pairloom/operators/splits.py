@@ -4,36 +4,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions.text import draw_hash
+from pairloom.operators.ordered import HOT_ROWS, with_position
+from pairloom.session import materialize
 
-# Up to this size the evaluation keys are broadcast to take them out of the rest.
-BROADCAST_EVAL_ROWS = 100_000
+# Up to this size the evaluation rows are a top-k, and their keys are broadcast.
+TOP_K_ROWS = 100_000
 
 
-def split_exact(df: DataFrame, key, eval_size=10, seed=42):
+def split_exact(df: DataFrame, key, eval_size=10, seed=42, top_k_rows=TOP_K_ROWS):
     """`(train, eval)`: `eval_size` rows with the lowest hash draws, and the rest.
 
     Together they are `df`, copies included. Raises ValueError when no row would
-    be left for training. The evaluation set is a top-k; the rest is found
-    without a sort of the table.
+    be left for training.
     """
     if df.select(F.lit(1)).limit(eval_size + 1).count() <= eval_size:
         raise ValueError(f"need more than {eval_size} rows to split")
-    # The other columns order copies of one key, so both results agree on them.
-    others = [c for c in df.columns if c != key]
-    held_out = (
-        df.withColumn("_draw", draw_hash(F.col(key), seed, "split"))
-        .orderBy("_draw", key, *others)
-        .limit(eval_size)
-        .drop("_draw")
-    )
-    keys = held_out.select(F.col(key).alias("_held")).distinct()
-    if eval_size <= BROADCAST_EVAL_ROWS:
-        keys = F.broadcast(keys)
+    drawn = df.withColumn("_draw", draw_hash(F.col(key), seed, "split"))
+    # The other columns order the copies of one key.
+    order = ["_draw", key, *[c for c in df.columns if c != key]]
+    if eval_size > top_k_rows:
+        return _split_by_position(drawn, order, eval_size)
+
+    # Stored, so that both results are cut at the same row.
+    held_out = materialize(drawn.orderBy(*order).limit(eval_size).drop("_draw"))
+    keys = F.broadcast(held_out.select(F.col(key).alias("_held")).distinct())
     same = F.col(key).eqNullSafe(F.col("_held"))
-    untouched = df.join(keys, same, "left_anti")
-    # A key with copies may be held out in part: subtract row by row there.
-    shared = df.join(keys, same, "left_semi").exceptAll(held_out)
-    return untouched.unionByName(shared), held_out
+    train = df.join(keys, same, "left_anti")
+    # Reads the key column only. More rows than were held out: a key has copies
+    # on both sides of the cut, and the held-out ones are subtracted row by row.
+    if df.select(key).join(keys, same, "left_semi").count() > eval_size:
+        train = train.unionByName(df.join(keys, same, "left_semi").exceptAll(held_out))
+    return train, held_out
+
+
+def _split_by_position(drawn: DataFrame, order, eval_size):
+    """A large evaluation set is cut from the table in draw order, without a top-k."""
+    placed = materialize(with_position(drawn, order, "_pos", hot_rows=min(HOT_ROWS, eval_size)))
+    parts = placed.filter(F.col("_pos") >= eval_size), placed.filter(F.col("_pos") < eval_size)
+    return tuple(part.drop("_pos", "_draw") for part in parts)
 
 
 def split_summary(train: DataFrame, held_out: DataFrame) -> DataFrame:

@@ -222,12 +222,12 @@ def test_shards_are_even(spark):
 # --- splits -----------------------------------------------------------------
 
 
-def check_split(df, key, size):
-    train, held_out = split_exact(df, key, size)
+def check_split(df, key, size, **kw):
+    train, held_out = split_exact(df, key, size, **kw)
     everything = Counter(rows(df))
     assert Counter(rows(train)) + Counter(rows(held_out)) == everything
     assert held_out.count() == size
-    again = split_exact(df.repartition(3), key, size)
+    again = split_exact(df.repartition(3), key, size)  # by either way
     assert Counter(rows(again[1])) == Counter(rows(held_out))
     return train, held_out
 
@@ -254,6 +254,7 @@ def test_split_keeps_copies(spark, size):
         F.when(i % 6 == 0, F.lit(0)).otherwise(i).alias("t"),
     )
     check_split(df, "k", size)
+    check_split(df, "k", size, top_k_rows=0)
 
 
 def test_split_needs_a_row_to_train(spark):
