@@ -121,7 +121,7 @@ def ordered_text(
     def plain(part):
         if keep is not None:
             part = part.join(keep.select(*by), by, "left_semi")
-        rows = F.array_sort(F.collect_list(F.struct(*order)))
+        rows = F.sort_array(F.collect_list(F.struct(*order)))
         texts = F.transform(rows, lambda row, i: line(lambda c: row[c], i + 1))
         return part.groupBy(*by).agg(F.array_join(texts, "").alias(name))
 
@@ -134,7 +134,9 @@ def ordered_text(
     else:
         hot_kept = hot
     large = _only(df, hot_kept, by, "left_semi")
-    numbered = running_total(large, by, order, F.lit(1), _NUMBER, hot_rows=0, slices=slices)
+    numbered = _sliced_total(
+        large, by, [F.col(c) for c in order], F.lit(1), _NUMBER, slices
+    )
     lines = numbered.select(
         *by, F.col(_NUMBER), line(F.col, F.col(_NUMBER)).alias("_line")
     )
@@ -145,7 +147,7 @@ def _assemble(lines: DataFrame, by, name) -> DataFrame:
     """Numbered lines to texts in two steps: segments of lines, then segments."""
 
     def glue(df, keys, number, text, out):
-        rows = F.array_sort(F.collect_list(F.struct(number, text)))
+        rows = F.sort_array(F.collect_list(F.struct(number, text)))
         return df.groupBy(*keys).agg(
             F.array_join(F.transform(rows, lambda row: row[text]), "").alias(out)
         )

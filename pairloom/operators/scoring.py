@@ -123,17 +123,24 @@ def union_models(base: DataFrame, tuned: DataFrame) -> DataFrame:
     return named.unionByName(tuned.withColumn("model", F.lit("ft")))
 
 
-def model_summary(results: DataFrame, by=("model",)) -> DataFrame:
-    """Accuracy in percent over scored items, and mean tokens and seconds."""
+def model_summary(results: DataFrame, by=("model",), models=None) -> DataFrame:
+    """Accuracy in percent over scored items, and mean tokens and seconds.
+
+    Models named in `models` are reported with zeros when they have no results.
+    """
     def mean(col):
         return F.coalesce(F.avg(col), F.lit(0.0))
 
-    return results.groupBy(*by).agg(
+    summary = results.groupBy(*by).agg(
         (mean(F.col("is_correct").cast("int")) * 100).alias("accuracy"),
         mean("thinking_tokens").alias("avg_thinking_tokens"),
         mean("answer_tokens").alias("avg_answer_tokens"),
         mean("time_seconds").alias("avg_time_seconds"),
     )
+    if models is None:
+        return summary
+    named = results.sparkSession.createDataFrame([(m,) for m in models], "model string")
+    return named.join(summary, "model", "left").fillna(0.0)
 
 
 def compare_models(base: DataFrame, tuned: DataFrame) -> DataFrame:

@@ -14,10 +14,19 @@ def model_results(results: DataFrame, model) -> DataFrame:
 def reports(results: DataFrame):
     """`(summary, comparison)` of the models `base` and `ft`."""
     base, tuned = model_results(results, "base"), model_results(results, "ft")
-    return model_summary(results), compare_models(base, tuned)
+    return model_summary(results, models=("base", "ft")), compare_models(base, tuned)
 
 
-def judge_requests(results: DataFrame, verdicts: DataFrame = None, seed=42) -> DataFrame:
-    """Blind judge requests for pairs without a stored verdict."""
-    pairs = judge_pairs(model_results(results, "base"), model_results(results, "ft"), seed)
+def judge_requests(
+    results: DataFrame, verdicts: DataFrame = None, seed=42, expected=None
+) -> DataFrame:
+    """Blind judge requests for pairs without a stored verdict.
+
+    With `expected` there are none until both models have that many results.
+    """
+    base, tuned = model_results(results, "base"), model_results(results, "ft")
+    pairs = judge_pairs(base, tuned, seed)
+    if expected is not None:
+        for side in (base, tuned):
+            pairs = pairs.filter(side.agg(F.count(F.lit(1))).scalar() >= expected)
     return pairs if verdicts is None else judge_pending(pairs, verdicts)

@@ -399,7 +399,8 @@ def test_reports(spark):
     assert got == [
         (1, "qbase1", True, None), (2, "qbase2", False, 2), (3, "qbase3", None, None), (4, None, None, 4)
     ]
-    alone = reports(df.filter("model = 'ft'"))[1]
+    one, alone = reports(df.filter("model = 'ft'"))
+    assert rows(one, "model")[0] == ("base", 0.0, 0.0, 0.0, 0.0)
     assert alone.count() == 0 and alone.columns == comparison.columns
     both = scoring.union_models(df.filter("model = 'base'"), df.filter("model = 'ft'"))
     assert Counter(rows(both.select("model", "item_pos"))) == Counter(rows(df.select("model", "item_pos")))
@@ -432,7 +433,8 @@ def test_judging(spark):
     base[0], tuned[1] = result("base", 0, answer=""), result("ft", 1, answer=None)
     results = spark.createDataFrame(base + tuned, RESULTS)
     pairs = judge_requests(results)
-    assert pairs.count() == 36
+    assert pairs.count() == judge_requests(results, expected=38).count() == 36
+    assert judge_requests(results, expected=39).count() == 0
     for r in pairs.collect():
         first = "t" if r["model_a"] == "Fine-Tuned" else "b"
         assert r["answer_a"] == f"{first}{r['item_pos']}" and r["model_a"] != r["model_b"]
@@ -452,3 +454,32 @@ def test_judging(spark):
     assert judge_requests(results, records).count() == 0
     empty = judging.judge_rates(records.limit(0)).first()
     assert empty["total"] == 0 and empty["ft_won_rate"] == 0.0
+
+
+# --- skew -------------------------------------------------------------------
+
+
+def test_hot_key_of_a_join_is_split(spark):
+    answers = spark.range(60_000).select(
+        F.col("id").alias("Id"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("ParentId"),
+        F.sha2(F.col("id").cast("string"), 512).alias("Body"),
+    )
+    good = spark.range(0, 60_000, 2).withColumnRenamed("id", "Id")
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in low}
+    for k, v in low.items():
+        spark.conf.set(k, v)
+    try:
+        kept = votes.answers_of_good_questions(answers, good)
+        assert len(kept.collect()) == 20_000 + 20_000
+        assert "skew" in kept._jdf.queryExecution().executedPlan().toString().lower()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
