@@ -19,7 +19,7 @@ _tables = {}
 
 def table(spark, sf_dir, name):
     """A given table; its schema and files are looked up once per session."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (id(spark), sf_dir, name)
     if key not in _tables:
         df = configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
         _tables[key] = spread(df, *TEXT_KEYS[name]) if name in TEXT_KEYS else df

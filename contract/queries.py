@@ -10,7 +10,7 @@ from pairloom.functions.text import clean_html
 from pairloom.operators import judging, requests, responses, scoring, splits, training, votes
 from pairloom.operators.ordered import with_position
 from pairloom.plans.curate import curate_pairs
-from pairloom.plans.enrich import enrich_requests, trace_requests
+from pairloom.plans.enrich import enrich_request_parts, enrich_requests, trace_requests
 from pairloom.plans.evaluate import judge_requests
 from pairloom.plans.train import even_shard
 from pairloom.session import scratch_path
@@ -174,6 +174,11 @@ def comment_block(spark, d):
     return requests.comment_block(fx.comments(spark, d))
 
 
+@query
+def comment_parts(spark, d):
+    return requests.comment_parts(fx.comments(spark, d), part_rows=20)
+
+
 @query
 def clean_html_(spark, d):
     pages = fx.table(spark, d, "pages")
@@ -188,6 +193,14 @@ def enrich_requests_(spark, d):
     )
 
 
+@query
+def enrich_request_parts_(spark, d):
+    return enrich_request_parts(
+        fx.pairs(spark, d), fx.posts(spark, d), fx.comments(spark, d),
+        processed=fx.processed(spark, d), part_rows=20,
+    )
+
+
 @query
 def trace_requests_(spark, d):
     return trace_requests(fx.enriched(spark, d), processed=fx.processed(spark, d))
@@ -303,6 +316,11 @@ def chat_serialize(spark, d):
     return training.serialize_turns(fx.table(spark, d, "conversations"))
 
 
+@query
+def turn_parts(spark, d):
+    return training.turn_parts(fx.table(spark, d, "conversations"), part_rows=3)
+
+
 @query
 def supervised_tokens(spark, d):
     return training.supervised_turns(fx.table(spark, d, "conversations"))

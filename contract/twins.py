@@ -153,10 +153,14 @@ CTES = {
     "comments": r"""SELECT user_id * 4 AS PostId,
         CASE WHEN event_type <> 'error' THEN regexp_extract(props, '(\d+)', 1)::BIGINT END AS Score,
         props AS Text, strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS CreationDate FROM events""",
-    "blocks": """SELECT PostId, string_agg('[comment_' || n::VARCHAR || '] (score='
-        || coalesce(Score::VARCHAR, 'None') || '): ' || coalesce(Text, 'None') || chr(10), '' ORDER BY n)
-        AS comment_block FROM (SELECT *, row_number() OVER (PARTITION BY PostId
-        ORDER BY CreationDate, Text, Score NULLS FIRST) AS n FROM comments) GROUP BY PostId""",
+    "lines": """SELECT PostId, n, '[comment_' || n::VARCHAR || '] (score='
+        || coalesce(Score::VARCHAR, 'None') || '): ' || coalesce(Text, 'None') || chr(10) AS line
+        FROM (SELECT *, row_number() OVER (PARTITION BY PostId
+        ORDER BY CreationDate, Text, Score NULLS FIRST) AS n FROM comments)""",
+    "blocks": """SELECT PostId, string_agg(line, '' ORDER BY n) AS comment_block
+        FROM lines GROUP BY PostId""",
+    "comment_parts": """SELECT PostId, (n - 1) // 20 AS part, string_agg(line, '' ORDER BY n)
+        AS comment_block FROM lines GROUP BY ALL""",
     "pairs": "SELECT ParentId, Id FROM posts WHERE PostTypeId = '2'",
     "processed": "SELECT doc_id AS question_id FROM labels",
     "responses": """SELECT doc_id AS question_id, text AS content,
@@ -242,7 +246,7 @@ CTES = {
 
 _USES = {
     "counts": ["votes"], "scored": ["posts", "counts"], "scored_nulls": ["posts_nulls", "counts"],
-    "good": ["scored"], "top": ["scored"], "blocks": ["comments"], "pairs": ["posts"],
+    "good": ["scored"], "top": ["scored"], "lines": ["comments"], "blocks": ["lines"], "comment_parts": ["lines"], "pairs": ["posts"],
     "status": ["responses"], "split": ["traced"], "chats": ["traced"], "sized": ["chats"],
     "mcq": ["choice_items"], "math_items": ["math_refs"], "open_items": ["traced"],
     "math_results": ["outputs", "math_items"], "open_results": ["outputs", "open_items"],
@@ -291,6 +295,8 @@ _REQUEST = f"""SELECT p.ParentId AS question_id, p.Id AS answer_id,
     FROM pairs p LEFT JOIN posts q ON q.Id = p.ParentId LEFT JOIN posts a ON a.Id = p.Id
     LEFT JOIN blocks b ON b.PostId = p.ParentId WHERE p.ParentId {_NOT_DONE}"""
 
+_HEAD, _, _TAIL = ENRICH_TEMPLATE.partition("{comments}")
+
 _REPORT = """SELECT coalesce(b.item_pos, t.item_pos) AS item_pos, b.question,
     b.is_correct AS base_correct, b.thinking_tokens AS base_think_tokens,
     b.answer_tokens AS base_ans_tokens, b.time_seconds AS base_time,
@@ -378,6 +384,7 @@ TWINS = {
         f"SELECT * FROM pairs WHERE ParentId {_NOT_DONE} ORDER BY Id LIMIT 50", "pairs", "processed"
     ),
     "comment_block": sql("SELECT * FROM blocks", "blocks"),
+    "comment_parts": sql("SELECT * FROM comment_parts", "comment_parts"),
     "clean_html": f"SELECT page_id, {clean_html('html')} AS text FROM pages",
     "enrich_requests": sql(
         f"""SELECT question_id, answer_id, title, question_body, original_answer, tags,
@@ -385,6 +392,16 @@ TWINS = {
               answer='original_answer')} AS prompt FROM ({_REQUEST})""",
         "pairs", "blocks", "processed",
     ),
+    "enrich_request_parts": sql(
+        f"""SELECT question_id, answer_id, section, 0::BIGINT AS part, text FROM (
+            SELECT question_id, answer_id, 0 AS section,
+            {fill(_HEAD, title='title', body='question_body')} AS text FROM ({_REQUEST})
+            UNION ALL SELECT question_id, answer_id, 2,
+            {fill(_TAIL, answer='original_answer')} FROM ({_REQUEST}))
+        UNION ALL SELECT p.ParentId, p.Id, 1, coalesce(c.part, 0), coalesce(c.comment_block, 'None')
+        FROM pairs p LEFT JOIN comment_parts c ON c.PostId = p.ParentId WHERE p.ParentId {_NOT_DONE}""",
+        "pairs", "blocks", "comment_parts", "processed",
+    ),
     "trace_requests": sql(
         f"""SELECT {_ENRICHED}, {fill(TRACE_TEMPLATE, question='question_body',
         answer='enriched_answer')} AS prompt FROM traced WHERE question_id {_NOT_DONE}""",
@@ -464,6 +481,10 @@ TWINS = {
     ),
     "chat_serialize": f"""SELECT conv_id, string_agg({turn('role', 'text')}, '' ORDER BY turn, role, text)
         AS chat FROM conversations GROUP BY conv_id""",
+    "turn_parts": f"""SELECT conv_id, part, string_agg({turn('role', 'text')}, '' ORDER BY n) AS chat
+        FROM (SELECT *, (n - 1) // 3 AS part FROM (SELECT *, row_number() OVER (
+            PARTITION BY conv_id ORDER BY turn, role, text) AS n FROM conversations))
+        GROUP BY conv_id, part""",
     "supervised_tokens": f"""SELECT conv_id,
         coalesce(sum({tokens('text')}) FILTER (role = 'assistant'), 0)::BIGINT AS supervised,
         coalesce(sum({tokens('text')}) FILTER (role <> 'assistant'), 0)::BIGINT AS masked

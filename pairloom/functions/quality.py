@@ -3,6 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: what marks a body with an image.
 IMAGE_MARK = "<img"
 
 

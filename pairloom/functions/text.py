@@ -16,6 +16,7 @@ WHITESPACE = (
 # The same set as a regex class.
 WS = r"[\t-\r\x1c-\x20\x85\p{Z}]"
 
+# What is deleted or kept of an HTML body.
 TAG = r"<[^>]+>"
 CODE_BLOCK = rf"(?s)<pre><code>{WS}*(.*?){WS}*</code></pre>"
 # Characters between tokens of the default count.
@@ -38,9 +39,16 @@ def html_text_length(col) -> Column:
     return F.length(strip(visible)).cast("bigint")
 
 
-@F.pandas_udf(StringType())
-def _decode_entities(texts: pd.Series) -> pd.Series:
-    return texts.map(html.unescape, na_action="ignore")
+def _entity_decoder():
+    # A local function travels to the workers by value: they need not have
+    # this package on their path.
+    def decode(texts: pd.Series) -> pd.Series:
+        return texts.map(html.unescape, na_action="ignore")
+
+    return F.pandas_udf(decode, StringType())
+
+
+_decode_entities = _entity_decoder()
 
 
 def unescape_html(col) -> Column:

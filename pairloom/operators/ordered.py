@@ -17,8 +17,11 @@ HOT_TEXT_ROWS = 100_000
 # than this many of them: that bounds the table of hot keys that is broadcast.
 MAX_HOT_GROUPS = 10_000
 SEGMENT_ROWS = 1_000
+# Spark gathers the rows of a top-k in one task, so it is used up to this size.
+TOP_K_ROWS = 100_000
 
-_SLICE, _ROW_TOTAL, _START, _NUMBER = "_slice", "_slice_total", "_start", "_number"
+_SLICE, _ROW_TOTAL, _START = "_slice", "_slice_total", "_start"
+_NUMBER, _LINE = "_number", "_line"
 
 
 def _join_keys(left: DataFrame, right: DataFrame, by) -> Column:
@@ -102,56 +105,97 @@ def with_position(df: DataFrame, order_by, name="item_pos", hot_rows=HOT_ROWS, s
     return numbered.withColumn(name, F.col(name) - 1)
 
 
-def ordered_text(
-    df: DataFrame, by, order_by, line, name="text", keep=None,
-    hot_rows=HOT_TEXT_ROWS, slices=None,
-) -> DataFrame:
-    """One text per group: its lines in order, joined without a separator.
+def first_rows(df: DataFrame, order_by, n, top_k_rows=TOP_K_ROWS) -> DataFrame:
+    """The first `n` rows in the given order."""
+    if n <= top_k_rows:
+        return df.orderBy(*order_by).limit(n)
+    placed = with_position(df, order_by, "_position")
+    return placed.filter(F.col("_position") < n).drop("_position")
 
-    `order_by` names columns; the other columns of `df` break ties, in their order.
-    `line(get, number)` builds the text of a row from `get(column)` and its
-    number, counted from 1. `keep` optionally holds the keys to build texts for;
-    it is applied after hot groups are set apart, so the join cannot skew.
-    """
-    by, order_by = list(by), list(order_by)
 
-    # The remaining columns break the last ties.
-    order = [*order_by, *[c for c in df.columns if c not in by and c not in order_by]]
+def _apart(df: DataFrame, by, keep, hot_rows):
+    """`(rest, large)`: rows of normal and of hot groups; `large` may be None.
 
-    def plain(part):
-        if keep is not None:
-            part = part.join(keep.select(*by), by, "left_semi")
-        rows = F.sort_array(F.collect_list(F.struct(*order)))
-        texts = F.transform(rows, lambda row, i: line(lambda c: row[c], i + 1))
-        return part.groupBy(*by).agg(F.array_join(texts, "").alias(name))
+    `keep` optionally holds the keys that are wanted. It is applied after hot
+    groups are set apart, so the join cannot skew.
+    """
+    def kept(part):
+        return part if keep is None else part.join(keep.select(*by), by, "left_semi")
 
     hot = _hot_groups(df, by, hot_rows)
     if hot is None:
-        return plain(df)
+        return kept(df), None
+    rest = kept(_only(df, hot, by, "left_anti"))
     if keep is not None:
         # Still fewer than MAX_HOT_GROUPS keys.
-        hot_kept = _only(keep.select(*by).distinct(), hot, by, "left_semi")
-    else:
-        hot_kept = hot
-    large = _only(df, hot_kept, by, "left_semi")
-    numbered = _sliced_total(
-        large, by, [F.col(c) for c in order], F.lit(1), _NUMBER, slices
-    )
-    lines = numbered.select(
-        *by, F.col(_NUMBER), line(F.col, F.col(_NUMBER)).alias("_line")
-    )
-    return plain(_only(df, hot, by, "left_anti")).unionByName(_assemble(lines, by, name))
+        hot = _only(keep.select(*by).distinct(), hot, by, "left_semi")
+    return rest, _only(df, hot, by, "left_semi")
+
+
+def _text_order(df: DataFrame, by, order_by):
+    """The remaining columns break the last ties."""
+    return [*order_by, *[c for c in df.columns if c not in by and c not in order_by]]
+
+
+def _lines(numbered: DataFrame, by, line) -> DataFrame:
+    number = F.col(_NUMBER)
+    return numbered.select(*by, _NUMBER, line(F.col, number).alias(_LINE))
 
 
-def _assemble(lines: DataFrame, by, name) -> DataFrame:
-    """Numbered lines to texts in two steps: segments of lines, then segments."""
+def _glue(df: DataFrame, keys, number, text, name) -> DataFrame:
+    rows = F.sort_array(F.collect_list(F.struct(number, text)))
+    texts = F.transform(rows, lambda row: row[text])
+    return df.groupBy(*keys).agg(F.array_join(texts, "").alias(name))
 
-    def glue(df, keys, number, text, out):
-        rows = F.sort_array(F.collect_list(F.struct(number, text)))
-        return df.groupBy(*keys).agg(
-            F.array_join(F.transform(rows, lambda row: row[text]), "").alias(out)
-        )
 
-    lines = lines.withColumn("_segment", F.expr(f"{_NUMBER} div {SEGMENT_ROWS}"))
-    segments = glue(lines, [*by, "_segment"], _NUMBER, "_line", "_part")
-    return glue(segments, by, "_segment", "_part", name)
+def _parts(lines: DataFrame, by, name, part_rows) -> DataFrame:
+    placed = lines.withColumn("part", F.expr(f"({_NUMBER} - 1) div {int(part_rows)}L"))
+    return _glue(placed, [*by, "part"], _NUMBER, _LINE, name)
+
+
+def ordered_text(
+    df: DataFrame, by, order_by, line, name="text", keep=None,
+    hot_rows=HOT_TEXT_ROWS, slices=None,
+) -> DataFrame:
+    """One text per group: its lines in order, joined without a separator.
+
+    `order_by` names columns; the other columns of `df` break ties, in their order.
+    `line(get, number)` builds the text of a row from `get(column)` and its
+    number, counted from 1. `keep` optionally holds the keys to build texts for.
+
+    The text of a group is one value, and Spark holds values of up to 2 GB; use
+    `ordered_parts` where a group may be larger.
+    """
+    by, order_by = list(by), list(order_by)
+    order = _text_order(df, by, order_by)
+    rest, large = _apart(df, by, keep, hot_rows)
+
+    rows = F.sort_array(F.collect_list(F.struct(*order)))
+    joined = F.transform(rows, lambda row, i: line(lambda c: row[c], i + 1))
+    texts = rest.groupBy(*by).agg(F.array_join(joined, "").alias(name))
+    if large is None:
+        return texts
+    order = [F.col(c) for c in order]
+    numbered = _sliced_total(large, by, order, F.lit(1), _NUMBER, slices)
+    parts = _parts(_lines(numbered, by, line), by, _LINE, SEGMENT_ROWS)
+    return texts.unionByName(_glue(parts, by, "part", _LINE, name))
+
+
+def ordered_parts(
+    df: DataFrame, by, order_by, line, name="text", keep=None, part_rows=SEGMENT_ROWS,
+    hot_rows=HOT_ROWS, slices=None,
+) -> DataFrame:
+    """The texts of `ordered_text` in parts of `part_rows` lines, numbered from 0.
+
+    The parts of a group in order are its text. No task and no value holds more
+    than one part of a hot group, so a group may have any size.
+    """
+    by, order_by = list(by), list(order_by)
+    order = [F.col(c) for c in _text_order(df, by, order_by)]
+    rest, large = _apart(df, by, keep, hot_rows)
+    number = F.row_number().over(W.partitionBy(*by).orderBy(*order)).cast("bigint")
+    numbered = rest.withColumn(_NUMBER, number)
+    if large is not None:
+        sliced = _sliced_total(large, by, order, F.lit(1), _NUMBER, slices)
+        numbered = numbered.unionByName(sliced)
+    return _parts(_lines(numbered, by, line), by, name, part_rows)

@@ -4,7 +4,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions.text import text_or_empty
-from pairloom.operators.ordered import HOT_TEXT_ROWS, ordered_text
+from pairloom.operators.ordered import (
+    HOT_ROWS,
+    HOT_TEXT_ROWS,
+    SEGMENT_ROWS,
+    first_rows,
+    ordered_parts,
+    ordered_text,
+)
 from pairloom.operators.votes import answers, questions
 
 NO_COMMENTS = "None"
@@ -64,7 +71,24 @@ def cap_pending(pending: DataFrame, n, order_by="ParentId", zero_is_no_cap=True)
     """
     if n is None or (n == 0 and zero_is_no_cap):
         return pending
-    return pending.orderBy(order_by).limit(n)
+    return first_rows(pending, [order_by], n)
+
+
+def _comment_rows(comments: DataFrame) -> DataFrame:
+    return comments.filter(F.col("PostId").isNotNull()).select(
+        "PostId", F.col("CreationDate").isNull().alias("_undated"),
+        "CreationDate", "Text", "Score",
+    )
+
+
+def _comment_line(get, number):
+    def shown(name):
+        return F.coalesce(get(name).cast("string"), F.lit("None"))
+
+    return F.concat(
+        F.lit("[comment_"), number.cast("string"), F.lit("] (score="),
+        shown("Score"), F.lit("): "), shown("Text"), F.lit("\n"),
+    )
 
 
 def comment_block(
@@ -75,23 +99,20 @@ def comment_block(
     Dates are compared as text; a comment without one comes last. `targets`
     (with a PostId) restricts the posts.
     """
-    rows = comments.filter(F.col("PostId").isNotNull()).select(
-        "PostId", F.col("CreationDate").isNull().alias("_undated"),
-        "CreationDate", "Text", "Score",
+    return ordered_text(
+        _comment_rows(comments), ["PostId"], ["_undated", "CreationDate"], _comment_line,
+        "comment_block", keep=targets, hot_rows=hot_rows, slices=slices,
     )
 
-    def line(get, number):
-        def shown(name):
-            return F.coalesce(get(name).cast("string"), F.lit("None"))
 
-        return F.concat(
-            F.lit("[comment_"), number.cast("string"), F.lit("] (score="),
-            shown("Score"), F.lit("): "), shown("Text"), F.lit("\n"),
-        )
-
-    return ordered_text(
-        rows, ["PostId"], ["_undated", "CreationDate"], line, "comment_block",
-        keep=targets, hot_rows=hot_rows, slices=slices,
+def comment_parts(
+    comments: DataFrame, targets: DataFrame = None, part_rows=SEGMENT_ROWS, hot_rows=HOT_ROWS,
+    slices=None,
+) -> DataFrame:
+    """The texts of `comment_block` in numbered parts, for posts of any size."""
+    return ordered_parts(
+        _comment_rows(comments), ["PostId"], ["_undated", "CreationDate"], _comment_line,
+        "comment_block", keep=targets, part_rows=part_rows, hot_rows=hot_rows, slices=slices,
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pairloom.functions import answers as A
 from pairloom.functions.chat import TURN_END, TURN_START, turn_text
 from pairloom.functions.text import text_or_empty, token_count
-from pairloom.operators.ordered import with_position
+from pairloom.operators.ordered import first_rows, with_position
 
 # The prompt in force by default, and the letters of the choices.
 DEFAULT_SYSTEM_PROMPT = "You are a helpful AI assistant."
@@ -24,7 +24,7 @@ def eval_items(items: DataFrame, max_items=100, order_by=None) -> DataFrame:
     only the top of that order is, not the whole table.
     """
     if "item_pos" not in items.columns:
-        return with_position(items.orderBy(*order_by).limit(max_items), order_by)
+        return with_position(first_rows(items, order_by, max_items), order_by)
     return items.filter(F.col("item_pos") < max_items)
 
 

@@ -4,18 +4,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions.text import draw_hash
-from pairloom.operators.ordered import HOT_ROWS, with_position
+from pairloom.operators.ordered import HOT_ROWS, TOP_K_ROWS, with_position
 from pairloom.session import materialize
 
-# Up to this size the evaluation rows are a top-k, and their keys are broadcast.
-TOP_K_ROWS = 100_000
-
 
 def split_exact(df: DataFrame, key, eval_size=10, seed=42, top_k_rows=TOP_K_ROWS):
     """`(train, eval)`: `eval_size` rows with the lowest hash draws, and the rest.
 
-    Together they are `df`, copies included. Raises ValueError when no row would
-    be left for training.
+    Together they are `df`, copies included. Up to `top_k_rows` the evaluation
+    set is a top-k and its keys are broadcast; a larger one is cut by position.
+    Raises ValueError when no row would be left for training.
     """
     if df.select(F.lit(1)).limit(eval_size + 1).count() <= eval_size:
         raise ValueError(f"need more than {eval_size} rows to split")

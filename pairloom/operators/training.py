@@ -5,7 +5,14 @@ from pyspark.sql import functions as F
 
 from pairloom.functions import chat
 from pairloom.functions.text import draw, text_or_empty, token_count
-from pairloom.operators.ordered import HOT_ROWS, HOT_TEXT_ROWS, ordered_text, running_total
+from pairloom.operators.ordered import (
+    HOT_ROWS,
+    HOT_TEXT_ROWS,
+    SEGMENT_ROWS,
+    ordered_parts,
+    ordered_text,
+    running_total,
+)
 
 SYSTEM_PROMPT = "You answer electrical engineering questions precisely and completely."
 MAX_TOKENS = 7168
@@ -84,11 +91,22 @@ def serialize_turns(
 ) -> DataFrame:
     """Turn rows (role, text) to one serialized text per conversation."""
     rows = turns.select(by, order_by, "role", "text")
+    return ordered_text(
+        rows, [by], [order_by], lambda get, number: turn(get("role"), get("text")), "chat",
+        hot_rows=hot_rows, slices=slices,
+    )
 
-    def line(get, number):
-        return turn(get("role"), get("text"))
 
-    return ordered_text(rows, [by], [order_by], line, "chat", hot_rows=hot_rows, slices=slices)
+def turn_parts(
+    turns: DataFrame, by="conv_id", order_by="turn", turn=chat.turn_text,
+    part_rows=SEGMENT_ROWS, hot_rows=HOT_ROWS, slices=None,
+) -> DataFrame:
+    """The texts of `serialize_turns` in numbered parts, for conversations of any size."""
+    rows = turns.select(by, order_by, "role", "text")
+    return ordered_parts(
+        rows, [by], [order_by], lambda get, number: turn(get("role"), get("text")), "chat",
+        part_rows=part_rows, hot_rows=hot_rows, slices=slices,
+    )
 
 
 def supervised_turns(turns: DataFrame, by="conv_id", counter=None) -> DataFrame:

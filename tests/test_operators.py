@@ -7,10 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from pairloom.operators import judging, responses, scoring, training, votes
-from pairloom.operators.ordered import running_total, with_position
+from pairloom.operators.ordered import first_rows, running_total, with_position
 from pairloom.operators.requests import (
     cap_pending,
     comment_block,
+    comment_parts,
     fill_template,
     pair_texts,
     resume_pending,
@@ -18,7 +19,7 @@ from pairloom.operators.requests import (
 )
 from pairloom.operators.splits import split_exact, split_leak_check, split_summary
 from pairloom.plans.curate import curate_pairs
-from pairloom.plans.enrich import enrich_requests, trace_requests
+from pairloom.plans.enrich import enrich_request_parts, enrich_requests, trace_requests
 from pairloom.plans.evaluate import judge_requests, reports
 from pairloom.plans.train import even_shard, training_sequences
 
@@ -146,6 +147,13 @@ def test_positions(spark, hot_rows):
     assert with_position(df.limit(0), ["k"], hot_rows=hot_rows).count() == 0
 
 
+def test_first_rows(spark):
+    df = spark.range(300).select((F.col("id") * 7919 % 1009).alias("k"))
+    want = sorted(r[0] for r in df.collect())[:40]
+    for top_k_rows in (1_000, 0):
+        assert [r[0] for r in first_rows(df, ["k"], 40, top_k_rows).orderBy("k").collect()] == want
+
+
 def comment_rows(spark, n=400):
     """A third on post 4, several with equal dates, some without date or text."""
     i = F.col("id")
@@ -185,6 +193,35 @@ def test_comment_blocks(spark, hot_rows, monkeypatch):
     assert dict(rows(some)) == {p: want[p] for p in (4, 8)}
 
 
+@pytest.mark.parametrize("hot_rows", [1_000_000, 30, 0])
+def test_comment_parts_make_up_the_blocks(spark, hot_rows):
+    comments = comment_rows(spark)
+    want = expected_blocks(comments)
+    targets = spark.createDataFrame([(4,), (8,), (8,), (9_999,)], "PostId bigint")
+    for keep, wanted in ((None, set(want)), (targets, {4, 8})):
+        parts = comment_parts(comments, keep, part_rows=7, hot_rows=hot_rows, slices=5).collect()
+        texts = {}
+        for r in sorted(parts, key=lambda r: (r["PostId"], r["part"])):
+            assert r["comment_block"].count("[comment_") <= 7
+            texts[r["PostId"]] = texts.get(r["PostId"], "") + r["comment_block"]
+        assert texts == {p: want[p] for p in wanted}
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 30])
+def test_request_parts_make_up_the_prompts(spark, hot_rows):
+    comments = comment_rows(spark)
+    posts = spark.createDataFrame(
+        [post(4, body="<p>q</p>"), post(5, 4, "a"), post(8), post(9, 8), post(3), post(2, 3)], POSTS
+    )
+    pairs = spark.createDataFrame([(4, 5), (8, 9), (3, 2)], "ParentId bigint, Id bigint")
+    prompts = {r["question_id"]: r["prompt"] for r in enrich_requests(pairs, posts, comments).collect()}
+    parts = enrich_request_parts(pairs, posts, comments, part_rows=7, hot_rows=hot_rows).collect()
+    texts = {}
+    for r in sorted(parts, key=lambda r: (r["section"], r["part"])):
+        texts[r["question_id"]] = texts.get(r["question_id"], "") + r["text"]
+    assert texts == prompts and len(parts) > 20
+
+
 def test_comments_without_post_are_left_out(spark):
     df = spark.createDataFrame([(None, 1, "a", "d"), (1, None, None, None)], COMMENTS)
     assert rows(comment_block(df)) == [(1, "[comment_1] (score=None): None\n")]
