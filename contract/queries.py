@@ -47,16 +47,6 @@ def _good(spark, d):
     return votes.vote_quality(counted, max_downvote_ratio=RATIO)
 
 
-def _lengths(spark, d):
-    posts = fx.posts(spark, d)
-    texts = requests.pair_texts(fx.pairs(spark, d), posts)
-    return texts.select(
-        "ParentId", "Id",
-        votes.html_text_length(F.col("QuestionBody")).alias("QuestionLength"),
-        votes.html_text_length(F.col("AnswerBody")).alias("AnswerLength"),
-    )
-
-
 # --- curation ---------------------------------------------------------------
 
 
@@ -105,14 +95,12 @@ def html_text_length(spark, d):
 
 @query
 def min_text_length(spark, d):
-    return votes.min_length(_lengths(spark, d))
+    return votes.min_length(votes.pair_lengths(fx.pairs(spark, d), fx.posts(spark, d)))
 
 
 @query
 def drop_image_pairs(spark, d):
-    texts = requests.pair_texts(fx.pairs(spark, d), fx.posts(spark, d))
-    kept = votes.drop_image_pairs(texts, "QuestionBody", "AnswerBody")
-    return kept.select("ParentId", "Id")
+    return votes.drop_image_pairs(fx.pairs(spark, d), fx.posts(spark, d))
 
 
 @query
@@ -515,9 +503,9 @@ def xml_comments(spark, d):
 
 @query
 def csv_pairs(spark, d):
-    lengths = _lengths(spark, d).drop("ParentId")
     path = scratch_path(spark, "pairs")
-    writers.write_pairs(_top(spark, d).join(lengths, "Id").select(*schemas.CURATED_PAIRS.names), path)
+    pairs = votes.pair_lengths(_top(spark, d), fx.posts(spark, d))
+    writers.write_pairs(pairs.select(*schemas.CURATED_PAIRS.names), path)
     return readers.read_pairs(spark, path)
 
 

@@ -108,9 +108,28 @@ def no_images(posts: DataFrame) -> DataFrame:
     return posts.filter(~has_image(F.col("Body")))
 
 
-def drop_image_pairs(pairs: DataFrame, question_body="QuestionBody", answer_body="Body"):
-    """Drop pairs with an image on either side."""
-    return pairs.filter(~has_image(F.col(question_body)) & ~has_image(F.col(answer_body)))
+def drop_image_pairs(pairs: DataFrame, posts: DataFrame) -> DataFrame:
+    """Drop pairs with an image on either side.
+
+    Bodies are tested in the scan; only the ids of posts with images move.
+    """
+    imaged = posts.filter(has_image(F.col("Body")))
+    for key, side in (("ParentId", questions(imaged)), ("Id", answers(imaged))):
+        ids = side.select(F.col("Id").alias("_imaged"))
+        pairs = pairs.join(ids, pairs[key] == ids["_imaged"], "left_anti")
+    return pairs
+
+
+def pair_lengths(pairs: DataFrame, posts: DataFrame) -> DataFrame:
+    """Add the visible lengths of both sides; null for a post that is missing.
+
+    Bodies become lengths in the scan; only those move.
+    """
+    sides = (("ParentId", "QuestionLength", questions(posts)), ("Id", "AnswerLength", answers(posts)))
+    for key, name, side in sides:
+        lengths = text_lengths(side).toDF("_post", name)
+        pairs = pairs.join(lengths, pairs[key] == lengths["_post"], "left").drop("_post")
+    return pairs
 
 
 def min_length(pairs: DataFrame, n=300) -> DataFrame:

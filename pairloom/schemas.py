@@ -40,7 +40,7 @@ RESPONSES = _struct(question_id=_L, content=_S, finish_reason=_S, error=_S)
 
 MATH_ITEMS = _struct(question=_S, answer=_S)
 CHOICE_ITEMS = _struct(question=_S, choices=ArrayType(_S), answer=IntegerType())
-OPEN_ITEMS = _struct(question_body=_S, enriched_answer=_S)
+OPEN_ITEMS = _struct(question_id=_L, question_body=_S, enriched_answer=_S)
 
 EVAL_RESULTS = _struct(
     benchmark=_S, model=_S, item_pos=_L, question=_S, reference_answer=_S,

@@ -1,0 +1,110 @@
+"""All steps in a row, from dump files to the judge's rates, run twice."""
+
+from pyspark.sql import functions as F
+
+from pairloom import schemas
+from pairloom.operators.judging import judge_rates
+from pairloom.plans import jobs
+from pairloom.sources import readers
+
+LONG = "words " * 60
+
+
+def dump(folder, n=30):
+    """`n` questions with two answers each; every fifth question has too few votes."""
+    posts, votes, comments = [], [], []
+    for q in range(1, n + 1):
+        posts.append(f'<row Id="{q}" PostTypeId="1" Title="T{q}" Body="&lt;p&gt;{LONG}&lt;/p&gt;" Tags="&lt;a&gt;" Score="1"/>')
+        votes += [f'<row PostId="{q}" VoteTypeId="2"/>'] * (2 if q % 5 == 0 else 6)
+        for a in (1000 + q, 2000 + q):
+            posts.append(f'<row Id="{a}" PostTypeId="2" ParentId="{q}" Body="&lt;p&gt;{a} {LONG}" Score="1"/>')
+            votes += [f'<row PostId="{a}" VoteTypeId="2"/>'] * (a // 1000 + 5)
+        comments.append(f'<row PostId="{q}" Score="1" Text="c{q}" CreationDate="2024-01-01"/>')
+    for name, rows in (("Posts", posts), ("Votes", votes), ("Comments", comments)):
+        (folder / f"{name}.xml").write_text("<d>\n" + "\n".join(rows) + "\n</d>\n")
+
+
+def respond(spark, requests_path, path, text):
+    """Every sixth question fails, every seventh is truncated."""
+    q = F.col("question_id")
+    requests = spark.read.parquet(requests_path)
+    requests.select(
+        q, text.alias("content"),
+        F.when(q % 7 == 0, "length").otherwise("stop").alias("finish_reason"),
+        F.when(q % 6 == 0, "reset").alias("error"),
+    ).write.json(path)
+
+
+def ids(df, column="question_id"):
+    return sorted(r[0] for r in df.select(column).collect())
+
+
+def test_from_dump_to_splits(spark, tmp_path):
+    dump(tmp_path)
+    data = str(tmp_path)
+    at = lambda name: str(tmp_path / name)
+    good = [q for q in range(1, 31) if q % 5]
+
+    jobs.curate(spark, data, at("pairs"))
+    pairs = readers.read_pairs(spark, at("pairs"))
+    assert ids(pairs, "ParentId") == good and ids(pairs, "Id") == [2000 + q for q in good]
+
+    jobs.ask_enrichment(spark, at("pairs"), data, at("done"), at("ask1"))
+    asked = spark.read.parquet(at("ask1"))
+    assert ids(asked) == good and "[comment_1] (score=1): c1\n" in asked.orderBy("question_id").first()["prompt"]
+    respond(spark, at("ask1"), at("said1"), F.concat(F.lit("**e** "), F.col("title")))
+    for _ in range(2):
+        jobs.record_enrichment(spark, at("ask1"), at("said1"), at("enriched"), at("done"))
+    enriched = readers.read_jsonl(spark, at("enriched"), schemas.ENRICHED_PAIRS)
+    kept = [q for q in good if q % 6 and q % 7]
+    assert ids(enriched) == kept
+    jobs.ask_enrichment(spark, at("pairs"), data, at("done"), at("ask2"))
+    assert ids(spark.read.parquet(at("ask2"))) == [q for q in good if q % 6 == 0]
+
+    jobs.ask_traces(spark, at("enriched"), at("traced"), at("ask3"), max_items=10)
+    assert ids(spark.read.parquet(at("ask3"))) == kept[:10]
+    jobs.ask_traces(spark, at("enriched"), at("traced"), at("ask4"))
+    respond(spark, at("ask4"), at("said4"), F.concat(F.lit(" think "), F.col("title")))
+    for _ in range(2):
+        jobs.record_traces(spark, at("enriched"), at("said4"), at("traced"))
+    jobs.ask_traces(spark, at("enriched"), at("traced"), at("ask5"))
+    assert spark.read.parquet(at("ask5")).count() == 0
+    stats, cut = jobs.audit(spark, at("traced"))
+    assert stats.first()["total_traces"] == len(kept) and cut.count() == 0
+
+    sizes = {r["split"]: r["n"] for r in jobs.split(spark, at("traced"), at("train"), at("eval"), 4).collect()}
+    assert sizes == {"total": len(kept), "train": len(kept) - 4, "eval": 4}
+    profile = jobs.prepare_training(spark, at("train"), at("eval"), at("seq"), at("texts"), shards=2)
+    assert profile.first()["kept"] == spark.read.parquet(at("seq")).count() == len(kept) - 4
+    assert spark.read.parquet(at("texts")).filter(F.col("text").contains("**")).count() == 0
+
+    # The evaluation set feeds the open benchmark; outputs echo the reference.
+    ask = lambda to: jobs.ask_outputs(spark, "ee_qa", at("eval"), at("results"), at(to))
+    ask("prompts")
+    prompts = spark.read.parquet(at("prompts"))
+    assert prompts.count() == 8
+    prompts.select(
+        "benchmark", "model", "item_pos",
+        F.concat(F.lit("<think>t</think> "), "model", "reference").alias("raw_output"),
+        F.lit(2.0).alias("time_seconds"),
+    ).write.parquet(at("outputs"))
+    for _ in range(2):
+        jobs.record_outputs(spark, "ee_qa", at("eval"), at("outputs"), at("results"))
+    ask("prompts2")
+    assert spark.read.parquet(at("prompts2")).count() == 0
+    summary = jobs.report(spark, "ee_qa", at("results"), at("comparison"))
+    assert [tuple(r)[:3] for r in summary.orderBy("model").collect()] == [("base", 0.0, 1.0), ("ft", 0.0, 1.0)]
+    assert spark.read.option("header", True).csv(at("comparison")).count() == 4
+
+    jobs.ask_judge(spark, at("results"), at("verdicts"), at("ask6"), expected=4)
+    spark.read.parquet(at("ask6")).select(
+        "item_pos",
+        F.concat(
+            F.lit("Verdict: "), F.when(F.col("model_a") == "Fine-Tuned", "A").otherwise("B")
+        ).alias("explanation"),
+    ).write.json(at("said6"))
+    jobs.record_verdicts(spark, at("ask6"), at("said6"), at("verdicts"))
+    stored = readers.read_jsonl(spark, at("verdicts"), schemas.VERDICTS, "fail")
+    assert judge_rates(stored).first()["ft_won_rate"] == 100.0 and stored.count() == 4
+    jobs.ask_judge(spark, at("results"), at("verdicts"), at("ask7"))
+    assert spark.read.parquet(at("ask7")).count() == 0
