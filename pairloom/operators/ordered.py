@@ -1,8 +1,9 @@
 """Running totals, positions and ordered texts that survive one huge group.
 
-Small groups go through a plain window or `collect_list`. A group above the hot
-limit is range-partitioned into slices of its order, so no task ever holds it:
-each slice is summed on its own and starts from the total of the slices before.
+Groups up to the hot limit go through a plain window or `collect_list`. A group
+too large for one task is range-partitioned into slices of its order, so no task
+ever holds it: each slice is summed on its own and starts from the total of the
+slices before.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -12,9 +13,11 @@ from pyspark.sql import functions as F
 from pairloom.session import materialize
 
 HOT_ROWS = 1_000_000
+# Lines of a group that are collected into one value without numbering them first.
 HOT_TEXT_ROWS = 100_000
 # A hot group holds more than 1/MAX_HOT_GROUPS of all rows, so there are fewer
 # than this many of them: that bounds the table of hot keys that is broadcast.
+# Groups below that share do not skew a shuffle, and a window sorts and spills them.
 MAX_HOT_GROUPS = 10_000
 SEGMENT_ROWS = 1_000
 # Spark gathers the rows of a top-k in one task, so it is used up to this size.
@@ -31,17 +34,21 @@ def _join_keys(left: DataFrame, right: DataFrame, by) -> Column:
     return condition
 
 
-def _hot_groups(df: DataFrame, by, hot_rows):
-    """Keys of groups above the limit, or None when there are none.
+def _group_sizes(df: DataFrame, by):
+    """Rows per group, with the number of all rows and the largest group.
 
     Costs one job over the key columns, aggregated before its shuffle.
     """
     sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    seen = sizes.agg(F.sum("_n").alias("total"), F.max("_n").alias("largest")).first()
-    if seen["total"] is None or seen["largest"] <= hot_rows:
-        return None
-    limit = max(hot_rows, seen["total"] // MAX_HOT_GROUPS)
-    return sizes.filter(F.col("_n") > limit).drop("_n")
+    total, largest = sizes.agg(F.sum("_n"), F.max("_n")).first()
+    return sizes, total or 0, largest or 0
+
+
+def _hot_groups(measured, hot_rows):
+    """Keys of hot groups, or None when there are none."""
+    sizes, total, largest = measured
+    limit = max(hot_rows, total // MAX_HOT_GROUPS)
+    return None if largest <= limit else sizes.filter(F.col("_n") > limit).drop("_n")
 
 
 def _only(df: DataFrame, keys: DataFrame, by, how) -> DataFrame:
@@ -89,7 +96,7 @@ def running_total(
         total = F.sum(value.cast("bigint")).over(window.rowsBetween(W.unboundedPreceding, 0))
         return part.withColumn(name, total)
 
-    hot = _hot_groups(df, by, hot_rows)
+    hot = _hot_groups(_group_sizes(df, by), hot_rows)
     if hot is None:
         return plain(df)
     if not by:
@@ -113,23 +120,29 @@ def first_rows(df: DataFrame, order_by, n, top_k_rows=TOP_K_ROWS) -> DataFrame:
     return placed.filter(F.col("_position") < n).drop("_position")
 
 
-def _apart(df: DataFrame, by, keep, hot_rows):
-    """`(rest, large)`: rows of normal and of hot groups; `large` may be None.
+def _numbered(df: DataFrame, by, order, keep, measured, hot_rows, slices) -> DataFrame:
+    """Number the rows of each wanted group from 1 in the given order.
 
-    `keep` optionally holds the keys that are wanted. It is applied after hot
-    groups are set apart, so the join cannot skew.
+    `keep` is applied after hot groups are set apart, so its join cannot skew.
     """
-    def kept(part):
-        return part if keep is None else part.join(keep.select(*by), by, "left_semi")
+    def plain(part):
+        number = F.row_number().over(W.partitionBy(*by).orderBy(*order))
+        return _kept(part, by, keep).withColumn(_NUMBER, number.cast("bigint"))
 
-    hot = _hot_groups(df, by, hot_rows)
+    hot = _hot_groups(measured, hot_rows)
     if hot is None:
-        return kept(df), None
-    rest = kept(_only(df, hot, by, "left_anti"))
+        return plain(df)
+    rest = plain(_only(df, hot, by, "left_anti"))
     if keep is not None:
         # Still fewer than MAX_HOT_GROUPS keys.
         hot = _only(keep.select(*by).distinct(), hot, by, "left_semi")
-    return rest, _only(df, hot, by, "left_semi")
+    large = _only(df, hot, by, "left_semi")
+    order = [F.col(c) for c in order]
+    return rest.unionByName(_sliced_total(large, by, order, F.lit(1), _NUMBER, slices))
+
+
+def _kept(df: DataFrame, by, keep) -> DataFrame:
+    return df if keep is None else df.join(keep.select(*by), by, "left_semi")
 
 
 def _text_order(df: DataFrame, by, order_by):
@@ -168,17 +181,14 @@ def ordered_text(
     """
     by, order_by = list(by), list(order_by)
     order = _text_order(df, by, order_by)
-    rest, large = _apart(df, by, keep, hot_rows)
-
+    measured = _group_sizes(df, by)
+    if measured[2] > hot_rows:
+        numbered = _numbered(df, by, order, keep, measured, hot_rows, slices)
+        parts = _parts(_lines(numbered, by, line), by, _LINE, SEGMENT_ROWS)
+        return _glue(parts, by, "part", _LINE, name)
     rows = F.sort_array(F.collect_list(F.struct(*order)))
     joined = F.transform(rows, lambda row, i: line(lambda c: row[c], i + 1))
-    texts = rest.groupBy(*by).agg(F.array_join(joined, "").alias(name))
-    if large is None:
-        return texts
-    order = [F.col(c) for c in order]
-    numbered = _sliced_total(large, by, order, F.lit(1), _NUMBER, slices)
-    parts = _parts(_lines(numbered, by, line), by, _LINE, SEGMENT_ROWS)
-    return texts.unionByName(_glue(parts, by, "part", _LINE, name))
+    return _kept(df, by, keep).groupBy(*by).agg(F.array_join(joined, "").alias(name))
 
 
 def ordered_parts(
@@ -191,11 +201,6 @@ def ordered_parts(
     than one part of a hot group, so a group may have any size.
     """
     by, order_by = list(by), list(order_by)
-    order = [F.col(c) for c in _text_order(df, by, order_by)]
-    rest, large = _apart(df, by, keep, hot_rows)
-    number = F.row_number().over(W.partitionBy(*by).orderBy(*order)).cast("bigint")
-    numbered = rest.withColumn(_NUMBER, number)
-    if large is not None:
-        sliced = _sliced_total(large, by, order, F.lit(1), _NUMBER, slices)
-        numbered = numbered.unionByName(sliced)
+    order = _text_order(df, by, order_by)
+    numbered = _numbered(df, by, order, keep, _group_sizes(df, by), hot_rows, slices)
     return _parts(_lines(numbered, by, line), by, name, part_rows)

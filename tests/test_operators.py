@@ -182,9 +182,11 @@ def expected_blocks(comments):
     return blocks
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 30, 0])
-def test_comment_blocks(spark, hot_rows, monkeypatch):
+# The last case has groups above the text limit that are not hot.
+@pytest.mark.parametrize("hot_rows, groups", [(1_000_000, 10_000), (30, 10_000), (0, 10_000), (30, 1)])
+def test_comment_blocks(spark, hot_rows, groups, monkeypatch):
     monkeypatch.setattr("pairloom.operators.ordered.SEGMENT_ROWS", 16)
+    monkeypatch.setattr("pairloom.operators.ordered.MAX_HOT_GROUPS", groups)
     comments = comment_rows(spark)
     want = expected_blocks(comments)
     assert dict(rows(comment_block(comments, hot_rows=hot_rows, slices=5))) == want
