@@ -1,11 +1,12 @@
 """Text expressions: strip, visible length, HTML cleaning, token counts, draws."""
 
 import html
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import LongType, StringType
 
 # The characters str.strip() removes.
 WHITESPACE = (
@@ -89,6 +90,20 @@ def token_count(col, counter=None) -> Column:
     return F.coalesce(counted.cast("bigint"), F.lit(0).cast("bigint"))
 
 
+def tokenizer_counter(load):
+    """A counter for `token_count` around a Python tokenizer.
+
+    `load()` returns a function from text to number of tokens. It is called once
+    per task, on the worker; texts arrive in Arrow batches.
+    """
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        tokens = load()
+        for texts in batches:
+            yield texts.map(lambda text: tokens(text) if text else 0)
+
+    return F.pandas_udf(count, LongType())
+
+
 def draw_hash(key, seed, purpose) -> Column:
     """Hex digest of (purpose, seed, key): the same row gives the same draw."""
     name = F.coalesce(key.cast("string"), F.lit(""))

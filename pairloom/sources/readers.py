@@ -8,22 +8,22 @@ from pairloom import schemas
 from pairloom.operators.votes import up_down_votes
 
 
-def read_rows(spark: SparkSession, path, fields, row_per_line=True) -> DataFrame:
+ROW_TAG = "<row"
+
+
+def read_rows(spark: SparkSession, path, fields) -> DataFrame:
     """`row` elements of a dump file, one column per wanted attribute.
 
-    With one `<row/>` per line, as dumps have it, the file is split among tasks.
-    Pass `row_per_line=False` for rows that span lines; a file is then one task.
+    The file is cut at the opening of each element, which cannot occur inside an
+    attribute, so large files are split among tasks whatever their line breaks.
     """
     schema = StructType([StructField(f"_{name}", StringType()) for name in fields])
-    rows = (
-        spark.read.format("xml")
-        .option("rowTag", "row")
-        .option("ignoreSurroundingSpaces", "false")
-        .option("multiLine", str(not row_per_line).lower())
-        .option("mode", "DROPMALFORMED")
-        .schema(schema)
-        .load(path)
-    )
+    pieces = spark.read.option("lineSep", ROW_TAG).text(path)
+    # Leaves out the file's head and elements whose name only starts alike.
+    bodies = pieces.filter(F.col("value").rlike(r"\A[\s/>]"))
+    element = F.concat(F.lit(ROW_TAG), F.col("value"))
+    row = F.from_xml(element, schema, {"ignoreSurroundingSpaces": "false"})
+    rows = bodies.select(row.alias("row"))
     return rows.select(*[_typed(name) for name in fields])
 
 
@@ -38,21 +38,21 @@ def spread(df: DataFrame, *keys) -> DataFrame:
 
 
 def _typed(name):
-    column = F.col(f"_{name}")
+    column = F.col(f"row._{name}")
     return (column.try_cast("bigint") if name in schemas.BIGINT_FIELDS else column).alias(name)
 
 
-def read_posts(spark, path, row_per_line=True) -> DataFrame:
-    posts = read_rows(spark, path, schemas.POST_FIELDS, row_per_line)
+def read_posts(spark, path) -> DataFrame:
+    posts = read_rows(spark, path, schemas.POST_FIELDS)
     return posts.filter(F.col("PostTypeId").isNotNull())
 
 
-def read_votes(spark, path, row_per_line=True) -> DataFrame:
-    return up_down_votes(read_rows(spark, path, schemas.VOTE_FIELDS, row_per_line))
+def read_votes(spark, path) -> DataFrame:
+    return up_down_votes(read_rows(spark, path, schemas.VOTE_FIELDS))
 
 
-def read_comments(spark, path, row_per_line=True) -> DataFrame:
-    comments = read_rows(spark, path, schemas.COMMENT_FIELDS, row_per_line)
+def read_comments(spark, path) -> DataFrame:
+    comments = read_rows(spark, path, schemas.COMMENT_FIELDS)
     return comments.filter(F.col("PostId").isNotNull())
 
 

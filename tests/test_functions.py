@@ -10,7 +10,15 @@ from pyspark.sql import functions as F
 from pairloom.functions import answers as A
 from pairloom.functions import chat
 from pairloom.functions.quality import has_image, vote_ok
-from pairloom.functions.text import clean_html, draw, html_text_length, strip, token_count, unescape_html
+from pairloom.functions.text import (
+    clean_html,
+    draw,
+    html_text_length,
+    strip,
+    token_count,
+    tokenizer_counter,
+    unescape_html,
+)
 from pairloom.functions.verdicts import unblind, verdict
 
 
@@ -68,6 +76,11 @@ def test_token_count_takes_a_counter(spark):
     assert apply(spark, lambda c: token_count(c, F.length), [None, "", "a b"]) == [0, 0, 3]
 
 
+def test_token_count_takes_a_tokenizer(spark):
+    counter = tokenizer_counter(lambda: lambda text: len(text.split("-")))
+    assert apply(spark, lambda c: token_count(c, counter), [None, "", "a-b", "a"]) == [0, 0, 2, 1]
+
+
 @settings(max_examples=10, deadline=None)
 @given(st.lists(st.text(alphabet="ab \t\n\x0b\x0c\r ", max_size=15), min_size=1, max_size=30))
 def test_token_count_is_a_split_on_ascii_space(spark, texts):

@@ -22,10 +22,9 @@ DUMP = """<?xml version="1.0" encoding="utf-8"?>
 """
 
 
-@pytest.mark.parametrize("row_per_line", [True, False])
-def test_dump(spark, tmp_path, row_per_line):
+def test_dump(spark, tmp_path):
     (tmp_path / "Posts.xml").write_text(DUMP)
-    posts = readers.read_posts(spark, str(tmp_path / "Posts.xml"), row_per_line)
+    posts = readers.read_posts(spark, str(tmp_path / "Posts.xml"))
     assert posts.count() == 4
     qs, ans = split_posts(posts)
     assert [tuple(r) for r in qs.collect()] == [(1, "A &amp; B", "<p>x\ny</p> ", "", 5)]
@@ -33,12 +32,15 @@ def test_dump(spark, tmp_path, row_per_line):
     assert got == sorted([(2, 1, "", 5), (None, None, "b", None)], key=str)
 
 
-def test_dump_with_rows_over_lines(spark, tmp_path):
+def test_rows_may_share_lines_and_span_them(spark, tmp_path):
     (tmp_path / "v.xml").write_text(
-        '<votes>\n<row PostId="1"\n VoteTypeId="2"/>\n<row PostId="1" VoteTypeId="5"/></votes>\n'
+        '\ufeff<?xml version="1.0"?><rows><row PostId="1" VoteTypeId="2"/>\n<row PostId="2" VoteTypeId="2"/>'
+        '<row PostId="3"\n VoteTypeId="3" Note="a > b"></row><rowid PostId="9" VoteTypeId="2"/>\n'
+        '<row\nPostId="4" VoteTypeId="2" /><row PostId="5" VoteTypeId="5"/><row/></rows>\n',
+        encoding="utf-8",
     )
-    votes = readers.read_votes(spark, str(tmp_path / "v.xml"), row_per_line=False)
-    assert [tuple(r) for r in votes.collect()] == [(1, 2)]
+    votes = readers.read_votes(spark, str(tmp_path / "v.xml"))
+    assert sorted(tuple(r) for r in votes.collect()) == [(1, 2), (2, 2), (3, 3), (4, 2)]
 
 
 def test_dump_is_split_among_tasks(spark, tmp_path):
