@@ -16,13 +16,14 @@ def read_rows(spark: SparkSession, path, fields) -> DataFrame:
 
     The file is cut at the opening of each element, which cannot occur inside an
     attribute, so large files are split among tasks whatever their line breaks.
+    A malformed element fails the read.
     """
     schema = StructType([StructField(f"_{name}", StringType()) for name in fields])
     pieces = spark.read.option("lineSep", ROW_TAG).text(path)
     # Leaves out the file's head and elements whose name only starts alike.
     bodies = pieces.filter(F.col("value").rlike(r"\A[\s/>]"))
     element = F.concat(F.lit(ROW_TAG), F.col("value"))
-    row = F.from_xml(element, schema, {"ignoreSurroundingSpaces": "false"})
+    row = F.from_xml(element, schema, {"ignoreSurroundingSpaces": "false", "mode": "FAILFAST"})
     rows = bodies.select(row.alias("row"))
     return rows.select(*[_typed(name) for name in fields])
 

@@ -43,6 +43,12 @@ def test_rows_may_share_lines_and_span_them(spark, tmp_path):
     assert sorted(tuple(r) for r in votes.collect()) == [(1, 2), (2, 2), (3, 3), (4, 2)]
 
 
+def test_malformed_rows_are_not_lost_silently(spark, tmp_path):
+    (tmp_path / "v.xml").write_text('<d>\n<row PostId="1 VoteTypeId="2"/>\n<row PostId="2" VoteTypeId="2"/>\n</d>\n')
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        readers.read_votes(spark, str(tmp_path / "v.xml")).collect()
+
+
 def test_dump_is_split_among_tasks(spark, tmp_path):
     lines = "".join(f'  <row PostId="{i}" VoteTypeId="2" />\n' for i in range(40_000))
     (tmp_path / "Votes.xml").write_text(f"<votes>\n{lines}</votes>\n")
