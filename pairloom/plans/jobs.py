@@ -20,6 +20,7 @@ from pairloom.plans.curate import curate_pairs
 from pairloom.plans.enrich import ENRICH_TEMPLATE, TRACE_TEMPLATE, enrich_requests, trace_requests
 from pairloom.plans.evaluate import judge_requests, reports
 from pairloom.plans.train import training_sequences
+from pairloom.session import materialize
 from pairloom.sources import readers, writers
 
 ITEMS = {
@@ -39,10 +40,15 @@ def _existing(read):
         raise
 
 
+def _dump(spark, data_dir, name) -> DataFrame:
+    """A dump file, parsed once into a columnar table; plans read it several times."""
+    read = {"Posts": readers.read_posts, "Votes": readers.read_votes, "Comments": readers.read_comments}
+    return materialize(read[name](spark, f"{data_dir}/{name}.xml"))
+
+
 def curate(spark: SparkSession, data_dir, pairs_path, **limits):
     """Dump to curated pairs (CSV). `limits` are those of `curate_pairs`."""
-    posts = readers.read_posts(spark, f"{data_dir}/Posts.xml")
-    votes = readers.read_votes(spark, f"{data_dir}/Votes.xml")
+    posts, votes = _dump(spark, data_dir, "Posts"), _dump(spark, data_dir, "Votes")
     writers.write_pairs(curate_pairs(posts, votes, **limits), pairs_path)
 
 
@@ -53,8 +59,8 @@ def ask_enrichment(
     """Curated pairs not processed yet to enrichment requests (Parquet)."""
     requests = enrich_requests(
         readers.read_pairs(spark, pairs_path),
-        readers.read_posts(spark, f"{data_dir}/Posts.xml"),
-        readers.read_comments(spark, f"{data_dir}/Comments.xml"),
+        _dump(spark, data_dir, "Posts"),
+        _dump(spark, data_dir, "Comments"),
         template,
         _existing(lambda: readers.read_ids(spark, processed_path)),
         max_items,
