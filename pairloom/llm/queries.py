@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from pairloom.llm import bpe, token_counts
+from pairloom.llm import bpe, grace_dedup, pareto_mix, token_counts
 
 
 def vocabulary(name: str) -> str:
@@ -28,6 +28,81 @@ def bpe_round_trip(spark, sf_dir):
     )
 
 
+def exact_dedup(spark, sf_dir):
+    return grace_dedup.copy_groups(table(spark, sf_dir, "documents"))
+
+
+EXACT_DEDUP_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars,
+         regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS content
+  FROM documents)
+SELECT doc_id,
+       first_value(doc_id) OVER best AS keep_id,
+       count(*) OVER (PARTITION BY content) AS group_size,
+       row_number() OVER best = 1 AS kept,
+       sha256(content) AS text_sha256
+FROM texts
+WINDOW best AS (PARTITION BY content ORDER BY chars DESC, doc_id NULLS LAST)
+"""
+
+
+def source_mix(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return pareto_mix.mix(docs).select("doc_id", "size", "source_size", "target", "taken")
+
+
+SOURCE_MIX_SQL = r"""
+WITH sized AS (
+  SELECT doc_id, source,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         (('0x' || md5('mix-' || coalesce(doc_id::VARCHAR, md5(coalesce(text, ''))))[1:13])::UBIGINT
+           ::DOUBLE + 0.5) / pow(2.0, 52) AS u
+  FROM documents),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS weight
+  FROM sized GROUP BY source),
+filled AS (
+  SELECT *, 3.0 * source_size / weight AS full_at,
+         (SELECT sum(source_size) FROM sources)
+           - coalesce(sum(3.0 * source_size) OVER before, 0.0) AS left_over,
+         sum(weight) OVER (ORDER BY 3.0 * source_size / weight, source NULLS LAST
+                           ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight
+  FROM sources
+  WINDOW before AS (ORDER BY 3.0 * source_size / weight, source NULLS LAST
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (
+  SELECT left_over::DOUBLE / open_weight AS level FROM filled
+  WHERE left_over / open_weight <= full_at ORDER BY full_at, source NULLS LAST LIMIT 1),
+targets AS (
+  SELECT source, source_size, least(3.0 * source_size::DOUBLE, level * weight) AS target
+  FROM sources, level),
+rates AS (
+  SELECT s.*, t.source_size, t.target,
+         CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
+ranked AS (
+  SELECT *, floor(least(3.0, rate)) AS whole,
+         CASE WHEN rate > floor(rate) THEN
+           u / (1 - u) / ((rate - floor(rate)) / (1 - (rate - floor(rate)))) END AS odds
+  FROM rates),
+steps AS (
+  SELECT source, odds, max(target) - any_value(w.certain) AS need, sum(size) AS words
+  FROM ranked JOIN (SELECT source AS s2, sum(whole * size) AS certain FROM ranked GROUP BY 1) w
+    ON source IS NOT DISTINCT FROM w.s2
+  WHERE odds IS NOT NULL GROUP BY source, odds),
+running AS (
+  SELECT *, sum(words) OVER (PARTITION BY source ORDER BY odds) AS upto FROM steps),
+cuts AS (
+  SELECT source AS s3, max(odds) AS cut FROM running
+  WHERE upto - need < need - (upto - words) GROUP BY source)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+       (size * (whole + CASE WHEN odds <= cut THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM ranked LEFT JOIN cuts ON source IS NOT DISTINCT FROM s3
+"""
+
+
 def token_lengths(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.count_tokens(docs, vocabulary("byte_bpe_50k.json"))
@@ -36,7 +111,12 @@ def token_lengths(spark, sf_dir):
 
 QUERIES = {
     "op3_bpe": bpe_round_trip,
+    "op4_exact_dedup": exact_dedup,
     "op8_token_counts": token_lengths,
+    "op9_source_mix": source_mix,
 }
 
-ORACLE_SQL = {}
+ORACLE_SQL = {
+    "op4_exact_dedup": EXACT_DEDUP_SQL,
+    "op9_source_mix": SOURCE_MIX_SQL,
+}
