@@ -27,15 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pairloom.llm.shared import HOT_ROWS, meet_groups
 from pairloom.session import materialize
 
 # Bytes of distinct contents a table holds: in the first pass, and per partition.
 LOCAL_BYTES = 48 << 20
 TABLE_BYTES = 96 << 20
 FANOUT = 8
-# A group is hot above this size and above 1/MAX_HOT of all rows: under MAX_HOT of them.
-HOT_ROWS = 10_000
-MAX_HOT = 10_000
 
 _BLANKS = b" \t\n\x0b\x0c\r"
 _ROW, _CHARS, _DIGEST, _ROWS = "_dedup_row", "_dedup_chars", "_dedup_digest", "_dedup_rows"
@@ -245,11 +243,7 @@ def keep_one(docs: DataFrame, id_col="doc_id", text_col="text",
 
 def copy_groups(docs: DataFrame, id_col="doc_id", text_col="text", hot_rows=HOT_ROWS,
                 local_bytes=LOCAL_BYTES, table_bytes=TABLE_BYTES) -> DataFrame:
-    """Every row: its id, keep_id, group_size, kept, text_sha256.
-
-    The groups of nearly all rows meet their members in an equi join; the few groups
-    that would fill one task (at most MAX_HOT rows) are broadcast instead.
-    """
+    """Every row: its id, keep_id, group_size, kept, text_sha256."""
     stored = _stored(docs.select(id_col, text_col), id_col, text_col, local_bytes)
     groups = materialize(_kept(stored, id_col, text_col, table_bytes).select(
         _DIGEST,
@@ -258,15 +252,7 @@ def copy_groups(docs: DataFrame, id_col="doc_id", text_col="text", hot_rows=HOT_
         F.col(_ROWS).alias("group_size"),
     ))
     members = stored.filter(F.col(_ROWS).isNull()).select(id_col, _ROW, _DIGEST)
-    total, largest = groups.agg(F.sum("group_size"), F.max("group_size")).first()
-    limit = max(hot_rows, (total or 0) // MAX_HOT)
-    if (largest or 0) <= limit:
-        joined = members.join(groups, _DIGEST)
-    else:
-        hot = groups.filter(F.col("group_size") > limit)
-        rest = members.join(F.broadcast(hot.select(_DIGEST)), _DIGEST, "left_anti")
-        cold = groups.filter(F.col("group_size") <= limit)
-        joined = members.join(F.broadcast(hot), _DIGEST).unionByName(rest.join(cold, _DIGEST))
+    joined = meet_groups(members, groups, _DIGEST, "group_size", hot_rows)
     return joined.select(
         id_col,
         "keep_id",

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from pairloom.llm import bpe, grace_dedup, pareto_mix, token_counts
+from pairloom.llm import bpe, grace_dedup, ngram_join, pareto_mix, token_counts
 
 
 def vocabulary(name: str) -> str:
@@ -16,6 +16,10 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def ngram_join_classes(spark, sf_dir):
+    return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 def bpe_round_trip(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.round_trip(docs, vocabulary("word_bpe_49k.json"))
@@ -110,6 +114,7 @@ def token_lengths(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_ngram_join": ngram_join_classes,
     "op3_bpe": bpe_round_trip,
     "op4_exact_dedup": exact_dedup,
     "op8_token_counts": token_lengths,
