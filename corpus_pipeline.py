@@ -1,19 +1,46 @@
 """Documents from raw rows to token ids: language, copies, near copies, mix, encoding.
 
-Each stage is written as Parquet and read again as the next one's documents.
+Each stage is written as Parquet and read again as the next one's documents. Rows
+that a stage drops are gone for the later ones; a row that the mix takes twice is two rows.
 """
 
-from pairloom.llm import bpe
+from pairloom.llm import bpe, grace_dedup, language_mix, ngram_join, pareto_mix
 from pairloom.llm.queries import table, vocabulary
 from pairloom.session import materialize
 
 
-def encode_documents(spark, docs, sf_dir):
+def known_language(spark, docs, sf_dir):
+    """Drops documents in which no language is found: without text or letters."""
+    found = language_mix.identify_languages(docs)
+    return found.filter(found.lang_pred != language_mix.UNKNOWN).select(*docs.columns)
+
+
+def without_copies(spark, docs, sf_dir):
+    return grace_dedup.keep_one(docs)
+
+
+def without_near_copies(spark, docs, sf_dir):
+    return ngram_join.keep_one_of_each(docs)
+
+
+def mixed_sources(spark, docs, sf_dir):
+    return pareto_mix.repeated(pareto_mix.mix(docs), docs.columns)
+
+
+def encoded_documents(spark, docs, sf_dir):
+    """The mixed documents with their token ids and the text these decode to."""
     return bpe.round_trip(docs, vocabulary("word_bpe_49k.json"))
 
 
-STAGES = [("bpe", encode_documents)]
+STAGES = [
+    ("language_id", known_language),
+    ("exact_dedup", without_copies),
+    ("ngram_join", without_near_copies),
+    ("source_mix", mixed_sources),
+    ("bpe", encoded_documents),
+]
 
+# Learned language models and tokenizers are not SQL; tests hold run() against brute force.
 ORACLE_SQL = None
 
 

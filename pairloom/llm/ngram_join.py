@@ -102,17 +102,18 @@ def needed(n_a, n_b, percent):
 
 def _set_rows(batches, size):
     for batch in batches:
-        ids = batch.column(0)
-        for rows, data, bounds in words.chunks(batch.column(1)):
+        ids, keys = batch.column(0), batch.column(1)
+        for rows, data, bounds in words.chunks(batch.column(2)):
             sets = list(shingle_sets(data, bounds, size))
             nodes = [int(words.mix(s).sum(dtype=np.uint64)) for s in sets]
             yield pa.RecordBatch.from_arrays([
                 ids[rows],
+                keys[rows],
                 pa.array(np.array(nodes, np.uint64).view(np.int64)),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([pack(s) for s in sets], pa.binary()),
                 pa.array([bitmap(s) for s in sets], pa.binary()),
-            ], names=["id", "node", "n", "hashes", "bits"])
+            ], names=["id", "key", "node", "n", "hashes", "bits"])
 
 
 def _first_of_each(batches):
@@ -316,17 +317,18 @@ def _linked(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return materialize(shared.filter(enough).select("a", "b"))
 
 
-def shingle_nodes(docs: DataFrame, id_col, text_col, size):
-    """Stored (id, node, n) of every row, and one row per distinct set, bucketed by node."""
+def shingle_nodes(docs: DataFrame, id_col, text_col, size, key=None):
+    """Stored (id, key, node, n) of every row, and one row per distinct set, bucketed by node."""
     spark = docs.sparkSession
-    columns = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    key = F.lit(0).cast("bigint") if key is None else key
+    columns = docs.select(F.col(id_col).alias("id"), key.alias("key"), F.col(text_col).alias("text"))
     id_type = columns.schema["id"].dataType.simpleString()
 
     def rows(batches):
         return _set_rows(batches, size)
 
-    sets = columns.mapInArrow(rows, f"id {id_type}, node long, n long, hashes binary, bits binary")
-    members = materialize(sets.select("id", "node", "n"))
+    sets = columns.mapInArrow(rows, f"id {id_type}, key long, node long, n long, hashes binary, bits binary")
+    members = materialize(sets.select("id", "key", "node", "n"))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kept = sets.filter("n > 0").select("node", "n", "hashes", "bits")
     unique = kept.repartition(buckets, "node").sortWithinPartitions("node", "n")
@@ -401,20 +403,37 @@ def links(nodes: DataFrame, percent=80, tile_rows=TILE_ROWS):
 
 
 def jaccard_classes(docs: DataFrame, id_col="doc_id", text_col="text", size=5, percent=80,
-                    tile_rows=TILE_ROWS, hot_rows=HOT_ROWS) -> DataFrame:
-    """Every row's id, n_shingles and component_id."""
-    members, nodes = shingle_nodes(docs, id_col, text_col, size)
-    found = links(nodes, percent, tile_rows)
-    roots = components(found)
+                    tile_rows=TILE_ROWS, hot_rows=HOT_ROWS, key=None) -> DataFrame:
+    """Every row's id, n_shingles and component_id.
+
+    With a `key`, a column of longs that tells rows apart, also the row's key and
+    whether it stays when each class keeps one row: that of the least id (null last), then key.
+    """
+    members, nodes = shingle_nodes(docs, id_col, text_col, size, key)
+    roots = components(links(nodes, percent, tile_rows))
     smallest = members.filter("n > 0").groupBy("node", "n").agg(
-        F.min("id").alias("least"), F.count(F.lit(1)).alias("rows"))
-    rooted = smallest.join(roots, "node", "left_outer").withColumn("root", F.coalesce("root", "node"))
-    rooted = materialize(rooted)
+        F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("least"),
+        F.count(F.lit(1)).alias("rows"))
+    rooted = materialize(smallest.join(roots, "node", "left_outer").withColumn(
+        "root", F.coalesce("root", "node")))
     heads = materialize(rooted.groupBy("root").agg(
-        F.min("least").alias("component_id"), F.count(F.lit(1)).alias("nodes")))
-    labels = meet_groups(rooted, heads, "root", "nodes").select("node", "component_id", "rows")
-    labels = materialize(labels)
+        F.min("least").alias("head"), F.count(F.lit(1)).alias("nodes")))
+    labels = meet_groups(rooted.select("node", "root", "rows"), heads, "root", "nodes")
+    labels = materialize(labels.select(
+        "node", "rows", F.col("head.id").alias("component_id"), F.col("head.key").alias("head_key")))
     whole = meet_groups(members.filter("n > 0"), labels, "node", "rows", hot_rows)
-    alone = members.filter("n = 0").withColumn("component_id", F.col("id"))
+    stays = F.col("id").eqNullSafe(F.col("component_id")) & (F.col("key") == F.col("head_key"))
+    whole = whole.withColumn("stays", stays)
+    alone = members.filter("n = 0").withColumns({"component_id": F.col("id"), "stays": F.lit(True)})
     columns = [F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id"]
+    if key is not None:
+        columns += ["key", "stays"]
     return whole.select(columns).unionByName(alone.select(columns))
+
+
+def keep_one_of_each(docs: DataFrame, id_col="doc_id", text_col="text", **options) -> DataFrame:
+    """The rows of `docs` without all but one of each class; rows without words stay."""
+    key = F.xxhash64(id_col, text_col)
+    classes = jaccard_classes(docs, id_col, text_col, key=key, **options)
+    dropped = classes.filter(~F.col("stays")).select(F.col("key").alias("_dropped"))
+    return docs.join(dropped, key == F.col("_dropped"), "left_anti")

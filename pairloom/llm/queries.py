@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from pairloom.llm import bpe, grace_dedup, ngram_join, pareto_mix, token_counts
+from pairloom.llm import bpe, grace_dedup, language_mix, ngram_join, pareto_mix, token_counts
 
 
 def vocabulary(name: str) -> str:
@@ -107,6 +107,11 @@ FROM ranked LEFT JOIN cuts ON source IS NOT DISTINCT FROM s3
 """
 
 
+def languages(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language_mix.identify_languages(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def token_lengths(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.count_tokens(docs, vocabulary("byte_bpe_50k.json"))
@@ -117,6 +122,7 @@ QUERIES = {
     "op1_ngram_join": ngram_join_classes,
     "op3_bpe": bpe_round_trip,
     "op4_exact_dedup": exact_dedup,
+    "op7_languages": languages,
     "op8_token_counts": token_lengths,
     "op9_source_mix": source_mix,
 }
