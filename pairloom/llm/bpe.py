@@ -22,9 +22,11 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Bound of the worker's memory: words up to this length, and so many of them.
+# Bound of the worker's memory: words up to this length, and twice so many of them.
 CACHED_CHARS = 64
-CACHE_ENTRIES = 1_200_000
+CACHE_ENTRIES = 200_000
+# Rows whose ids are Python objects at the same time.
+SLICE_ROWS = 200
 
 ENCODED = "struct<ids:array<int>,decoded:string>"
 
@@ -44,14 +46,20 @@ def byte_symbols() -> list[str]:
 
 
 class _Words(dict):
+    """Remembers ids in two generations, so words in use outlive the rare ones."""
+
     def __init__(self, encode):
         super().__init__()
         self._encode = encode
+        self._older = {}
 
     def __missing__(self, word):
-        ids = self._encode(word)
+        ids = self._older.get(word)
+        if ids is None:
+            ids = self._encode(word)
         if len(word) <= CACHED_CHARS:
             if len(self) >= CACHE_ENTRIES:
+                self._older = dict(self)
                 self.clear()
             self[word] = ids
         return ids
@@ -159,12 +167,19 @@ def _id_lists(lists: list[list[int]]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
 
 
+def _by_slices(values: pa.Array, make) -> pa.Array:
+    """Apply `make` to slices of a batch, so that only one is held as objects."""
+    parts = [make(values.slice(at, SLICE_ROWS).to_pylist()) for at in range(0, len(values), SLICE_ROWS)]
+    return pa.concat_arrays(parts) if parts else make([])
+
+
 def encoded(text: Column, tokenizer: str) -> Column:
     """Ids of a text column."""
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
-        return _id_lists([_coder(tokenizer).encode(t) for t in texts.to_pylist()])
+        coder = _coder(tokenizer)
+        return _by_slices(texts, lambda part: _id_lists([coder.encode(t) for t in part]))
 
     return encode(F.coalesce(text, F.lit("")))
 
@@ -174,7 +189,8 @@ def decoded(ids: Column, tokenizer: str) -> Column:
 
     @F.arrow_udf("string")
     def decode(lists: pa.Array) -> pa.Array:
-        return pa.array([_coder(tokenizer).decode(x or ()) for x in lists.to_pylist()], pa.string())
+        coder = _coder(tokenizer)
+        return _by_slices(lists, lambda part: pa.array([coder.decode(x or ()) for x in part], pa.string()))
 
     return decode(ids)
 
@@ -182,13 +198,15 @@ def decoded(ids: Column, tokenizer: str) -> Column:
 def round_trip(docs: DataFrame, tokenizer: str, text="text") -> DataFrame:
     """`docs` with the columns ids and decoded, made in one pass over the texts."""
 
+    def coded(part):
+        lists = [_coder(tokenizer).encode(t) for t in part]
+        back = pa.array([_coder(tokenizer).decode(ids) for ids in lists], pa.string())
+        return pa.StructArray.from_arrays([_id_lists(lists), back], ["ids", "decoded"])
+
     @F.arrow_udf(ENCODED)
     def both(texts: pa.Array) -> pa.Array:
-        coder = _coder(tokenizer)
-        lists = [coder.encode(t) for t in texts.to_pylist()]
-        back = pa.array([coder.decode(ids) for ids in lists], pa.string())
-        return pa.StructArray.from_arrays([_id_lists(lists), back], ["ids", "decoded"])
+        return _by_slices(texts, coded)
 
     kept = docs.drop("ids", "decoded", "_coded")
-    coded = kept.withColumn("_coded", both(F.coalesce(F.col(text), F.lit(""))))
-    return coded.select(*kept.columns, "_coded.ids", "_coded.decoded")
+    found = kept.withColumn("_coded", both(F.coalesce(F.col(text), F.lit(""))))
+    return found.select(*kept.columns, "_coded.ids", "_coded.decoded")
