@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from pairloom.llm import bpe, grace_dedup, language_mix, ngram_join, pareto_mix, token_counts
+from pairloom.llm import bpe, grace_dedup, host_filter, language_mix, ngram_join, ngram_trie, pareto_mix, token_counts
 
 
 def vocabulary(name: str) -> str:
@@ -20,6 +20,74 @@ def ngram_join_classes(spark, sf_dir):
     return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"))
 
 
+URL_RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+def url_verdicts(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return host_filter.judge_urls(pages, URL_RULES).drop("url", "bound")
+
+
+_SHRINK_SQL = """
+{level}_spread AS (
+  SELECT CASE WHEN coalesce(sum(n - 1) FILTER (n > 0), 0) = 0 THEN 10.0
+    WHEN sum(n * pow(good / n - rate, 2) / (rate * (1 - rate))) FILTER (n > 0) <= count(*) FILTER (n > 0)
+      THEN 1000.0
+    ELSE least(1000.0, greatest(1.0, sum(n - 1) FILTER (n > 0)
+      / (sum(n * pow(good / n - rate, 2) / (rate * (1 - rate))) FILTER (n > 0)
+         - count(*) FILTER (n > 0)) - 1)) END AS m
+  FROM {level}),
+{level}_post AS (
+  SELECT l.*, good + m * rate AS a, n - good + m * (1 - rate) AS b FROM {level} l, {level}_spread)"""
+
+URL_VERDICTS_SQL = r"""
+WITH parts AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN url[strpos(url, '://') + 3:] ELSE '' END AS rest
+  FROM pages),
+split AS (
+  SELECT page_id,
+         translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                   'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parts),
+ruled AS (
+  SELECT *, '.' || host AS dotted,
+    CASE WHEN ends_with(dotted, '.example.org') AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+         WHEN ends_with(dotted, '.example.org') AND starts_with(path, '/es/') THEN 'example.org/es/'
+         WHEN ends_with(dotted, '.com') AND starts_with(path, '/fr/') THEN 'com/fr/'
+         WHEN ends_with(dotted, '.com') AND starts_with(path, '/de/') THEN 'com/de/'
+         WHEN ends_with(dotted, '.org') AND starts_with(path, '/') THEN 'org/' END AS rule,
+    CASE WHEN rule IN ('org/', 'com/fr/') THEN 1 WHEN rule IS NOT NULL THEN 0 END AS good
+  FROM split),
+hosts AS (
+  SELECT host, array_to_string(string_split(host, '.')[-2:], '.') AS domain,
+         string_split(host, '.')[-1] AS suffix,
+         count(good)::DOUBLE AS n, coalesce(sum(good), 0)::DOUBLE AS good
+  FROM ruled GROUP BY host),
+level_1 AS (
+  SELECT suffix, sum(n) AS n, sum(good) AS good,
+         (SELECT (coalesce(sum(good), 0) + 1.0) / (coalesce(sum(n), 0) + 2.0) FROM hosts) AS rate
+  FROM hosts GROUP BY suffix),""" + _SHRINK_SQL.format(level="level_1") + """,
+level_2 AS (
+  SELECT suffix, domain, sum(h.n) AS n, sum(h.good) AS good, any_value(a / (a + b)) AS rate
+  FROM hosts h JOIN level_1_post USING (suffix) GROUP BY suffix, domain),""" + _SHRINK_SQL.format(
+    level="level_2") + """,
+level_3 AS (
+  SELECT h.host, h.n, h.good, a / (a + b) AS rate FROM hosts h JOIN level_2_post USING (domain)),""" + (
+    _SHRINK_SQL.format(level="level_3")) + """
+SELECT page_id, host, path, rule,
+  CASE WHEN r.good = 1 THEN 'allow' WHEN r.good = 0 THEN 'block'
+       WHEN a / (a + b) - sqrt(a / (a + b) * (1 - a / (a + b)) / (a + b + 1)) >= 0.5 THEN 'allow'
+       ELSE 'block' END AS verdict
+FROM ruled r JOIN level_3_post USING (host)
+"""
+
+
 def bpe_round_trip(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.round_trip(docs, vocabulary("word_bpe_49k.json"))
@@ -118,16 +186,24 @@ def token_lengths(spark, sf_dir):
     return counted.drop("text")
 
 
+def lm_scores(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ngram_trie.score_held_out(docs).drop("text")
+
+
 QUERIES = {
     "op1_ngram_join": ngram_join_classes,
+    "op2_url_filter": url_verdicts,
     "op3_bpe": bpe_round_trip,
     "op4_exact_dedup": exact_dedup,
     "op7_languages": languages,
     "op8_token_counts": token_lengths,
     "op9_source_mix": source_mix,
+    "op10_lm_scores": lm_scores,
 }
 
 ORACLE_SQL = {
+    "op2_url_filter": URL_VERDICTS_SQL,
     "op4_exact_dedup": EXACT_DEDUP_SQL,
     "op9_source_mix": SOURCE_MIX_SQL,
 }
