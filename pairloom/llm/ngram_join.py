@@ -5,14 +5,18 @@ hashed bits sized to its set. The join finds every pair at or above the threshol
 
 1. Order all shingles, rare before common. Two sets that reach the threshold share one
    among the first `n - ceil(t * n) + 1` of each, so a tile per such shingle holds all pairs.
+   In the tile of the first one they share, their places in the order bound the overlap
+   by what is left of each set; in every tile only pairs that this bound allows count.
 2. A tile is sorted by set size and cut into size bands; in each band every node is a
    candidate with the band's first. Of a node's candidates the one that it shares most
    tiles with is verified, which already joins most large groups of near copies.
-3. Pairs of a tile that are not yet in one component follow. Their bitmaps bound the
+3. Neighbours in a tile that are not yet in one component follow, in rounds, while these
+   still join many: of each node the pair with the highest bound.
+4. Then all pairs of a tile that are not yet in one component. Their bitmaps bound the
    overlap from above: a bit that only one side has is a shingle only that side has.
    Pairs that pass are verified by intersecting the sorted hashes.
 
-Common shingles are those in over-full buckets of a sketch of fixed size over all
+How common a shingle is comes from a sketch of fixed size that counts those of all
 sets; any order is right, this one keeps tiles small. Tiles too large for one task
 are split into blocks that meet pairwise, so no pair is lost.
 
@@ -22,6 +26,8 @@ component; null ids never become a component's id. Shingles are compared by
 48-bit hashes (64-bit for the counts), sets by a 64-bit hash and their size.
 """
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,10 +38,14 @@ from pairloom.llm import words
 from pairloom.llm.shared import HOT_ROWS, components, meet_groups
 from pairloom.session import materialize, scratch_path
 
-SKETCH_BITS = 20
+SKETCH_BITS = 22
 TILE_ROWS = 2048
-_CHUNK = 4096
-_FACTORS = words.numbers(64, 2)
+# Rounds over neighbours in tiles before all pairs that are left; they change no result.
+ROUNDS = 6
+NEAR = 2
+LEAST_JOINED = 20
+_CHUNK = 1 << 16
+_FACTORS = words.numbers(64, 2)  # shingles have at most 64 words
 _LENGTHS = words.numbers(64, 3)
 
 
@@ -137,53 +147,59 @@ def _sketch(batches):
     for at in range(0, len(counts), _CHUNK):
         part = counts[at : at + _CHUNK]
         if part.any():
+            # Counts of one task are small, so they compress well.
+            small = zlib.compress(part.tobytes(), 1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([at]), pa.array([part.tobytes()], pa.binary())], names=["at", "counts"])
+                [pa.array([at]), pa.array([small], pa.binary())], names=["at", "counts"])
 
 
 def _sketch_sum(table: pa.Table) -> pa.Table:
     total = np.zeros(_CHUNK, np.int64)
     for part in table.column("counts").to_pylist():
-        total += np.frombuffer(part, np.int32)
-    return pa.table({"at": [table.column("at")[0].as_py()], "counts": [total.tobytes()]})
+        total += np.frombuffer(zlib.decompress(part), np.int32)
+    packed = zlib.compress(total.tobytes(), 1)
+    return pa.table({"at": [table.column("at")[0].as_py()], "counts": [packed]})
 
 
-def common_buckets(sets: DataFrame) -> np.ndarray:
-    """Flags of the buckets that hold far more than an even share of all shingles."""
+def shingle_levels(sets: DataFrame) -> np.ndarray:
+    """Per bucket of the sketch, how far it is above an even share: 0 for as usual."""
     parts = sets.select("hashes").mapInArrow(_sketch, "at long, counts binary")
     # The table has a fixed number of rows and bytes, whatever the input.
     rows = parts.groupBy("at").applyInArrow(_sketch_sum, "at long, counts binary").collect()
     counts = np.zeros(1 << SKETCH_BITS, np.int64)
     for row in rows:
-        counts[row.at : row.at + _CHUNK] = np.frombuffer(row.counts, np.int64)
+        counts[row.at : row.at + _CHUNK] = np.frombuffer(zlib.decompress(row.counts), np.int64)
     mean = counts.mean()
-    return counts > mean + 6 * np.sqrt(mean) + 24
+    usual = 4 * np.sqrt(mean) + 2
+    above = np.maximum((counts - mean) / usual, 1.0)
+    return np.ceil(2 * np.log2(above)).astype(np.uint8)
 
 
-def _tile_rows(batches, common, percent):
+def _tile_rows(batches, levels, percent):
     for batch in batches:
         nodes, sizes = (batch.column(i).to_numpy() for i in (0, 1))
-        tokens, counts = [], []
+        tokens, places = [], []
         for packed in batch.column(2).to_pylist():
             hashes = unpack(packed)
             n = len(hashes)
             prefix = n - -(-percent * n // 100) + 1
-            flagged = common[(hashes >> np.uint64(48 - SKETCH_BITS)).astype(np.int64)]
-            # The hashes are sorted, so rare ones in order, then common ones in order.
-            ordered = np.concatenate([hashes[~flagged], hashes[flagged]])[:prefix]
+            level = levels[(hashes >> np.uint64(48 - SKETCH_BITS)).astype(np.int64)]
+            # The hashes are sorted, so rare ones come first, and equal levels by hash.
+            ordered = hashes[np.argsort(level, kind="stable")[:prefix]]
             tokens.append(ordered.view(np.int64))
-            counts.append(len(ordered))
+            places.append(np.arange(len(ordered)))
         if tokens:
+            counts = [len(t) for t in tokens]
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.concatenate(tokens)), pa.array(np.repeat(nodes, counts)),
-                pa.array(np.repeat(sizes, counts)),
-            ], names=["token", "node", "n"])
+                pa.array(np.repeat(sizes, counts)), pa.array(np.concatenate(places)),
+            ], names=["token", "node", "n", "place"])
 
 
 def _first_pairs(batches, percent):
     """Of tiles sorted by size: pairs with the first of a size band, and crowded tiles.
 
-    A pair is (a, b, times); a row of a tile of more than two is (token, node, n).
+    A pair is (a, b, times); a row of a tile of more than two is (token, node, n, place).
     """
     token, open_rows = None, []
 
@@ -192,18 +208,18 @@ def _first_pairs(batches, percent):
             pairs, times = np.unique(np.concatenate(pairs), axis=0, return_counts=True)
             null = pa.nulls(len(times), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [null, null, null, *(pa.array(np.ascontiguousarray(c)) for c in pairs.T), pa.array(times)],
-                names=["token", "node", "n", "a", "b", "times"])
+                [null, null, null, null, *(pa.array(np.ascontiguousarray(c)) for c in pairs.T), pa.array(times)],
+                names=["token", "node", "n", "place", "a", "b", "times"])
         if len(crowded):
             rows = np.concatenate(crowded)
             null = pa.nulls(len(rows), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array(np.ascontiguousarray(c)) for c in rows.T), null, null, null],
-                names=["token", "node", "n", "a", "b", "times"])
+                names=["token", "node", "n", "place", "a", "b", "times"])
 
-    leader, lead_n, count, held = None, 0, 0, None
+    leader, lead_n, lead_left, count, held = None, 0, 0, 0, None
     for batch in batches:
-        rows = np.stack([batch.column(i).to_numpy() for i in range(3)], axis=1)
+        rows = np.stack([batch.column(i).to_numpy() for i in range(4)], axis=1)
         if not len(rows):
             continue
         # A token that stands alone, here and at the edges of the batch, is no tile.
@@ -212,7 +228,7 @@ def _first_pairs(batches, percent):
         pairs, crowded = [], []
         for row in rows[useful].tolist():
             if row[0] != token:
-                token, leader, lead_n, count = row[0], row[1], row[2], 1
+                token, leader, lead_n, lead_left, count = row[0], row[1], row[2], row[2] - row[3], 1
                 held = [row]
                 continue
             count += 1
@@ -223,32 +239,39 @@ def _first_pairs(batches, percent):
             else:
                 held.append(row)
             if percent * row[2] > 100 * lead_n:
-                leader, lead_n = row[1], row[2]
-            elif leader != row[1]:
+                leader, lead_n, lead_left = row[1], row[2], row[2] - row[3]
+            elif min(lead_left, row[2] - row[3]) >= needed(lead_n, row[2], percent):
                 pairs.append((leader, row[1]))
         yield from emit([np.array(pairs)] if pairs else [], [np.array(crowded)] if crowded else [])
 
 
-def _tile_pairs(batches, percent, block_rows):
-    """Pairs of different components in a tile whose bitmaps allow the overlap.
+def _tile_pairs(batches, percent, near=None):
+    """Pairs (a, b, room) of different components in a tile whose bitmaps allow the overlap.
+
+    `room` is how far the bound is above what is needed, in percent. With `near`, a row
+    meets only the next so many of other components.
 
     Rows come sorted by (token, block_a, block_b, n, node). In the tile of a block with itself all
     pairs count, in that of two blocks those across.
     """
     def pairs(rows):
         found = []
-        node, n, comp, side = (np.array(c, np.int64) for c in zip(*(r[:4] for r in rows)))
+        node, n, place, comp, side = (np.array(c, np.int64) for c in zip(*(r[:5] for r in rows)))
         if (comp == comp[0]).all():
             return found
-        maps = [np.frombuffer(r[4], np.uint8) for r in rows]
+        maps = [np.frombuffer(r[5], np.uint8) for r in rows]
+        left = n - place
         widths = np.array([len(m) for m in maps])
         ready = {}
         for i in range(len(rows) - 1):
             stop = int(np.searchsorted(n, 100 * n[i] // percent, "right"))
             others = np.arange(i + 1, stop)
             others = others[comp[others] != comp[i]]
+            allowed = np.minimum(left[i], left[others]) >= needed(n[i], n[others], percent)
+            others = others[allowed]
             if side[i] >= 0:
                 others = others[side[others] != side[i]]
+            others = others[:near]
             for width in np.unique(widths[others]):
                 some = others[widths[others] == width]
                 if width not in ready:
@@ -258,15 +281,16 @@ def _tile_pairs(batches, percent, block_rows):
                     ready[width] = places, np.stack([maps[j] for j in where])
                 places, stacked = ready[width]
                 bound = overlap_bound(n[i], maps[i], n[some], stacked[places[some]])
-                for j in some[bound >= needed(n[i], n[some], percent)]:
-                    found.append((int(node[i]), int(node[j])))
+                least = needed(n[i], n[some], percent)
+                for j, room in zip(some, 100 * (bound - least) // least):
+                    if room >= 0:
+                        found.append((min(node[i], node[j]), max(node[i], node[j]), room))
         return found
 
     def batch_of(found):
-        found = sorted({(min(p), max(p)) for p in found})
+        columns = np.unique(np.array(found, np.int64), axis=0).T
         return pa.RecordBatch.from_arrays(
-            [pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())],
-            names=["a", "b"])
+            [pa.array(np.ascontiguousarray(c)) for c in columns], names=["a", "b", "room"])
 
     key, rows, found = None, [], []
     for batch in batches:
@@ -277,8 +301,8 @@ def _tile_pairs(batches, percent, block_rows):
                     found.extend(pairs(rows))
                 key, rows = (token, block_a, block_b), []
             # Within one block all pairs count; between two, only those across.
-            node, n, comp, bits = row
-            rows.append((node, n, comp, -1 if block_a == block_b else block, bits))
+            *numbers, bits = row
+            rows.append((*numbers, -1 if block_a == block_b else block, bits))
         if len(found) > 10_000:
             yield batch_of(found)
             found = []
@@ -341,18 +365,19 @@ def shingle_nodes(docs: DataFrame, id_col, text_col, size, key=None):
 
 
 def candidate_tiles(nodes: DataFrame, percent: int) -> DataFrame:
-    common = common_buckets(nodes)
+    levels = shingle_levels(nodes)
 
     def tiles(batches):
-        return _tile_rows(batches, common, percent)
+        return _tile_rows(batches, levels, percent)
 
     def pairs(batches):
         return _first_pairs(batches, percent)
 
-    rows = nodes.select("node", "n", "hashes").mapInArrow(tiles, "token long, node long, n long")
+    rows = nodes.select("node", "n", "hashes").mapInArrow(
+        tiles, "token long, node long, n long, place long")
     placed = rows.repartition("token").sortWithinPartitions("token", "n", "node")
     return materialize(placed.mapInArrow(
-        pairs, "token long, node long, n long, a long, b long, times long"))
+        pairs, "token long, node long, n long, place long, a long, b long, times long"))
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -365,7 +390,6 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 def links(nodes: DataFrame, percent=80, tile_rows=TILE_ROWS):
     """Verified links (a, b) that connect every class of linked nodes, and its roots."""
-    spark = nodes.sparkSession
     tiles = candidate_tiles(nodes, percent)
     pairs = materialize(tiles.filter("a is not null").select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "times"
@@ -376,10 +400,27 @@ def links(nodes: DataFrame, percent=80, tile_rows=TILE_ROWS):
     edges = _linked(first, nodes, percent)
     roots = materialize(components(edges))
 
-    crowded = tiles.filter("token is not null").select("token", "node", "n")
-    root = roots.select("node", "root")
-    placed = crowded.join(root, "node", "left_outer").withColumn("root", F.coalesce("root", "node"))
-    # Only tiles that still hold several components, with the number of their rows.
+    crowded = tiles.filter("token is not null").select("token", "node", "n", "place")
+    for _ in range(ROUNDS):
+        near = _mixed_pairs(crowded, roots, nodes, percent, tile_rows, NEAR)
+        ends = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "room"))
+        best = ends.groupBy("a").agg(F.max_by("b", F.struct("room", "b")).alias("b"))
+        tried = materialize(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        more = _linked(tried, nodes, percent)
+        joined = more.count()
+        edges = edges.unionByName(more)
+        if joined:
+            roots = materialize(components(edges))
+        if 10 * joined < tried.count() or joined < LEAST_JOINED:
+            break
+    inside = _mixed_pairs(crowded, roots, nodes, percent, tile_rows).select("a", "b")
+    rest = _apart(pairs, roots).unionByName(inside).distinct()
+    return edges.unionByName(_linked(rest, nodes, percent))
+
+
+def _mixed_pairs(crowded, roots, nodes, percent, tile_rows, near=None) -> DataFrame:
+    """Pairs of tiles that still hold several components, see `_tile_pairs`."""
+    placed = crowded.join(roots, "node", "left_outer").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("token").agg(
         F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.lit(1)).alias("rows"))
     mixed = materialize(mixed.filter("low <> high").select("token", "rows"))
@@ -390,16 +431,14 @@ def links(nodes: DataFrame, percent=80, tile_rows=TILE_ROWS):
     meets = F.transform(F.sequence(F.lit(0), blocks - 1), lambda other: F.struct(
         F.least("block", other).alias("block_a"), F.greatest("block", other).alias("block_b")))
     spread = held.withColumn("meet", F.explode(meets)).select(
-        "token", "meet.block_a", "meet.block_b", "block", "node", "n", "root", "bits")
+        "token", "meet.block_a", "meet.block_b", "block", "node", "n", "place", "root", "bits")
 
     def within(batches):
-        return _tile_pairs(batches, percent, tile_rows)
+        return _tile_pairs(batches, percent, near)
 
-    inside = spread.repartition("token", "block_a", "block_b").sortWithinPartitions(
-        "token", "block_a", "block_b", "n", "node").mapInArrow(within, "a long, b long")
-    rest = _apart(pairs, roots).unionByName(inside).distinct()
-    more = _linked(rest, nodes, percent)
-    return edges.unionByName(more)
+    order = ["token", "block_a", "block_b", "n", "node"]
+    return spread.repartition(*order[:3]).sortWithinPartitions(*order).mapInArrow(
+        within, "a long, b long, room long")
 
 
 def jaccard_classes(docs: DataFrame, id_col="doc_id", text_col="text", size=5, percent=80,

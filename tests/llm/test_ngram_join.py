@@ -89,7 +89,7 @@ def test_other_thresholds(spark):
 
 
 def test_every_shingle_common_changes_nothing(spark, monkeypatch):
-    monkeypatch.setattr(ngram_join, "common_buckets", lambda s: np.ones(1 << ngram_join.SKETCH_BITS, bool))
+    monkeypatch.setattr(ngram_join, "shingle_levels", lambda s: np.ones(1 << ngram_join.SKETCH_BITS, np.uint8))
     rows = near_copies(5)
     assert found_rows(spark, rows) == brute_force(rows)
 
