@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from pairloom.llm import bpe, grace_dedup, host_filter, language_mix, ngram_join, ngram_trie, pareto_mix, token_counts
+from pairloom.llm import ball_tree, bpe, grace_dedup, host_filter, language_mix, ngram_join, ngram_trie, pareto_mix, token_counts
 
 
 def vocabulary(name: str) -> str:
@@ -175,6 +175,26 @@ FROM ranked LEFT JOIN cuts ON source IS NOT DISTINCT FROM s3
 """
 
 
+def top_vectors(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ball_tree.top_products(vectors, F.col("vec_id") % 50 == 0)
+
+
+TOP_VECTORS_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2]))::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, (row_number() OVER best)::INT AS rank, vec_id, score FROM scored
+QUALIFY row_number() OVER best <= 5
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+"""
+
+
 def languages(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return language_mix.identify_languages(docs).select("doc_id", "held_out", "lang_pred", "score")
@@ -196,6 +216,7 @@ QUERIES = {
     "op2_url_filter": url_verdicts,
     "op3_bpe": bpe_round_trip,
     "op4_exact_dedup": exact_dedup,
+    "op6_top_vectors": top_vectors,
     "op7_languages": languages,
     "op8_token_counts": token_lengths,
     "op9_source_mix": source_mix,
@@ -205,5 +226,6 @@ QUERIES = {
 ORACLE_SQL = {
     "op2_url_filter": URL_VERDICTS_SQL,
     "op4_exact_dedup": EXACT_DEDUP_SQL,
+    "op6_top_vectors": TOP_VECTORS_SQL,
     "op9_source_mix": SOURCE_MIX_SQL,
 }
