@@ -1,16 +1,16 @@
 """Elias-Fano coded monotone sequences over memory-mapped arrays, queried in bulk.
 
 A value is cut into low bits, stored packed, and a high part, stored in unary: bit
-`high + index` is set. Zeros then mark where each high part begins. Counts of zeros
-and ones per block of 512 bits make both kinds of selection fast.
+`high + index` is set. Zeros then mark where each high part begins. The number of ones
+before each word of 64 bits makes both kinds of selection fast; a sequence holds up to
+2^32 values.
 """
 
 import os
 
 import numpy as np
 
-BLOCK_WORDS = 8
-_ALL = np.uint64(0xFFFFFFFFFFFFFFFF)
+SLICE = 1 << 16
 # Place of the k-th set bit of a byte.
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
 _PLACE = np.argsort(1 - _BITS, axis=1, kind="stable").astype(np.uint8)
@@ -24,7 +24,6 @@ def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
     highs = (values >> np.uint64(low_bits)).astype(np.int64)
     n_bits = n + (universe >> low_bits) + 2
     words = -(-n_bits // 64)
-    words += -words % BLOCK_WORDS
     high = np.zeros(words, np.uint64)
     at = highs + np.arange(n)
     np.bitwise_or.at(high, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
@@ -36,8 +35,8 @@ def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
         np.bitwise_or.at(low, offset >> 6, part << shift)
         over = shift + np.uint64(low_bits) > 64
         np.bitwise_or.at(low, (offset[over] >> 6) + 1, part[over] >> (np.uint64(64) - shift[over]))
-    ones = np.bitwise_count(high).reshape(-1, BLOCK_WORDS).sum(1, dtype=np.int64)
-    before = np.append(0, np.cumsum(ones)).astype(np.int64)
+    ones = np.cumsum(np.bitwise_count(high), dtype=np.int64)
+    before = np.append(0, ones).astype(np.uint32)
     return {"high": high, "low": low, "before": before, "shape": np.array([n, low_bits], np.int64)}
 
 
@@ -45,26 +44,25 @@ class EliasFano:
     def __init__(self, high, low, before, shape):
         self.high, self.low, self.before = high, low, before
         self.n, self.low_bits = (int(x) for x in shape)
-        self.zeros = np.arange(len(before), dtype=np.int64) * (64 * BLOCK_WORDS) - before
+        self.zeros = np.arange(len(before), dtype=np.int64) * 64 - before
 
     def _select(self, rank: np.ndarray, ones: bool) -> np.ndarray:
         """Bit positions of the set (or clear) bits with these ranks, from 0."""
+        # In slices, as each rank takes a whole block of bits to look through.
+        parts = [self._select_some(rank[i : i + SLICE], ones) for i in range(0, len(rank), SLICE)]
+        return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+
+    def _select_some(self, rank, ones):
         counts = self.before if ones else self.zeros
-        block = np.searchsorted(counts, rank, "right") - 1
-        rest = rank - counts[block]
-        words = self.high[block[:, None] * BLOCK_WORDS + np.arange(BLOCK_WORDS)]
-        if not ones:
-            words = words ^ _ALL
-        upto = np.cumsum(np.bitwise_count(words), axis=1, dtype=np.int64)
-        word = (upto <= rest[:, None]).sum(1)
-        row = np.arange(len(rank))
-        rest = rest - np.where(word > 0, upto[row, word - 1], 0)
-        octets = np.ascontiguousarray(words[row, word]).view(np.uint8).reshape(-1, 8)
-        upto = np.cumsum(np.bitwise_count(octets), axis=1, dtype=np.int64)
+        word = np.searchsorted(counts, rank.astype(counts.dtype), "right") - 1
+        rest = (rank - counts[word]).astype(np.uint8)
+        bits = self.high[word]
+        octets = (bits if ones else ~bits).view(np.uint8).reshape(-1, 8)
+        upto = np.cumsum(np.bitwise_count(octets), axis=1, dtype=np.uint8)
         octet = (upto <= rest[:, None]).sum(1)
-        rest = rest - np.where(octet > 0, upto[row, octet - 1], 0)
-        place = _PLACE[octets[row, octet], rest]
-        return (block * BLOCK_WORDS + word) * 64 + octet * 8 + place
+        row = np.arange(len(rank))
+        rest = rest - np.where(octet > 0, upto[row, octet - 1], np.uint8(0))
+        return word * 64 + octet * 8 + _PLACE[octets[row, octet], rest]
 
     def _low(self, index: np.ndarray) -> np.ndarray:
         if not self.low_bits:

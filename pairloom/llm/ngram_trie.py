@@ -41,9 +41,9 @@ ADD = 0.1
 DISCOUNT = 0.75
 LEAST_COUNT = 2
 CODES_PER_UNIT = 4000
-SHARD_ROWS = 4_000_000
+SHARD_ROWS = 2_000_000
 CHUNK_BYTES = 4 << 20
-TALLY_ROWS = 4_000_000
+TALLY_ROWS = 2_000_000
 
 
 def held_out(id_col="doc_id", folds=10, fold=0):
@@ -186,16 +186,16 @@ class Level:
     def by_shard(self, numbers):
         """(position of the shard, mask) for each shard that holds some of these n-grams."""
         place = np.searchsorted(self.offsets, numbers, "right") - 1
-        for at in np.unique(place[numbers >= 0]):
+        for at in np.flatnonzero(np.bincount(place, minlength=1)):
             yield at, place == at
 
     def gather(self, key, numbers):
         """Stored values of n-grams by number; 0 where the number is negative."""
         found = np.zeros(len(numbers), np.float64)
-        for at, mask in self.by_shard(numbers):
-            mask &= numbers >= 0
-            array = self.array(at, key)
-            found[mask] = array[numbers[mask] - self.offsets[at]]
+        asked = np.flatnonzero(numbers >= 0)
+        for at, mask in self.by_shard(numbers[asked]):
+            mine = asked[mask]
+            found[mine] = self.array(at, key)[numbers[mine] - self.offsets[at]]
         return found
 
     @functools.lru_cache(maxsize=None)
@@ -208,17 +208,15 @@ class Vocabulary(Level):
 
     def ids(self, hashes):
         """Ids of these hashes, -1 for words that are not known."""
-        found = np.full(len(hashes), -1, np.int64)
         unique, where = np.unique(hashes, return_inverse=True)
         ids = np.full(len(unique), -1, np.int64)
         for at in range(len(self.shards)):
             known = self.array(at, "hashes")
-            place = np.searchsorted(known, unique)
-            place[place == len(known)] = 0
-            hit = known[place] == unique
-            ids[hit] = place[hit] + self.offsets[at]
-        found[:] = ids[where]
-        return found
+            first, last = np.searchsorted(unique, self.shards[at][:2])
+            mine = slice(first, last + 1)
+            place = np.minimum(np.searchsorted(known, unique[mine]), len(known) - 1)
+            ids[mine] = np.where(known[place] == unique[mine], place + self.offsets[at], -1)
+        return ids[where]
 
 
 class Grams(Level):
@@ -250,7 +248,10 @@ class Grams(Level):
                 continue
             pointers, grams = self.sequences(at)
             context = keys[mine] // self.n_words - first
-            begin, end = pointers.access(context), pointers.access(context + 1)
+            # The keys are sorted, so each context is asked once.
+            new = np.append(True, context[1:] != context[:-1])
+            run, context = np.cumsum(new) - 1, context[new]
+            begin, end = pointers.access(context)[run], pointers.access(context + 1)[run]
             some = begin < end
             mine, begin, end = mine[some], begin[some], end[some]
             value = keys[mine] - first * self.n_words

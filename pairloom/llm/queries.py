@@ -2,7 +2,18 @@
 
 from pyspark.sql import functions as F
 
-from pairloom.llm import ball_tree, bpe, grace_dedup, host_filter, language_mix, ngram_join, ngram_trie, pareto_mix, token_counts
+from pairloom.llm import (
+    ball_tree,
+    bpe,
+    grace_dedup,
+    host_filter,
+    language_mix,
+    ngram_join,
+    ngram_trie,
+    pareto_mix,
+    token_counts,
+    wrappers,
+)
 
 
 def vocabulary(name: str) -> str:
@@ -175,6 +186,11 @@ FROM ranked LEFT JOIN cuts ON source IS NOT DISTINCT FROM s3
 """
 
 
+def page_texts(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return wrappers.main_texts(pages).drop("html")
+
+
 def top_vectors(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return ball_tree.top_products(vectors, F.col("vec_id") % 50 == 0)
@@ -216,6 +232,7 @@ QUERIES = {
     "op2_url_filter": url_verdicts,
     "op3_bpe": bpe_round_trip,
     "op4_exact_dedup": exact_dedup,
+    "op5_page_texts": page_texts,
     "op6_top_vectors": top_vectors,
     "op7_languages": languages,
     "op8_token_counts": token_lengths,
