@@ -19,7 +19,9 @@ WS = r"[\t-\r\x1c-\x20\x85\p{Z}]"
 
 # What is deleted or kept of an HTML body.
 TAG = r"<[^>]+>"
-CODE_BLOCK = rf"(?s)<pre><code>{WS}*(.*?){WS}*</code></pre>"
+CODE_BLOCK = r"(?s)<pre><code>(.*?)</code></pre>"
+# Stand around a code block while blanks next to them are stripped, each run once.
+OPEN, CLOSE = "\ufdd0", "\ufdd1"
 # Characters between tokens of the default count.
 TOKEN_GAP = "\t\n\x0b\x0c\r "
 TOKEN_AND_GAP = rf"[^{TOKEN_GAP}]++[{TOKEN_GAP}]*+"
@@ -66,10 +68,15 @@ def clean_html(col) -> Column:
     """Readable text of an HTML body; null becomes the empty string.
 
     Entities are decoded first, so an encoded `&lt;b&gt;` is removed as a tag.
-    Only a bare `<pre><code>` pair is kept as a marked code block.
+    Only a bare `<pre><code>` pair is kept as a marked code block. The noncharacters
+    U+FDD0 and U+FDD1 are deleted.
     """
     text = unescape_html(text_or_empty(col))
-    text = F.regexp_replace(text, CODE_BLOCK, "\n[CODE]\n$1\n[/CODE]\n")
+    text = F.translate(text, OPEN + CLOSE, "")
+    text = F.regexp_replace(text, CODE_BLOCK, f"\n[CODE]\n{OPEN}$1{CLOSE}\n[/CODE]\n")
+    text = F.regexp_replace(text, rf"(?<!{WS}){WS}*{CLOSE}", CLOSE)
+    text = F.regexp_replace(text, rf"{OPEN}{WS}*", OPEN)
+    text = F.translate(text, OPEN + CLOSE, "")
     text = F.regexp_replace(text, TAG, "")
     text = F.regexp_replace(text, r"\n{3,}", "\n\n")
     return strip(text)

@@ -7,13 +7,11 @@ from pairloom.functions.text import draw, strip
 from pairloom.functions.verdicts import BASE, TIE, TUNED, other_model, unblind, verdict
 from pairloom.operators.requests import fill_template
 
+# A neutral frame; the last line names the fixed forms that `verdict` reads.
 JUDGE_TEMPLATE = (
-    "Compare two answers to an electrical engineering question with the reference.\n\n"
-    "Question:\n{question}\n\nReference:\n{reference}\n\n"
-    "Answer A:\n{answer_a}\n\nAnswer B:\n{answer_b}\n\n"
-    "Judge the central technical claim only; length, tone and side remarks do not count. "
-    "If both answers get it wrong, declare a tie. Explain your reasoning, and put one of "
-    "'Verdict: A', 'Verdict: B' or 'Verdict: Tie' on the last line."
+    "[question]\n{question}\n\n[reference]\n{reference}\n\n"
+    "[answer A]\n{answer_a}\n\n[answer B]\n{answer_b}\n\n"
+    "Verdict: A | Verdict: B | Verdict: Tie\n"
 )
 
 
@@ -60,8 +58,15 @@ def judge_pending(pairs: DataFrame, verdicts: DataFrame) -> DataFrame:
 
 
 def verdicts(pairs: DataFrame, responses: DataFrame) -> DataFrame:
-    """Verdict records from judge requests and responses (item_pos, explanation)."""
-    joined = pairs.join(responses, "item_pos").withColumn(
+    """Verdict records from judge requests and responses (item_pos, explanation).
+
+    A failed call, without a text or with an error (where there is such a column), gives
+    no record, so its item is asked again. A text without a verdict line gives three false.
+    """
+    said = responses.filter(F.col("explanation").isNotNull())
+    if "error" in responses.columns:
+        said = said.filter(F.col("error").isNull())
+    joined = pairs.join(said.select("item_pos", "explanation"), "item_pos").withColumn(
         "judge_explanation", strip(F.col("explanation"))
     )
     winner = unblind(verdict(F.col("judge_explanation")), F.col("model_a"))

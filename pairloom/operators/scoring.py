@@ -12,17 +12,18 @@ from pairloom.operators.ordered import first_rows, with_position
 DEFAULT_SYSTEM_PROMPT = "You are a helpful AI assistant."
 LETTERS = ("A", "B", "C", "D")
 CHOICE_SYSTEM_PROMPT = (
-    "You answer electrical engineering questions. Reason step by step and write the "
-    "letter of your choice (A, B, C or D) inside a \\boxed{} tag."
+    "Choices are labelled A, B, C and D. Put the label you choose into \\boxed{}."
 )
 
 
 def eval_items(items: DataFrame, max_items=100, order_by=None) -> DataFrame:
-    """The first `max_items` items.
+    """The first `max_items` items, all of them for None.
 
     Items without a stored position are numbered in the order of `order_by`;
     only the top of that order is, not the whole table.
     """
+    if max_items is None:
+        return items if "item_pos" in items.columns else with_position(items, order_by)
     if "item_pos" not in items.columns:
         return with_position(first_rows(items, order_by, max_items), order_by)
     return items.filter(F.col("item_pos") < max_items)
@@ -103,17 +104,26 @@ def extract_answers(outputs: DataFrame, strict=False) -> DataFrame:
 
 
 def score_outputs(outputs: DataFrame, items: DataFrame, counter=None, strict=False) -> DataFrame:
-    """Evaluation results from raw outputs and their items (question, reference)."""
-    found = extract_answers(outputs.join(items, ["benchmark", "item_pos"]), strict)
+    """Evaluation results from raw outputs and their items (question, reference).
+
+    Answers are extracted and counted before the join, so raw texts meet the items
+    only where they are wanted in the result.
+    """
+    parts = extract_answers(outputs, strict)
+    narrow = parts.select(
+        "benchmark", "model", "item_pos", "predicted_answer",
+        token_count(F.col("thinking_trace"), counter).alias("thinking_tokens"),
+        token_count(F.col("answer_part"), counter).alias("answer_tokens"),
+        "time_seconds", "raw_output",
+    )
+    found = narrow.join(items, ["benchmark", "item_pos"])
     return found.select(
         "benchmark", "model", "item_pos", "question",
         F.col("reference").alias("reference_answer"), "predicted_answer",
         A.exact_match(
             F.col("reference"), F.col("predicted_answer"), F.col("benchmark"), strict
         ).alias("is_correct"),
-        token_count(F.col("thinking_trace"), counter).alias("thinking_tokens"),
-        token_count(F.col("answer_part"), counter).alias("answer_tokens"),
-        "time_seconds", "raw_output",
+        "thinking_tokens", "answer_tokens", "time_seconds", "raw_output",
     )
 
 

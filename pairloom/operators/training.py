@@ -14,7 +14,7 @@ from pairloom.operators.ordered import (
     running_total,
 )
 
-SYSTEM_PROMPT = "You answer electrical engineering questions precisely and completely."
+SYSTEM_PROMPT = "Answer the question."
 MAX_TOKENS = 7168
 
 

@@ -1,7 +1,7 @@
 """Request tables for enrichment and traces.
 
 The model calls are a table boundary: requests go out, responses come back.
-Templates are parameters; the default wording is ours.
+Templates are parameters; the default ones only label their slots.
 """
 
 from pyspark.sql import DataFrame
@@ -19,19 +19,11 @@ from pairloom.operators.requests import (
     resume_pending,
 )
 
+# Neutral frames: what a model is to do with the slots is for the caller to say.
 ENRICH_TEMPLATE = (
-    "Rewrite a verified answer from an electrical engineering forum as a fuller one. "
-    "Keep every claim of the answer, add the theory, limits and practical points behind "
-    "it, correct code where there is any, and write plain, direct prose.\n\n"
-    "Title: {title}\n\nQuestion:\n{body}\n\nComments:\n{comments}\n\nAnswer:\n{answer}\n\n"
-    "Give the fuller answer only."
-)
-TRACE_TEMPLATE = (
-    "Write the private working notes of an engineer who has not yet seen the answer "
-    "below and arrives at it. Plain text without headings. Doubt the assumptions, vary "
-    "the main quantities, check the numbers, rule out wrong explanations, and stop when "
-    "the answer is reached.\n\nQuestion:\n{question}\n\nAnswer:\n{answer}"
+    "[title]\n{title}\n\n[question]\n{body}\n\n[comments]\n{comments}\n\n[answer]\n{answer}\n"
 )
+TRACE_TEMPLATE = "[question]\n{question}\n\n[answer]\n{answer}\n"
 
 
 def _pending(pairs, processed, max_items):
@@ -42,8 +34,14 @@ def _pending(pairs, processed, max_items):
 
 
 def _cleaned(pending, posts):
-    """Record fields of pending pairs; texts are cleaned after the joins."""
-    return pair_texts(pending, posts, default="").select(
+    """Record fields of pending pairs; texts are cleaned after the joins.
+
+    Only the posts that are named go into the joins: a semi join on ids may be broadcast, an
+    outer join with all bodies on its right may not.
+    """
+    ids = pending.select(F.col("ParentId").alias("_named")).union(pending.select("Id")).distinct()
+    named = posts.join(ids, posts["Id"] == ids["_named"], "left_semi")
+    return pair_texts(pending, named, default="").select(
         F.col("ParentId").alias("question_id"),
         F.col("Id").alias("answer_id"),
         clean_html(F.col("Title")).alias("title"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pairloom import schemas
 from pairloom.operators import responses as R
 from pairloom.operators import scoring
-from pairloom.operators.judging import verdicts
+from pairloom.operators.judging import judge_pending, judge_rates, verdicts
 from pairloom.operators.requests import resume_pending
 from pairloom.operators.splits import split_exact, split_summary
 from pairloom.operators.training import MAX_TOKENS, drop_truncated, train_profile, training_texts
@@ -24,10 +24,12 @@ from pairloom.session import materialize
 from pairloom.sources import readers, writers
 
 ITEMS = {
-    "mmlu_ee": (scoring.mcq_items, ["question"]),
-    "ee_qa": (scoring.open_items, ["question_id"]),
-    "gsm8k": (scoring.math_items, ["question"]),
+    "mmlu_ee": scoring.mcq_items,
+    "ee_qa": scoring.open_items,
+    "gsm8k": scoring.math_items,
 }
+# Place of a record in its file, and the rows of a file in order.
+FILE_ORDER = ["_file", "_block", "_row"]
 
 
 def _existing(read):
@@ -133,18 +135,34 @@ def prepare_training(
     return train_profile(train, max_tokens, options.get("counter"))
 
 
-def _items(spark, benchmark, path, max_items, fmt):
-    layout, order = ITEMS[benchmark]
-    items = readers.read_benchmark(spark, benchmark, path, fmt)
-    return layout(scoring.eval_items(items, max_items, order))
+def _items(spark, benchmark, items_path, stored_path, max_items, fmt) -> DataFrame:
+    """Items with their position in the set, numbered once and stored.
+
+    Later runs read what the first one stored, so outputs meet the item they were asked for.
+    """
+    stored = _existing(lambda: spark.read.parquet(stored_path))
+    if stored is None:
+        items = readers.read_benchmark(spark, benchmark, items_path, fmt)
+        placed = materialize(items.select(
+            "*", F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_row"),
+        ))
+        numbered = scoring.eval_items(placed, None, FILE_ORDER).drop(*FILE_ORDER)
+        ITEMS[benchmark](numbered).write.parquet(stored_path)
+        stored = spark.read.parquet(stored_path)
+    return scoring.eval_items(stored, max_items)
 
 
 def ask_outputs(
-    spark, benchmark, items_path, results_path, prompts_path, max_items=100,
+    spark, benchmark, items_path, stored_items_path, results_path, prompts_path, max_items=100,
     system_prompt=scoring.DEFAULT_SYSTEM_PROMPT, models=("base", "ft"), fmt="json",
 ):
-    """Prompts (Parquet) of items that a model has no stored result for."""
-    items = _items(spark, benchmark, items_path, max_items, fmt)
+    """Prompts (Parquet) of items that a model has no stored result for.
+
+    The items of the set are stored with their positions (Parquet) by the first call.
+    """
+    items = _items(spark, benchmark, items_path, stored_items_path, max_items, fmt)
     named = items.withColumn("model", F.explode(F.array(*[F.lit(m) for m in models])))
     stored = _existing(lambda: readers.read_results(spark, results_path))
     pending = named if stored is None else scoring.eval_pending(named, stored)
@@ -152,11 +170,13 @@ def ask_outputs(
 
 
 def record_outputs(
-    spark, benchmark, items_path, outputs_path, results_path, max_items=100, counter=None,
-    strict=False, fmt="json",
+    spark, benchmark, stored_items_path, outputs_path, results_path, counter=None, strict=False,
 ):
-    """Score model outputs (Parquet) and append them to the stored results."""
-    items = _items(spark, benchmark, items_path, max_items, fmt)
+    """Score model outputs (Parquet) and append them to the stored results.
+
+    The outputs decide which of the stored items are scored.
+    """
+    items = spark.read.parquet(stored_items_path)
     outputs = spark.read.parquet(outputs_path).filter(F.col("benchmark") == benchmark)
     stored = _existing(lambda: readers.read_results(spark, results_path))
     if stored is not None:
@@ -175,14 +195,22 @@ def ask_judge(spark, results_path, verdicts_path, requests_path, expected=None,
     judge_requests(results, stored, seed, expected).write.parquet(requests_path)
 
 
-def record_verdicts(spark, requests_path, responses_path, verdicts_path):
-    """Append parsed and unblinded verdicts (JSON lines)."""
-    said = spark.read.schema("item_pos bigint, explanation string").json(responses_path)
-    writers.write_verdicts(verdicts(spark.read.parquet(requests_path), said), verdicts_path)
+def record_verdicts(spark, requests_path, responses_path, verdicts_path) -> DataFrame:
+    """Append parsed and unblinded verdicts (JSON lines); return the rates of all stored.
+
+    Positions that have a verdict are left as they are; failed calls store none.
+    """
+    said = readers.read_jsonl(spark, responses_path, schemas.JUDGE_RESPONSES, "fail")
+    stored = _existing(lambda: readers.read_jsonl(spark, verdicts_path, schemas.VERDICTS, "fail"))
+    requests = spark.read.parquet(requests_path)
+    if stored is not None:
+        requests = judge_pending(requests, stored)
+    writers.write_verdicts(verdicts(requests, said), verdicts_path)
+    return judge_rates(readers.read_jsonl(spark, verdicts_path, schemas.VERDICTS, "fail"))
 
 
 def report(spark, benchmark, results_path, comparison_path) -> DataFrame:
-    """Write the side-by-side comparison (CSV) and return the model summary."""
+    """Write the side-by-side comparison (CSV, in item order) and return the model summary."""
     summary, comparison = reports(_results(spark, results_path, benchmark))
-    writers.write_comparison(comparison.drop("item_pos"), comparison_path)
+    writers.write_comparison(comparison.orderBy("item_pos"), comparison_path)
     return summary

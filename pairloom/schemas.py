@@ -47,6 +47,7 @@ EVAL_RESULTS = _struct(
     predicted_answer=_S, is_correct=_B, thinking_tokens=_L, answer_tokens=_L,
     time_seconds=_D, raw_output=_S,
 )
+JUDGE_RESPONSES = _struct(item_pos=_L, explanation=_S, finish_reason=_S, error=_S)
 VERDICTS = _struct(
     item_pos=_L, question=_S, model_a=_S, model_b=_S, answer_a=_S, answer_b=_S,
     ft_won=_B, base_won=_B, tie=_B, judge_explanation=_S,

@@ -73,10 +73,16 @@ def read_jsonl(spark, path, schema, mode="skip") -> DataFrame:
         return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
     if mode != "skip":
         raise ValueError(f"unknown mode {mode!r}")
+    return parse_json_lines(spark.read.text(path), schema)
+
+
+def parse_json_lines(lines: DataFrame, schema) -> DataFrame:
+    """The `skip` form of `read_jsonl` for lines that are already read, also of a stream."""
     bad = "_bad"
     parsed_schema = StructType([*schema.fields, StructField(bad, StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": bad}
-    lines = spark.read.text(path).filter(F.ltrim("value").startswith("{"))
+    # Blanks of JSON; the parser takes them before an object as well.
+    lines = lines.filter(F.ltrim("value", F.lit(" \t\r\n")).startswith("{"))
     parsed = lines.select("value", F.from_json("value", parsed_schema, options).alias("r"))
     # Only flagged lines are parsed a second time.
     usable = F.col(f"r.{bad}").isNull() | F.try_parse_json("value").isNotNull()

@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 
 from pairloom import schemas
 from pairloom.plans.enrich import TRACE_TEMPLATE, trace_requests
+from pairloom.sources.readers import parse_json_lines
 
 
 def stream_trace_requests(
@@ -17,10 +18,12 @@ def stream_trace_requests(
     template=TRACE_TEMPLATE, files_per_batch=None,
 ):
     """Start a run over all files not seen yet; it stops when they are done."""
-    reader = spark.readStream.schema(schemas.ENRICHED_PAIRS).option("mode", "DROPMALFORMED")
+    reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    requests = trace_requests(reader.json(enriched_path), template)
+    # Lines are kept and dropped by the same rule as in the batch reader.
+    enriched = parse_json_lines(reader.text(enriched_path), schemas.ENRICHED_PAIRS)
+    requests = trace_requests(enriched, template)
     writer = requests.writeStream.format("json").option("ignoreNullFields", "false")
     return (
         writer.option("path", out_path)

@@ -39,10 +39,12 @@ def _bag(columns, rows):
 
 
 def test_every_query_has_a_twin():
-    assert set(QUERIES) == set(TWINS)
+    # Queries of other packages may come without one; they are tested there.
+    assert set(contract.QUERIES) == set(contract.TWINS)
+    assert set(TWINS) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(TWINS))
 def test_query_equals_twin(spark, duck, name):
     df = QUERIES[name](spark, DATA)
     ours = _bag(df.columns, [tuple(r) for r in df.collect()])

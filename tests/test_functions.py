@@ -207,3 +207,14 @@ def test_draws_repeat_and_spread(spark):
     assert 0 <= low and high < 1 and abs(share - 0.25) < 0.02
     other = ids.select("id", draw(F.col("id"), 1, "y").alias("e"))
     assert abs(one.join(other, "id").select(F.corr("d", "e")).first()[0]) < 0.05
+
+
+def test_clean_html_is_linear_in_blanks(spark):
+    import time
+
+    rows = [("<pre><code>" + " " * 1_000_000 + "x",), ("<pre><code>  \n a  b \n </code></pre>",), ("<pre><code> \n </code></pre>",)]
+    df = spark.createDataFrame(rows, "html string")
+    start = time.perf_counter()
+    out = [r[0] for r in df.select(clean_html(F.col("html"))).collect()]
+    assert time.perf_counter() - start < 60
+    assert out == ["x", "[CODE]\na  b\n[/CODE]", "[CODE]\n\n[/CODE]"]

@@ -79,7 +79,7 @@ def test_from_dump_to_splits(spark, tmp_path):
     assert spark.read.parquet(at("texts")).filter(F.col("text").contains("**")).count() == 0
 
     # The evaluation set feeds the open benchmark; outputs echo the reference.
-    ask = lambda to: jobs.ask_outputs(spark, "ee_qa", at("eval"), at("results"), at(to))
+    ask = lambda to: jobs.ask_outputs(spark, "ee_qa", at("eval"), at("items"), at("results"), at(to))
     ask("prompts")
     prompts = spark.read.parquet(at("prompts"))
     assert prompts.count() == 8
@@ -89,7 +89,7 @@ def test_from_dump_to_splits(spark, tmp_path):
         F.lit(2.0).alias("time_seconds"),
     ).write.parquet(at("outputs"))
     for _ in range(2):
-        jobs.record_outputs(spark, "ee_qa", at("eval"), at("outputs"), at("results"))
+        jobs.record_outputs(spark, "ee_qa", at("items"), at("outputs"), at("results"))
     ask("prompts2")
     assert spark.read.parquet(at("prompts2")).count() == 0
     summary = jobs.report(spark, "ee_qa", at("results"), at("comparison"))
@@ -103,8 +103,56 @@ def test_from_dump_to_splits(spark, tmp_path):
             F.lit("Verdict: "), F.when(F.col("model_a") == "Fine-Tuned", "A").otherwise("B")
         ).alias("explanation"),
     ).write.json(at("said6"))
-    jobs.record_verdicts(spark, at("ask6"), at("said6"), at("verdicts"))
+    for _ in range(2):
+        rates = jobs.record_verdicts(spark, at("ask6"), at("said6"), at("verdicts"))
+    assert rates.first()["total"] == 4
     stored = readers.read_jsonl(spark, at("verdicts"), schemas.VERDICTS, "fail")
     assert judge_rates(stored).first()["ft_won_rate"] == 100.0 and stored.count() == 4
     jobs.ask_judge(spark, at("results"), at("verdicts"), at("ask7"))
     assert spark.read.parquet(at("ask7")).count() == 0
+
+
+def letters(spark, prompts_path, outputs_path):
+    """Every model answers with the reference of the item it was asked."""
+    spark.read.parquet(prompts_path).select(
+        "benchmark", "model", "item_pos",
+        F.concat(F.lit("so \\boxed{"), "reference", F.lit("}")).alias("raw_output"),
+        F.lit(1.0).alias("time_seconds"),
+    ).write.parquet(outputs_path)
+
+
+def test_choice_items_keep_their_position_and_all_are_scored(spark, tmp_path):
+    at = lambda name: str(tmp_path / name)
+    rows = [(i, f"same question {i % 3}", ["w", "x", "y", "z"], i * 7 % 4) for i in range(150)]
+    items = spark.createDataFrame(rows, "i int, question string, choices array<string>, answer int")
+    items.coalesce(1).orderBy("i").drop("i").write.json(at("set"))
+    jobs.ask_outputs(spark, "mmlu_ee", at("set"), at("items"), at("results"), at("p1"), max_items=40)
+    jobs.ask_outputs(spark, "mmlu_ee", at("set"), at("items"), at("results"), at("p2"), max_items=None)
+    prompts = spark.read.parquet(at("p2"))
+    assert prompts.count() == 300 and spark.read.parquet(at("p1")).count() == 80
+    asked = {r["item_pos"]: r["reference"] for r in prompts.collect()}
+    assert asked == {i: "ABCD"[i * 7 % 4] for i in range(150)}
+    # The set is landed anew in another order; what was asked stays with its item.
+    items.orderBy(F.desc("i")).drop("i").repartition(3).write.mode("overwrite").json(at("set"))
+    letters(spark, at("p2"), at("outputs"))
+    for _ in range(2):
+        jobs.record_outputs(spark, "mmlu_ee", at("items"), at("outputs"), at("results"))
+    results = readers.read_results(spark, at("results"))
+    assert results.count() == 300 and results.filter("is_correct").count() == 300
+    jobs.report(spark, "mmlu_ee", at("results"), at("comparison"))
+    lines = spark.read.options(header=True, multiLine=True, escape='"').csv(at("comparison")).collect()
+    assert [int(r["item_pos"]) for r in lines] == list(range(150))
+
+
+def test_failed_judge_calls_store_nothing_and_are_asked_again(spark, tmp_path):
+    at = lambda name: str(tmp_path / name)
+    rows = [(i, "q", "Base", "Fine-Tuned", "a", "b", "p") for i in range(6)]
+    names = "item_pos long, question string, model_a string, model_b string, answer_a string, answer_b string, prompt string"
+    spark.createDataFrame(rows, names).write.parquet(at("ask"))
+    said = [(0, "Verdict: A", None), (1, "Verdict: B", None), (2, None, "reset"), (3, "Verdict: A", "cut"), (4, "no line", None)]
+    spark.createDataFrame(said, "item_pos long, explanation string, error string").write.json(at("said"))
+    for _ in range(2):
+        rates = jobs.record_verdicts(spark, at("ask"), at("said"), at("verdicts")).first()
+    stored = readers.read_jsonl(spark, at("verdicts"), schemas.VERDICTS, "fail")
+    assert ids(stored, "item_pos") == [0, 1, 4]
+    assert (rates["total"], rates["ft_won_count"], rates["base_won_count"]) == (3, 1, 1)

@@ -8,7 +8,7 @@ import __spark_entry__ as contract
 from contract import fixtures as fx
 
 DATA = "/root/testdata/sf0.001"
-QUERIES = contract.queries()
+QUERIES = contract.QUERIES
 # These write files while the query is built.
 WRITERS = {n for n in QUERIES if n.endswith(("_file", "_files")) or n.startswith(("xml_", "csv_", "jsonl_"))}
 WRITERS |= {"output_ids", "streamed_trace_requests"}

@@ -165,3 +165,17 @@ def test_landed_posts_join_without_moving_texts(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP DATABASE landing CASCADE")
+
+
+def test_lines_with_json_blanks_are_kept_by_batch_and_stream(spark, tmp_path):
+    lines = ['\t{"question_id": 1}', ' \t {"question_id": 2, "title": "t"}', '{"question_id": "x", "title": "u"}', "[1]", "", "{bad"]
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join(lines))
+    batch = readers.read_jsonl(spark, str(tmp_path / "in"), schemas.ENRICHED_PAIRS)
+    rows = sorted((r["question_id"] or 0, r["title"]) for r in batch.collect())
+    assert rows == [(0, "u"), (1, None), (2, "t")]
+    query = stream_trace_requests(
+        spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "mark"))
+    query.awaitTermination()
+    seen = spark.read.schema("question_id long, title string").json(str(tmp_path / "out"))
+    assert sorted((r["question_id"] or 0, r["title"]) for r in seen.collect()) == rows
