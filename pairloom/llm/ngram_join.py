@@ -41,8 +41,8 @@ from pairloom.session import materialize, scratch_path
 SKETCH_BITS = 22
 TILE_ROWS = 2048
 # Rounds over neighbours in tiles before all pairs that are left; they change no result.
-ROUNDS = 6
-NEAR = 2
+ROUNDS = 2
+NEAR = 4
 LEAST_JOINED = 20
 _CHUNK = 1 << 16
 _FACTORS = words.numbers(64, 2)  # shingles have at most 64 words

@@ -45,25 +45,27 @@ def _stars(edges: DataFrame, larger: bool) -> DataFrame:
     else:
         moved = edges.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         moved = moved.unionByName(least.select("a", F.col("m").alias("b")))
-    return moved.filter("a > b").distinct()
+    return moved.filter("a > b")
+
+
+def _not_stars(edges: DataFrame) -> int:
+    """Nodes that hang on several others, or on one and have others hang on them."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return nodes.filter("up > 1 or up = 1 and down = 1").count()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node with an edge; edges are columns a and b of longs.
 
-    Alternates large and small stars until nothing moves: a number of rounds that
+    Alternates large and small stars until only stars are left: a number of rounds that
     grows with the logarithm of the longest chain. Each round is stored.
     """
     edges = materialize(edges.filter("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    before = None
-    while True:
-        edges = materialize(_stars(_stars(edges, True), False))
-        mark = edges.agg(
-            F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == before:
-            break
-        before = mark
+    while _not_stars(edges):
+        edges = materialize(_stars(_stars(edges, True), False).distinct())
     roots = edges.select(F.col("b").alias("node")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
         roots.select("node", F.col("node").alias("root")))
