@@ -11,7 +11,7 @@ hashed bits sized to its set. The join finds every pair at or above the threshol
    candidate with the band's first. Of a node's candidates the one that it shares most
    tiles with is verified, which already joins most large groups of near copies.
 3. Neighbours in a tile that are not yet in one component follow, in rounds, while these
-   still join many: of each node the pair with the highest bound.
+   still join many: of each node the one that it so meets in most tiles.
 4. Then all pairs of a tile that are not yet in one component. Their bitmaps bound the
    overlap from above: a bit that only one side has is a shingle only that side has.
    Pairs that pass are verified by intersecting the sorted hashes.
@@ -246,10 +246,9 @@ def _first_pairs(batches, percent):
 
 
 def _tile_pairs(batches, percent, near=None):
-    """Pairs (a, b, room) of different components in a tile whose bitmaps allow the overlap.
+    """Pairs (a, b) of different components in a tile whose places and bitmaps allow the overlap.
 
-    `room` is how far the bound is above what is needed, in percent. With `near`, a row
-    meets only the next so many of other components.
+    With `near`, a row meets only the next so many of other components, without bitmaps.
 
     Rows come sorted by (token, block_a, block_b, n, node). In the tile of a block with itself all
     pairs count, in that of two blocks those across.
@@ -259,8 +258,8 @@ def _tile_pairs(batches, percent, near=None):
         node, n, place, comp, side = (np.array(c, np.int64) for c in zip(*(r[:5] for r in rows)))
         if (comp == comp[0]).all():
             return found
-        maps = [np.frombuffer(r[5], np.uint8) for r in rows]
         left = n - place
+        maps = [] if near else [np.frombuffer(r[5], np.uint8) for r in rows]
         widths = np.array([len(m) for m in maps])
         ready = {}
         for i in range(len(rows) - 1):
@@ -271,7 +270,9 @@ def _tile_pairs(batches, percent, near=None):
             others = others[allowed]
             if side[i] >= 0:
                 others = others[side[others] != side[i]]
-            others = others[:near]
+            if near:
+                found.extend((min(node[i], x), max(node[i], x)) for x in node[others[:near]])
+                continue
             for width in np.unique(widths[others]):
                 some = others[widths[others] == width]
                 if width not in ready:
@@ -281,16 +282,16 @@ def _tile_pairs(batches, percent, near=None):
                     ready[width] = places, np.stack([maps[j] for j in where])
                 places, stacked = ready[width]
                 bound = overlap_bound(n[i], maps[i], n[some], stacked[places[some]])
-                least = needed(n[i], n[some], percent)
-                for j, room in zip(some, 100 * (bound - least) // least):
-                    if room >= 0:
-                        found.append((min(node[i], node[j]), max(node[i], node[j]), room))
+                for j in some[bound >= needed(n[i], n[some], percent)]:
+                    found.append((min(node[i], node[j]), max(node[i], node[j])))
         return found
 
     def batch_of(found):
-        columns = np.unique(np.array(found, np.int64), axis=0).T
+        # Rounds count how many tiles a pair meets in, so there copies stay.
+        pairs_ = np.array(found, np.int64)
+        columns = (pairs_ if near else np.unique(pairs_, axis=0)).T
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.ascontiguousarray(c)) for c in columns], names=["a", "b", "room"])
+            [pa.array(np.ascontiguousarray(c)) for c in columns], names=["a", "b"])
 
     key, rows, found = None, [], []
     for batch in batches:
@@ -301,8 +302,7 @@ def _tile_pairs(batches, percent, near=None):
                     found.extend(pairs(rows))
                 key, rows = (token, block_a, block_b), []
             # Within one block all pairs count; between two, only those across.
-            *numbers, bits = row
-            rows.append((*numbers, -1 if block_a == block_b else block, bits))
+            rows.append((*row[:4], -1 if block_a == block_b else block, *row[4:]))
         if len(found) > 10_000:
             yield batch_of(found)
             found = []
@@ -403,8 +403,9 @@ def links(nodes: DataFrame, percent=80, tile_rows=TILE_ROWS):
     crowded = tiles.filter("token is not null").select("token", "node", "n", "place")
     for _ in range(ROUNDS):
         near = _mixed_pairs(crowded, roots, nodes, percent, tile_rows, NEAR)
-        ends = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "room"))
-        best = ends.groupBy("a").agg(F.max_by("b", F.struct("room", "b")).alias("b"))
+        near = near.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"))
+        ends = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "times"))
+        best = ends.groupBy("a").agg(F.max_by("b", F.struct("times", "b")).alias("b"))
         tried = materialize(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         more = _linked(tried, nodes, percent)
         joined = more.count()
@@ -413,7 +414,7 @@ def links(nodes: DataFrame, percent=80, tile_rows=TILE_ROWS):
             roots = materialize(components(edges))
         if 10 * joined < tried.count() or joined < LEAST_JOINED:
             break
-    inside = _mixed_pairs(crowded, roots, nodes, percent, tile_rows).select("a", "b")
+    inside = _mixed_pairs(crowded, roots, nodes, percent, tile_rows)
     rest = _apart(pairs, roots).unionByName(inside).distinct()
     return edges.unionByName(_linked(rest, nodes, percent))
 
@@ -427,18 +428,21 @@ def _mixed_pairs(crowded, roots, nodes, percent, tile_rows, near=None) -> DataFr
     held = meet_groups(placed, mixed, "token", "rows")
     blocks = F.ceil(F.col("rows") / tile_rows).cast("int")
     block = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    held = held.join(nodes.select("node", "bits"), "node").withColumn("block", block)
+    if not near:
+        held = held.join(nodes.select("node", "bits"), "node")
+    held = held.withColumn("block", block)
     meets = F.transform(F.sequence(F.lit(0), blocks - 1), lambda other: F.struct(
         F.least("block", other).alias("block_a"), F.greatest("block", other).alias("block_b")))
     spread = held.withColumn("meet", F.explode(meets)).select(
-        "token", "meet.block_a", "meet.block_b", "block", "node", "n", "place", "root", "bits")
+        "token", "meet.block_a", "meet.block_b", "block", "node", "n", "place", "root",
+        *([] if near else ["bits"]))
 
     def within(batches):
         return _tile_pairs(batches, percent, near)
 
     order = ["token", "block_a", "block_b", "n", "node"]
     return spread.repartition(*order[:3]).sortWithinPartitions(*order).mapInArrow(
-        within, "a long, b long, room long")
+        within, "a long, b long")
 
 
 def jaccard_classes(docs: DataFrame, id_col="doc_id", text_col="text", size=5, percent=80,
