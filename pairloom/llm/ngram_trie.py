@@ -42,8 +42,8 @@ DISCOUNT = 0.75
 LEAST_COUNT = 2
 CODES_PER_UNIT = 4000
 SHARD_ROWS = 2_000_000
-CHUNK_BYTES = 4 << 20
-TALLY_ROWS = 2_000_000
+CHUNK_BYTES = 1 << 20
+TALLY_ROWS = 1_000_000
 
 
 def held_out(id_col="doc_id", folds=10, fold=0):
@@ -366,45 +366,32 @@ class Model:
                 np.add.reduceat(score, at))
 
 
-def _write_backoffs(masses: DataFrame, level: Level, folder):
-    """Backoff codes of all n-grams of a level from (context, mass kept, context count)."""
+def _write_backoffs(counts: DataFrame, n_words, level: Level, folder):
+    """Backoff codes of all n-grams of a level: the mass that their kept n-grams leave."""
     offsets, shards, file = level.offsets, level.shards, level.file
+    kept = counts.groupBy(F.expr(f"key div {n_words}").alias("context")).agg(
+        F.sum(F.col("times") - DISCOUNT).alias("kept"))
 
     def one(key, table):
         at = key[0].as_py()
+        contexts = table.column("context").to_numpy()
+        left = 1 - table.column("kept").to_numpy() / level.gather("times", contexts)
         codes = np.zeros(shards[at][2], np.uint16)
-        place = table.column("context").to_numpy() - offsets[at]
-        codes[place] = _coded(np.log10(np.maximum(table.column("left").to_numpy(), 1e-12)))
+        codes[contexts - offsets[at]] = _coded(np.log10(np.maximum(left, 1e-12)))
         elias_fano.save(folder, file(shards[at][3]), {"backoff": codes})
         return pa.table({"shard": [at]})
 
-    # Context numbers of a shard are a range, so the shard follows from the bounds.
+    # Context numbers of a shard are a range of bounded size, so the shard follows from the bounds.
     shard = F.lit(0)
     for at in range(1, len(shards)):
         shard = F.when(F.col("context") >= int(offsets[at]), at).otherwise(shard)
-    done = masses.withColumn("shard", shard.cast("long")).groupBy("shard").applyInArrow(one, "shard long")
+    done = kept.withColumn("shard", shard.cast("long")).groupBy("shard").applyInArrow(one, "shard long")
     written = {r.shard for r in done.collect()}
     for at, (_, _, rows, number) in enumerate(shards):
         if at not in written:
             elias_fano.save(folder, file(number), {"backoff": np.zeros(rows, np.uint16)})
 
 
-def _context_masses(counts: DataFrame, model: Model, level: Level) -> DataFrame:
-    """(context, mass that its kept n-grams leave)."""
-    n_words = model.words.size
-    kept = counts.groupBy(F.expr(f"key div {n_words}").alias("context")).agg(
-        F.sum(F.col("times") - DISCOUNT).alias("kept"))
-
-    def left(batches):
-        for batch in batches:
-            contexts, mass = (batch.column(i).to_numpy() for i in (0, 1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(contexts), pa.array(1 - mass / level.gather("times", contexts))],
-                names=["context", "left"])
-
-    return kept.mapInArrow(left, "context long, left double")
-
-
 def _write_level(counts, model, contexts: Level, name, lower):
     """Write a level of n-grams; `lower` gives log10 P of the shorter n-gram of each."""
     folder, n_words = model.folder, model.words.size
@@ -443,7 +430,7 @@ def train(docs: DataFrame, text="text") -> Model:
     if not n_tokens:
         return model
     counts = _counts(texts, model.pair_keys, LEAST_COUNT)
-    _write_backoffs(_context_masses(counts, model, model.words), model.words, folder)
+    _write_backoffs(counts, model.words.size, model.words, folder)
     pairs = _write_level(counts, model, model.words, "pairs", lambda context, word: model.unigram(word)[1])
     model = Model(folder, n_tokens, vocabulary, pairs)
     if not pairs:
@@ -451,7 +438,7 @@ def train(docs: DataFrame, text="text") -> Model:
     if model.words.size * model.pairs.size >= 2**63:
         raise ValueError("too many pairs for one key; raise LEAST_COUNT")
     counts = _counts(texts, model.triple_keys, LEAST_COUNT)
-    _write_backoffs(_context_masses(counts, model, model.pairs), model.pairs, folder)
+    _write_backoffs(counts, model.words.size, model.pairs, folder)
 
     def pair_of(context, word):
         # The pair's own words: its second word is the one before.
