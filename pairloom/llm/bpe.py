@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 
 # Bound of the worker's memory: words up to this length, and twice so many of them.
 CACHED_CHARS = 64
-CACHE_ENTRIES = 200_000
+CACHE_ENTRIES = 80_000
 # Rows whose ids are Python objects at the same time.
-SLICE_ROWS = 200
+SLICE_ROWS = 50
 
 ENCODED = "struct<ids:array<int>,decoded:string>"
 
