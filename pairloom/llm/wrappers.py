@@ -7,17 +7,19 @@ becomes optional; what either side repeats stays repeated; texts that differ bec
 slot, equal ones stay fixed. Wrappers align with wrappers the same way, so each task infers
 one per host over all pages it reads, and these are aligned per host.
 
-A host's wrapper then says where the main text lies: in its article, else its main
-element, else in the deepest group that holds most of the text outside links. Parts that are
-menus, headers, footers, sidebars, notices, adverts, forms or comments by their element or
-name are left out; without article and main element also blocks whose text is fixed in all pages.
+Each page is then mapped onto its host's wrapper, which decides what is kept. The main text
+lies in the page's articles, else its main element, else in the deepest of the page's groups that
+holds most of the text outside links, by the mean of the host's pages that have the group. There,
+slots and repeats are kept and blocks that are fixed in the wrapper are dropped. Parts that are menus,
+headers, footers, sidebars, notices, adverts, forms or comments by their element or name are left out.
 
 Defined results: null and empty html give an empty text; a page whose url has no host is
-of the host ''; a page without the host's main part falls back to its whole body; unclosed
-elements end with their parent; text after an unclosed script or comment is part of it.
+of the host ''; unclosed elements end with their parent; text after an unclosed script or
+comment is part of it.
 """
 
 import functools
+import hashlib
 import html as html_lib
 import json
 import re
@@ -34,6 +36,8 @@ BROADCAST_BYTES = 8 << 20
 # Pages that must agree before a text counts as fixed.
 FIXED_PAGES = 5
 MAX_DEPTH = 200
+# Longer fixed texts are held by their digest.
+LONG_TEXT = 80
 
 # Elements by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -68,7 +72,16 @@ class Element:
 
     @property
     def key(self):
-        return f"{self.tag}.{self.names}" if self.names else self.tag
+        key = f"{self.tag}.{self.names}" if self.names else self.tag
+        return f"{key}!" if self.left_out else key
+
+
+def _key_tag(key):
+    return key.rstrip("!").split(".")[0]
+
+
+def _key_left_out(key):
+    return key.endswith("!")
 
 
 def _tag_end(page, start):
@@ -162,65 +175,137 @@ def _raw_end(tag):
     return re.compile(rf"</{tag}\b[^>]*>", re.I)
 
 
-# A wrapper node is a dict: key, pages (that have it), repeat, text (fixed text, or None
-# for a slot), words and linked (characters outside and inside links), children.
+# A wrapper node is a dict: key, pages (that have it), repeat, text (fixed text, or None for
+# a slot), same (digest of all that a page has in the group, None where pages differ), words and
+# linked (characters outside and inside links), total (characters outside links of the pages
+# that have it), children. Long fixed texts are held by their digest.
 
 
-def _node(element: Element, linked=False) -> dict:
-    linked = linked or element.tag == "a"
-    size, texts, children = 0, [], []
-    for child in element.children:
-        if isinstance(child, str):
-            stripped = " ".join(child.split())
-            if stripped:
-                texts.append(stripped)
-                size += len(stripped)
-            continue
-        node = _node(child, linked)
-        if children and children[-1]["key"] == node["key"]:
-            # Neighbours with one key are one repeated group.
-            children[-1] = _aligned(children[-1], node, same_page=True)
+def _digest(*parts) -> str:
+    return hashlib.blake2b(repr(parts).encode("utf-8", "surrogatepass"), digest_size=9).hexdigest()
+
+
+def _align(a, b):
+    """Align two folded sequences of bundles (key, *lists)."""
+    if not a or not b:
+        return a or b
+    if len(a) == len(b) and all(x[0] == y[0] for x, y in zip(a, b)):
+        return [(x[0], *(p + q for p, q in zip(x[1:], y[1:]))) for x, y in zip(a, b)]
+    out, i, j = [], 0, 0
+    for i2, j2 in [*_matches([x[0] for x in a], [y[0] for y in b]), (len(a), len(b))]:
+        out += a[i:i2]
+        out += b[j:j2]
+        if i2 < len(a):
+            out.append((a[i2][0], *(p + q for p, q in zip(a[i2][1:], b[j2][1:]))))
+        i, j = i2 + 1, j2 + 1
+    return _folded(out)
+
+
+def _folded(bundles):
+    """Neighbours with one key become one bundle."""
+    out = []
+    for bundle in bundles:
+        if out and out[-1][0] == bundle[0]:
+            for held, more in zip(out[-1][1:], bundle[1:]):
+                held += more
         else:
-            children.append(node)
-    return {"key": element.key, "pages": 1, "repeat": False, "text": " ".join(texts),
-            "words": 0 if linked else size, "linked": size if linked else 0,
-            "skip": element.left_out, "children": children}
+            out.append((bundle[0], *map(list, bundle[1:])))
+    return out
 
 
-def _aligned(a: dict, b: dict, same_page=False) -> dict:
-    """The least wrapper that fits what either of two with one key fits."""
-    return {
-        "key": a["key"],
-        "pages": a["pages"] if same_page else a["pages"] + b["pages"],
-        "repeat": same_page or a["repeat"] or b["repeat"],
-        "text": a["text"] if a["text"] == b["text"] else None,
-        "words": a["words"] + b["words"], "linked": a["linked"] + b["linked"],
-        "skip": a["skip"], "children": _aligned_lists(a["children"], b["children"], same_page),
-    }
-
-
-def _aligned_lists(a, b, same_page):
-    """Align two sequences of groups; what has no partner is optional: fewer pages."""
-    n, m = len(a), len(b)
+def _matches(a, b):
+    """Pairs of places of a longest common subsequence."""
+    low = 0
+    while low < min(len(a), len(b)) and a[low] == b[low]:
+        low += 1
+    n, m = len(a) - low, len(b) - low
+    while n and m and a[low + n - 1] == b[low + m - 1]:
+        n, m = n - 1, m - 1
+    out = [(i, i) for i in range(low)]
     length = [[0] * (m + 1) for _ in range(n + 1)]
     for i in range(n - 1, -1, -1):
         for j in range(m - 1, -1, -1):
-            if a[i]["key"] == b[j]["key"]:
+            if a[low + i] == b[low + j]:
                 length[i][j] = length[i + 1][j + 1] + 1
             else:
                 length[i][j] = max(length[i + 1][j], length[i][j + 1])
-    out, i, j = [], 0, 0
-    while i < n or j < m:
-        if i < n and j < m and a[i]["key"] == b[j]["key"]:
-            group, i, j = _aligned(a[i], b[j], same_page), i + 1, j + 1
-        elif j == m or (i < n and length[i + 1][j] >= length[i][j + 1]):
-            group, i = a[i], i + 1
+    i = j = 0
+    while i < n and j < m:
+        if a[low + i] == b[low + j]:
+            out.append((low + i, low + j))
+            i, j = i + 1, j + 1
+        elif length[i + 1][j] >= length[i][j + 1]:
+            i += 1
         else:
-            group, j = b[j], j + 1
-        if out and out[-1]["key"] == group["key"]:
-            group = _aligned(out.pop(), group, same_page=True)
-        out.append(group)
-    return out
+            j += 1
+    rest = len(a) - low - n
+    return out + [(low + n + k, low + m + k) for k in range(rest)]
+
+
+def _node(root: Element) -> dict:
+    """The wrapper of one page; its groups know their elements."""
+    def group(key, elements, linked):
+        return {"key": key, "pages": 1, "repeat": len(elements) > 1, "linked_to": linked or elements[0].tag == "a",
+                "elements": elements}
+
+    top = group(root.key, [root], False)
+    nodes = [top]
+    for node in nodes:  # grows while read
+        texts, bundles = [], None
+        for element in node["elements"]:
+            children, own = [], []
+            for child in element.children:
+                if isinstance(child, str):
+                    own.append(child)
+                else:
+                    children.append((child.key, [child]))
+            texts.append(" ".join(" ".join(own).split()) if own else "")
+            children = _folded(children)
+            bundles = children if bundles is None else _align(bundles, children)
+        size = sum(map(len, texts))
+        node["words"], node["linked"] = (0, size) if node["linked_to"] else (size, 0)
+        text = texts[0] if all(t == texts[0] for t in texts) else None
+        node["text"] = text if text is None or len(text) <= LONG_TEXT else _digest(text)
+        node["same"] = texts
+        node["children"] = [group(key, elements, node["linked_to"]) for key, elements in bundles]
+        nodes += node["children"]
+    for node in reversed(nodes):
+        inner = node["children"]
+        node["same"] = _digest(node["key"], node["same"], [c["same"] for c in inner])
+        node["raw"] = node["words"] + sum(c["raw"] for c in inner if c["elements"][0].tag not in LEFT_OUT)
+    for node in nodes:
+        node["total"] = top["raw"]
+    return top
+
+
+def _aligned(a: dict, b: dict) -> dict:
+    """The least wrapper that fits what either of two with one key fits."""
+    def merged(key, ours, theirs):
+        nodes = ours + theirs
+        if len(nodes) == 1:
+            return nodes[0]
+        once = len(ours) <= 1 and len(theirs) <= 1
+        first = nodes[0]
+        node = {
+            "key": key,
+            # What was folded may be on the same pages.
+            "pages": max((n["pages"] for n in ours), default=0) + max((n["pages"] for n in theirs), default=0),
+            "total": max((n["total"] for n in ours), default=0) + max((n["total"] for n in theirs), default=0),
+            "repeat": not once or any(n["repeat"] for n in nodes),
+            "text": first["text"] if all(n["text"] == first["text"] for n in nodes) else None,
+            "same": first["same"] if once and all(n["same"] == first["same"] for n in nodes) else None,
+            "words": sum(n["words"] for n in nodes), "linked": sum(n["linked"] for n in nodes),
+        }
+        open_nodes.append((node, ours, theirs))
+        return node
+
+    open_nodes = []
+    top = merged(a["key"], [a], [b])
+    for node, ours, theirs in open_nodes:  # grows while read
+        sides = [[(c["key"], [c], []) for c in n["children"]] for n in ours]
+        sides += [[(c["key"], [], [c]) for c in n["children"]] for n in theirs]
+        node["children"] = [merged(*bundle) for bundle in functools.reduce(_align, sides)]
+    return top
 
 
 def infer(pages) -> dict:
@@ -228,71 +313,169 @@ def infer(pages) -> dict:
     return functools.reduce(_aligned, (_node(read(p)) for p in pages))
 
 
-def expression(wrapper: dict, parent_pages=None) -> str:
+def expression(wrapper: dict) -> str:
     """The wrapper as a regular expression over elements: ( )? optional, ( )+ repeated, # a slot."""
-    inner = "".join(expression(c, wrapper["pages"]) for c in wrapper["children"])
-    text = "#" if wrapper["text"] is None else wrapper["text"]
-    mark = ("+" if wrapper["repeat"] else "") + ("?" if wrapper["pages"] < (parent_pages or 0) else "")
-    body = f"<{wrapper['key']}>{text}{inner}"
-    return f"({body}){mark}" if mark else body
+    out, todo = [], [(wrapper, wrapper["pages"])]
+    while todo:
+        node, parent_pages = todo.pop()
+        if isinstance(node, str):
+            out.append(node)
+            continue
+        mark = ("+" if node["repeat"] else "") + ("?" if node["pages"] < parent_pages else "")
+        out.append(("(" if mark else "") + f"<{node['key']}>" + ("#" if node["text"] is None else node["text"]))
+        todo.append((f"){mark}" if mark else "", 0))
+        todo += [(c, node["pages"]) for c in reversed(node["children"])]
+    return "".join(out)
 
 
-def _text_mass(node):
-    if node["skip"]:
-        return 0
-    return node["words"] + sum(map(_text_mass, node["children"]))
+FIELDS = ("key", "pages", "total", "repeat", "text", "same", "words", "linked")
 
 
-def main_part(wrapper: dict) -> dict:
-    """Where the main text lies: keys of its elements, and fixed texts to leave out."""
-    def find(node, tag):
-        if not node["skip"]:
-            if node["key"].split(".")[0] == tag:
-                yield node["key"]
-            else:
-                for child in node["children"]:
-                    yield from find(child, tag)
+def _rows(wrapper: dict) -> list:
+    """A wrapper as rows of depth and fields, parents first; nesting has no limit."""
+    out, todo = [], [(0, wrapper)]
+    while todo:
+        depth, node = todo.pop()
+        out.append([depth, *(node[f] for f in FIELDS)])
+        todo += [(depth + 1, c) for c in reversed(node["children"])]
+    return out
+
+
+def _from_rows(rows) -> dict:
+    path = []
+    for depth, *values in rows:
+        node = dict(zip(FIELDS, values), children=[])
+        del path[depth:]
+        if path:
+            path[-1]["children"].append(node)
+        path.append(node)
+    return path[0]
+
 
-    for tag in ("article", "main"):
-        if keys := sorted(set(find(wrapper, tag))):
-            return {"keys": keys, "fixed": []}
-    node, path = wrapper, []
+def main_part(wrapper: dict) -> dict:
+    """What pages need of the wrapper: per group its depth, key, pages, repeat, sizes and fixed contents."""
+    out, todo = [], [(0, wrapper)]
+    while todo:
+        depth, node = todo.pop()
+        out.append([depth, node["key"], node["pages"], int(node["repeat"]), node["words"],
+                    node["same"], node["words"] + node["linked"], node["total"]])
+        todo += [(depth + 1, c) for c in reversed(node["children"])]
+    return {"groups": out}
+
+
+class Group:
+    """A group of a wrapper, as pages are mapped onto it."""
+
+    __slots__ = ("key", "tag", "pages", "repeat", "mass", "raw", "fixed", "size", "total", "left_out", "children", "_dropped")
+
+    def __init__(self, key, pages, repeat, words, fixed, size, total):
+        self.key, self.pages, self.repeat, self.fixed, self.size, self.total = key, pages, repeat, fixed, size, total
+        self.tag = _key_tag(key)
+        self.mass = self.raw = words
+        self.children, self._dropped = [], None
+
+    def dropped(self):
+        """The fixed groups below, as far as they are boilerplate where this is the main part."""
+        if self._dropped is None:
+            found, todo = [], list(self.children)
+            while todo:
+                group = todo.pop()
+                if group.left_out:
+                    continue
+                if group.fixed and group.size and group.tag in BLOCKS and _is_boilerplate(group, self):
+                    found.append(group)
+                else:
+                    todo += group.children
+            self._dropped = frozenset(found)
+        return self._dropped
+
+
+def _is_boilerplate(group, main):
+    return group.pages >= FIXED_PAGES
+
+
+def _groups(part: dict) -> Group:
+    path, all_groups = [], []
+    for depth, *values in part["groups"]:
+        group = Group(*values)
+        del path[depth:]
+        if path:
+            path[-1].children.append(group)
+        path.append(group)
+        all_groups.append(group)
+    # Children come after their parents, so they are complete first.
+    for group in reversed(all_groups):
+        group.left_out = _key_left_out(group.key)
+        for child in group.children:
+            group.raw += 0 if child.tag in LEFT_OUT else child.raw
+            group.size += child.size
+            group.mass += 0 if child.left_out else child.mass
+    return all_groups[0]
+
+
+def _map_page(page: dict, wrapper: Group) -> None:
+    """Give each group of a page its group of the wrapper, or None where alignment found none."""
+    todo = [(page, wrapper)]
+    while todo:
+        node, group = todo.pop()
+        node["group"] = group
+        children = group.children if group else []
+        met = dict(_matches([c["key"] for c in node["children"]], [g.key for g in children]))
+        first = {g.key: g for g in reversed(children)}
+        for i, child in enumerate(node["children"]):
+            todo.append((child, children[met[i]] if i in met else first.get(child["key"])))
+
+
+def _left_out(node):
+    """Whether a group of a page is left out; what met no group of the wrapper goes by its own key."""
+    return node["group"].left_out if node["group"] else _key_left_out(node["key"])
+
+
+def _main_nodes(page: dict):
+    """The groups of a page that hold its main text: articles, else main elements, else the deepest
+    group with most of the text outside links. Mass is the mean of the host's pages that have the group."""
+    def mean(node):
+        if _left_out(node):
+            return 0
+        return node["group"].mass / node["group"].pages if node["group"] else node["raw"]
+
+    found, todo = {"article": [], "main": []}, [(page, frozenset())]
+    while todo:
+        node, inside = todo.pop()
+        if _left_out(node):
+            continue
+        tag = node["elements"][0].tag
+        if tag in found and tag not in inside:
+            found[tag].append(node)
+            inside |= {tag}
+        todo += [(c, inside) for c in node["children"]]
+    for nodes in found.values():
+        if nodes:
+            return nodes
+    node = page
     while True:
-        total = _text_mass(node)
-        inner = max(node["children"], key=_text_mass, default=None)
+        inner = max(node["children"], key=mean, default=None)
         # The last group that is no single block of text but holds most of it.
-        if inner is None or inner["repeat"] or not inner["children"] or 10 * _text_mass(inner) < 6 * total:
-            break
+        if inner is None or inner["repeat"] or (inner["group"] and inner["group"].repeat) or (
+                not inner["children"] or 10 * mean(inner) < 6 * mean(node)):
+            return [node]
         node = inner
-        path.append(node["key"])
-
-    def fixed(part):
-        if part["text"] and part["pages"] >= FIXED_PAGES and not part["children"]:
-            yield [part["key"], part["text"]]
-        for child in part["children"]:
-            yield from fixed(child)
-
-    return {"keys": path[-1:], "fixed": sorted(fixed(wrapper))}
 
 
 def extract(page: str, part: dict) -> str:
     """Blocks of the main part in page order, one per line."""
+    return _extracted(page, _groups(part))
+
+
+def _extracted(page: str, wrapper: Group) -> str:
     root = read(page)
-    keys, fixed = set(part["keys"]), {tuple(x) for x in part["fixed"]}
-    found = []
-
-    def collect(element):
-        if element.left_out:
-            return
-        if element.key in keys:
-            found.append(element)
-            return
-        for child in element.children:
-            if not isinstance(child, str):
-                collect(child)
-
-    if keys:
-        collect(root)
+    top = _node(root)
+    _map_page(top, wrapper)
+    main = {id(node): node["group"].dropped() if node["group"] else frozenset() for node in _main_nodes(top)}
+    node_of, nodes = {}, [top]
+    for node in nodes:  # grows while read
+        node_of.update((id(element), node) for element in node["elements"])
+        nodes += node["children"]
     blocks, words = [], []
 
     def end_block():
@@ -301,28 +484,28 @@ def extract(page: str, part: dict) -> str:
             blocks.append(line)
         words.clear()
 
-    def walk(element):
-        if element.left_out:
-            return
-        is_block = element.tag in BLOCKS
-        if is_block:
+    # None ends a block. `dropped` is None outside the main part.
+    todo = [(root, None)]
+    while todo:
+        item, dropped = todo.pop()
+        if item is None:
             end_block()
-        if fixed and is_block and all(isinstance(c, str) for c in element.children):
-            if (element.key, " ".join("".join(element.children).split())) in fixed:
-                return
-        for child in element.children:
-            if isinstance(child, str):
-                words.append(child)
-            elif child.tag == "br":
-                words.append(" ")
-            else:
-                walk(child)
-        if is_block:
-            end_block()
-
-    for element in found or [root]:
-        walk(element)
-        end_block()
+        elif isinstance(item, str):
+            words.append(item)
+        elif item.tag == "br":
+            words.append(" ")
+        elif not _left_out(node := node_of[id(item)]):
+            start = dropped is None and id(node) in main
+            if start:
+                dropped = main[id(node)]
+            elif dropped and node["group"] in dropped and node["same"] == node["group"].fixed:
+                end_block()
+                continue
+            if start or item.tag in BLOCKS:
+                end_block()
+                todo.append((None, None))
+            todo += [(c, dropped) for c in reversed(item.children) if dropped is not None or not isinstance(c, str)]
+    end_block()
     return "\n".join(blocks)
 
 
@@ -342,11 +525,11 @@ def _local_wrappers(batches):
 
 def _wrapper_rows(held):
     return pa.RecordBatch.from_arrays(
-        [pa.array(list(held)), pa.array([json.dumps(w) for w in held.values()])], names=["host", "wrapper"])
+        [pa.array(list(held)), pa.array([json.dumps(_rows(w)) for w in held.values()])], names=["host", "wrapper"])
 
 
 def _merged_wrapper(table: pa.Table) -> pa.Table:
-    wrappers = [json.loads(w) for w in sorted(table.column("wrapper").to_pylist())]
+    wrappers = [_from_rows(json.loads(w)) for w in sorted(table.column("wrapper").to_pylist())]
     part = main_part(functools.reduce(_aligned, wrappers))
     return pa.table({"host": table.column("host").slice(0, 1), "part": [json.dumps(part)]})
 
@@ -371,8 +554,8 @@ def main_texts(pages: DataFrame, url_col="url", html_col="html") -> DataFrame:
 
     @F.arrow_udf("string")
     def texts(html: pa.Array, part: pa.Array) -> pa.Array:
-        read_part = functools.lru_cache(maxsize=1000)(json.loads)
-        return pa.array([extract(h, read_part(p)) for h, p in zip(html.to_pylist(), part.to_pylist())], pa.string())
+        read_part = functools.lru_cache(maxsize=1000)(lambda p: _groups(json.loads(p)))
+        return pa.array([_extracted(h, read_part(p)) for h, p in zip(html.to_pylist(), part.to_pylist())], pa.string())
 
     met = kept.withColumn("_host", host).join(parts, "_host")
     met = met.withColumn("text", texts(page, F.col("_part")))

@@ -81,3 +81,26 @@ def test_texts_do_not_depend_on_partitions(spark, monkeypatch):
     monkeypatch.setattr(wrappers, "BROADCAST_BYTES", -1)
     again = wrappers.main_texts(pages.repartition(5, F.col("page_id"))).collect()
     assert first == {(r.page_id, r.text) for r in again}
+
+
+def extracted(pages):
+    part = wrappers.main_part(wrappers.infer(pages))
+    return [wrappers.extract(p, part) for p in pages]
+
+
+def test_the_wrapper_decides_inside_articles_and_for_every_template():
+    tip = "<div class=kb-tip><p>Please give</p><p>to us today</p></div>"
+    articles = [page(f"<article><h1>Title {'x' * i}</h1>{tip}<p>{'body ' * (9 + i)}</p><p>end</p></article>")
+                for i in range(6)]
+    others = [page(f"<div class=top>Known everywhere</div><div class=wrap><h1>Other {'y' * i}</h1><div class=tip>Same words</div>"
+                   f"<p>{'more ' * (9 + i)}</p></div><div class=low>(c) us</div>") for i in range(6)]
+    found = extracted(articles + others)
+    assert found[2] == "Title xx\n" + ("body " * 11).strip() + "\nend"
+    assert found[6 + 2] == "Other yy\n" + ("more " * 11).strip()
+
+
+def test_text_that_met_a_fixed_group_is_kept_where_it_differs():
+    pages = [page(f"<article><div>same</div><p>{'body ' * (9 + i)}</p></article>") for i in range(6)]
+    part = wrappers.main_part(wrappers.infer(pages))
+    assert wrappers.extract(pages[0], part) == ("body " * 9).strip()
+    assert wrappers.extract(page("<article><div>other</div></article>"), part) == "other"
