@@ -12,6 +12,9 @@ lies in the page's articles, else its main element, else in the deepest of the p
 holds most of the text outside links, by the mean of the host's pages that have the group. There,
 slots and repeats are kept and blocks that are fixed in the wrapper are dropped. Parts that are menus,
 headers, footers, sidebars, notices, adverts, forms or comments by their element or name are left out.
+A name counts if one of its tokens consists of listed words only; names and forms are overruled
+where the group holds most of the text outside links of the pages that have it, and never
+count for html, body, main and article.
 
 Defined results: null and empty html give an empty text; a page whose url has no host is
 of the host ''; unclosed elements end with their parent; text after an unclosed script or
@@ -50,7 +53,9 @@ BLOCKS = frozenset(
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
         "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("ul ol dl table select".split())
-LEFT_OUT = frozenset("aside button dialog footer form head header input menu nav select title".split())
+LEFT_OUT = frozenset("aside button dialog footer head header input menu nav select title".split())
+# These may hold the article, whatever their names say.
+NEVER_BY_NAME = frozenset(["", "html", "body", "main", "article"])
 LEFT_OUT_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments "
     "consent contentinfo complementary cookie cookies disqus footer form header login masthead menu modal nav "
@@ -58,30 +63,35 @@ LEFT_OUT_NAMES = frozenset(
     "search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
 
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_WORDS = re.compile(r"[A-Za-z]+")
 _TAG = re.compile(r"(/?)([A-Za-z][^\s/>]*)")
 
 
 class Element:
-    __slots__ = ("tag", "names", "children", "left_out")
+    __slots__ = ("tag", "names", "children", "key")
 
     def __init__(self, tag, names=""):
         self.tag, self.names, self.children = tag, names, []
-        words = {w.lower() for w in _WORDS.findall(names)}
-        self.left_out = tag in LEFT_OUT or bool(words & LEFT_OUT_NAMES)
+        self.key = f"{tag}.{names}" if names else tag
+        if _named_left_out(tag, names):
+            self.key += "!"
 
-    @property
-    def key(self):
-        key = f"{self.tag}.{self.names}" if self.names else self.tag
-        return f"{key}!" if self.left_out else key
+
+@functools.lru_cache(maxsize=10_000)
+def _named_left_out(tag, names):
+    """Whether an element is a candidate by name: a whole token consists of listed words only."""
+    if tag in NEVER_BY_NAME:
+        return False
+    return tag == "form" or any(
+        LEFT_OUT_NAMES.issuperset(token.split("-")) for token in names.lower().replace("_", "-").split())
 
 
 def _key_tag(key):
     return key.rstrip("!").split(".")[0]
 
 
-def _key_left_out(key):
-    return key.endswith("!")
+def _is_left_out(key, text, page_text):
+    """A name or a form says nothing where a group holds most of its pages' text outside links."""
+    return _key_tag(key) in LEFT_OUT or key.endswith("!") and 2 * text <= page_text
 
 
 def _tag_end(page, start):
@@ -186,17 +196,17 @@ def _digest(*parts) -> str:
 
 
 def _align(a, b):
-    """Align two folded sequences of bundles (key, *lists)."""
+    """Align two folded sequences of bundles (key, *lists); uses up both."""
     if not a or not b:
         return a or b
     if len(a) == len(b) and all(x[0] == y[0] for x, y in zip(a, b)):
-        return [(x[0], *(p + q for p, q in zip(x[1:], y[1:]))) for x, y in zip(a, b)]
+        return [_join(x, y) for x, y in zip(a, b)]
     out, i, j = [], 0, 0
     for i2, j2 in [*_matches([x[0] for x in a], [y[0] for y in b]), (len(a), len(b))]:
         out += a[i:i2]
         out += b[j:j2]
         if i2 < len(a):
-            out.append((a[i2][0], *(p + q for p, q in zip(a[i2][1:], b[j2][1:]))))
+            out.append(_join(a[i2], b[j2]))
         i, j = i2 + 1, j2 + 1
     return _folded(out)
 
@@ -206,13 +216,18 @@ def _folded(bundles):
     out = []
     for bundle in bundles:
         if out and out[-1][0] == bundle[0]:
-            for held, more in zip(out[-1][1:], bundle[1:]):
-                held += more
+            _join(out[-1], bundle)
         else:
-            out.append((bundle[0], *map(list, bundle[1:])))
+            out.append(bundle)
     return out
 
 
+def _join(bundle, other):
+    for held, more in zip(bundle[1:], other[1:]):
+        held += more
+    return bundle
+
+
 def _matches(a, b):
     """Pairs of places of a longest common subsequence."""
     low = 0
@@ -405,11 +420,11 @@ def _groups(part: dict) -> Group:
         all_groups.append(group)
     # Children come after their parents, so they are complete first.
     for group in reversed(all_groups):
-        group.left_out = _key_left_out(group.key)
         for child in group.children:
             group.raw += 0 if child.tag in LEFT_OUT else child.raw
             group.size += child.size
             group.mass += 0 if child.left_out else child.mass
+        group.left_out = _is_left_out(group.key, group.raw, group.total)
     return all_groups[0]
 
 
@@ -427,8 +442,8 @@ def _map_page(page: dict, wrapper: Group) -> None:
 
 
 def _left_out(node):
-    """Whether a group of a page is left out; what met no group of the wrapper goes by its own key."""
-    return node["group"].left_out if node["group"] else _key_left_out(node["key"])
+    """Whether a group of a page is left out; what met no group of the wrapper goes by its own page."""
+    return node["group"].left_out if node["group"] else _is_left_out(node["key"], node["raw"], node["total"])
 
 
 def _main_nodes(page: dict):

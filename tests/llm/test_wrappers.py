@@ -104,3 +104,16 @@ def test_text_that_met_a_fixed_group_is_kept_where_it_differs():
     part = wrappers.main_part(wrappers.infer(pages))
     assert wrappers.extract(pages[0], part) == ("body " * 9).strip()
     assert wrappers.extract(page("<article><div>other</div></article>"), part) == "other"
+
+
+def test_names_leave_out_whole_tokens_of_small_groups_only():
+    text = "<h1>Title</h1><p>" + "body " * 20 + "</p><div class='cookie-notice'>c</div>"
+    expected = "Title\n" + ("body " * 20).strip()
+    for source in (
+            page(f"<article class='post has-comments'>{text}</article>"), page(f"<article class=comments>{text}</article>"),
+            page(f"<div id=header-and-content><article>{text}</article></div>"),
+            page(f"<div class='sidebar'><div>{text}</div></div>"), page(f"<form id=search>{text}</form>"),
+            page(text).replace("<body>", "<body class='right-sidebar'>"),
+            page(text).replace("<body>", "<body class='single comments-open search'>"),
+            page(text).replace("<html>", "<html class=search>")):
+        assert extracted([source]) == [expected]
