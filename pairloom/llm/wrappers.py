@@ -10,7 +10,8 @@ one per host over all pages it reads, and these are aligned per host.
 Each page is then mapped onto its host's wrapper, which decides what is kept. The main text
 lies in the page's articles, else its main element, else in the deepest of the page's groups that
 holds most of the text outside links, by the mean of the host's pages that have the group. There,
-slots and repeats are kept and blocks that are fixed in the wrapper are dropped. Parts that are menus,
+slots and repeats are kept. Blocks that are fixed in the wrapper are dropped if at least FIXED_PAGES
+distinct pages and half of those with the main part have them while the rest changes. Parts that are menus,
 headers, footers, sidebars, notices, adverts, forms or comments by their element or name are left out.
 A name counts if one of its tokens consists of listed words only; names and forms are overruled
 where the group holds most of the text outside links of the pages that have it, and never
@@ -36,8 +37,10 @@ from pairloom.session import materialize
 
 # Wrappers up to this size together are broadcast; larger sets meet in an equi join.
 BROADCAST_BYTES = 8 << 20
-# Pages that must agree before a text counts as fixed.
+# Distinct pages that must agree before a text counts as fixed. It must also be in at least half of
+# the pages that have the main part, and the rest must hold this share of the main part's text.
 FIXED_PAGES = 5
+CHANGING_SHARE = 0.2
 MAX_DEPTH = 200
 # Longer fixed texts are held by their digest.
 LONG_TEXT = 80
@@ -324,8 +327,8 @@ def _aligned(a: dict, b: dict) -> dict:
 
 
 def infer(pages) -> dict:
-    """The wrapper of some pages."""
-    return functools.reduce(_aligned, (_node(read(p)) for p in pages))
+    """The wrapper of some pages; copies count once."""
+    return functools.reduce(_aligned, (_node(read(p)) for p in dict.fromkeys(pages)))
 
 
 def expression(wrapper: dict) -> str:
@@ -397,18 +400,17 @@ class Group:
                 group = todo.pop()
                 if group.left_out:
                     continue
-                if group.fixed and group.size and group.tag in BLOCKS and _is_boilerplate(group, self):
+                if (group.fixed and group.size and group.tag in BLOCKS and group.pages >= FIXED_PAGES
+                        and 2 * group.pages >= self.pages):
                     found.append(group)
                 else:
                     todo += group.children
-            self._dropped = frozenset(found)
+            # Where hardly anything else changes, the pages are near copies and not of one template.
+            changing = self.size - sum(group.size for group in found)
+            self._dropped = frozenset(found if changing >= CHANGING_SHARE * self.size else [])
         return self._dropped
 
 
-def _is_boilerplate(group, main):
-    return group.pages >= FIXED_PAGES
-
-
 def _groups(part: dict) -> Group:
     path, all_groups = [], []
     for depth, *values in part["groups"]:
@@ -551,7 +553,9 @@ def _merged_wrapper(table: pa.Table) -> pa.Table:
 
 def host_parts(pages: DataFrame) -> DataFrame:
     """(host, part) from columns host and html: a row per host, from all its pages."""
-    local = pages.mapInArrow(_local_wrappers, "host string, wrapper string")
+    # Copies collapse in the first task that sees them, so that pages are counted by content.
+    distinct = pages.groupBy("host", F.sha2("html", 256).alias("digest")).agg(F.min("html").alias("html"))
+    local = distinct.select("host", "html").mapInArrow(_local_wrappers, "host string, wrapper string")
     # At most one row per task and host.
     return materialize(local.groupBy("host").applyInArrow(_merged_wrapper, "host string, part string"))
 

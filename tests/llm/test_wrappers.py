@@ -117,3 +117,17 @@ def test_names_leave_out_whole_tokens_of_small_groups_only():
             page(text).replace("<body>", "<body class='single comments-open search'>"),
             page(text).replace("<html>", "<html class=search>")):
         assert extracted([source]) == [expected]
+
+
+def test_copies_do_not_make_a_text_fixed(spark):
+    copy = page("<div id=wrap><h1>Title</h1><div>One paragraph only.</div></div>")
+    assert extracted([copy] * 9) == ["Title\nOne paragraph only."] * 9
+    # Nor do a few pages among many, or copies that differ in a date.
+    many = [page(f"<div id=wrap><h1>T{i}</h1><p>{'text ' * (9 + i)}</p></div>") for i in range(20)]
+    some = [page(f"<div id=wrap><h1>S{i}</h1><p>{'text ' * (9 + i)}</p><div>quoted</div></div>") for i in range(6)]
+    assert extracted(many + some)[-1].endswith("\nquoted")
+    dated = [page(f"<div id=wrap><h1>Title</h1><div>{'One paragraph only. ' * 9}</div><i>{i}</i></div>") for i in range(8)]
+    assert extracted(dated)[0].startswith("Title\nOne paragraph only.")
+    rows = [(i, "http://h.org/", h) for i, h in enumerate([copy] * 9)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    assert {r.text for r in wrappers.main_texts(pages).collect()} == {"Title\nOne paragraph only."}
