@@ -41,7 +41,6 @@ BROADCAST_BYTES = 8 << 20
 # the pages that have the main part, and the rest must hold this share of the main part's text.
 FIXED_PAGES = 5
 CHANGING_SHARE = 0.2
-MAX_DEPTH = 200
 # Longer fixed texts are held by their digest.
 LONG_TEXT = 80
 
@@ -56,6 +55,7 @@ BLOCKS = frozenset(
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
         "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SCOPE = frozenset("ul ol dl table select".split())
+BLOCK = BLOCKS - {"p"}
 LEFT_OUT = frozenset("aside button dialog footer head header input menu nav select title".split())
 # These may hold the article, whatever their names say.
 NEVER_BY_NAME = frozenset(["", "html", "body", "main", "article"])
@@ -125,13 +125,29 @@ def read(page: str) -> Element:
         if raw:
             stack[-1].children.append(html_lib.unescape(raw))
 
-    def close(tags, scope=frozenset()):
-        for i in range(len(stack) - 1, 0, -1):
-            if stack[i].tag in tags:
-                del stack[i:]
-                return
-            if stack[i].tag in scope:
-                return
+    # Places on the stack by tag and by class, so that closing costs what it closes, at any depth.
+    places = {BLOCK: [], SCOPE: []}
+
+    def kinds(tag):
+        yield tag
+        if tag in BLOCK:
+            yield BLOCK
+        if tag in SCOPE:
+            yield SCOPE
+
+    def push(element):
+        for kind in kinds(element.tag):
+            places.setdefault(kind, []).append(len(stack))
+        stack.append(element)
+
+    def close(tags, fence=None):
+        """Close the nearest of the tags unless it lies outside the nearest fence."""
+        place = max((places[tag][-1] for tag in tags if places.get(tag)), default=0)
+        if place and (fence is None or not places[fence] or places[fence][-1] < place):
+            for element in stack[place:]:
+                for kind in kinds(element.tag):
+                    places[kind].pop()
+            del stack[place:]
 
     while at < len(page):
         start = page.find("<", at)
@@ -161,7 +177,7 @@ def read(page: str) -> Element:
         attributes = page[match.end() : end - 1]
         at = end
         if closing:
-            close({tag}, SCOPE - {tag} if tag in ENDS else frozenset())
+            close((tag,), SCOPE if tag in ENDS else None)
             continue
         if tag in RAW:
             if not attributes.endswith("/"):
@@ -169,7 +185,7 @@ def read(page: str) -> Element:
                 at = done.end() if done else len(page)
             continue
         if tag in BLOCKS:
-            close({"p"}, BLOCKS - {"p"})
+            close(("p",), BLOCK)
         if tag in ENDS:
             close(ENDS[tag], SCOPE)
         names = ""
@@ -178,8 +194,8 @@ def read(page: str) -> Element:
             names = " ".join(" ".join(found).split())
         element = Element(tag, names)
         stack[-1].children.append(element)
-        if tag not in VOID and not attributes.endswith("/") and len(stack) < MAX_DEPTH:
-            stack.append(element)
+        if tag not in VOID and not attributes.endswith("/"):
+            push(element)
     return root
 
 

@@ -131,3 +131,15 @@ def test_copies_do_not_make_a_text_fixed(spark):
     rows = [(i, "http://h.org/", h) for i, h in enumerate([copy] * 9)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
     assert {r.text for r in wrappers.main_texts(pages).collect()} == {"Title\nOne paragraph only."}
+
+
+def test_nesting_has_no_limit():
+    deep = "<div>" * 250 + "in" + "</div>" * 250
+    assert extracted([page(f"<div id=wrap><article>{deep}<p>tail</p></article></div>")]) == ["in\ntail"]
+    source = page("<b>" * 300 + "<p>text</p><nav>menu</nav><footer>low</footer>")
+    assert extracted([source]) == ["text"]
+    # Depth costs time in proportion, also for ends and scopes that match nothing near.
+    source = "<p><div>" + "<b>" * 20_000 + "</i>" * 20_000 + "<div>x</div>" * 2_000 + "</li>" * 2_000
+    rows = wrappers._rows(wrappers.infer([source, source + "y"]))
+    assert wrappers._rows(wrappers._from_rows(rows)) == rows
+    assert extracted([source, source + "y"])[1].split("\n")[-1] == "y"
