@@ -4,8 +4,10 @@ The pages of a host come from few templates. A page is read leniently into a tre
 equal siblings fold into one repeated group. Aligning the tree of one page with
 the wrapper so far gives the next wrapper: where children differ, what only one side has
 becomes optional; what either side repeats stays repeated; texts that differ become a
-slot, equal ones stay fixed. Wrappers align with wrappers the same way, so each task infers
-one per host over all pages it reads, and these are aligned per host.
+slot, equal ones stay fixed. Elements align by tag and by those of their class, id and role tokens
+that a tenth of the host's pages share, so a wrapper is bound by its templates, not by its pages.
+Wrappers align with wrappers the same way, so each task infers one per host over all distinct
+pages it reads, and these are aligned per host and group of tasks, then per host.
 
 Each page is then mapped onto its host's wrapper, which decides what is kept. The main text
 lies in the page's articles, else its main element, else in the deepest of the page's groups that
@@ -22,6 +24,7 @@ of the host ''; unclosed elements end with their parent; text after an unclosed
 comment is part of it.
 """
 
+import collections
 import functools
 import hashlib
 import html as html_lib
@@ -29,6 +32,7 @@ import json
 import re
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +45,12 @@ BROADCAST_BYTES = 8 << 20
 # the pages that have the main part, and the rest must hold this share of the main part's text.
 FIXED_PAGES = 5
 CHANGING_SHARE = 0.2
+# A name is part of alignment keys if one of so many pages of the host has it.
+STABLE_PAGES = 10
+# Cells of an alignment table; longer lists are folded to one group per key first.
+TABLE_CELLS = 1 << 16
+# Wrappers of a host are merged in so many groups of tasks, then once more.
+SALTS = 32
 # Longer fixed texts are held by their digest.
 LONG_TEXT = 80
 
@@ -51,6 +61,10 @@ BLOCKS = frozenset(
     "address article aside blockquote body caption dd details dialog div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 head header hr html li main menu nav ol p pre section summary table "
     "tbody td tfoot th thead title tr ul".split())
+KNOWN = VOID | RAW | BLOCKS | frozenset(
+    " a abbr b bdi bdo big body button center cite code data datalist del dfn em fieldset font frame frameset hgroup "
+    "html i ins kbd label legend map mark math meter nobr object optgroup option output picture progress q rp rt "
+    "ruby s samp search select slot small span strike strong sub summary sup time title tt u var video audio".split(" "))
 # An opening element ends an open one of these that lies nearer than the element's scope.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
         "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -66,17 +80,51 @@ LEFT_OUT_NAMES = frozenset(
     "search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split())
 
 _NAMED = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_TAGS = re.compile(r"<([A-Za-z][^\s/>]*)")
+_PLAIN = re.compile(r"[a-z][a-z-]*")
+_DIGIT = re.compile(r"\d")
 _TAG = re.compile(r"(/?)([A-Za-z][^\s/>]*)")
 
 
 class Element:
-    __slots__ = ("tag", "names", "children", "key")
+    __slots__ = ("tag", "names", "children")
 
     def __init__(self, tag, names=""):
         self.tag, self.names, self.children = tag, names, []
-        self.key = f"{tag}.{names}" if names else tag
+
+
+class Keys(dict):
+    """Alignment keys by tag and names: of the names only stable ones, and ! for candidates to leave out."""
+
+    def __init__(self, stable):
+        self.stable = frozenset(stable)
+
+    def __missing__(self, tag_names):
+        tag, names = tag_names
+        stable = sorted(self.stable.intersection(names.split()))
+        key = tag if tag in KNOWN or f"<{tag}" in self.stable else "?"
+        if stable:
+            key += "." + " ".join(stable)
         if _named_left_out(tag, names):
-            self.key += "!"
+            key += "!"
+        if len(self) >= 10_000:
+            self.clear()
+        self[tag_names] = key
+        return key
+
+
+def _page_names(page):
+    """Names of a page that may be stable: tokens without digits, and unusual tags."""
+    names = {f"<{tag}" for tag in map(str.lower, _TAGS.findall(page)) if tag not in KNOWN and _PLAIN.fullmatch(tag)}
+    if "=" in page:
+        for found in _NAMED.findall(page):
+            names.update(next(filter(None, found[1:]), "").split())
+    return [name for name in names if not _DIGIT.search(name)]
+
+
+def _is_stable(n, pages):
+    """Whether enough of a host's pages have a name; for numbers and for columns."""
+    return (n * STABLE_PAGES >= pages) & ((n >= 2) | (pages == 1))
 
 
 @functools.lru_cache(maxsize=10_000)
@@ -218,6 +266,8 @@ def _align(a, b):
     """Align two folded sequences of bundles (key, *lists); uses up both."""
     if not a or not b:
         return a or b
+    if len(a) * len(b) > TABLE_CELLS:
+        a, b = _by_key(a), _by_key(b)
     if len(a) == len(b) and all(x[0] == y[0] for x, y in zip(a, b)):
         return [_join(x, y) for x, y in zip(a, b)]
     out, i, j = [], 0, 0
@@ -241,6 +291,17 @@ def _folded(bundles):
     return out
 
 
+def _by_key(bundles):
+    """One bundle per key, in the order of first places."""
+    held = {}
+    for bundle in bundles:
+        if bundle[0] in held:
+            _join(held[bundle[0]], bundle)
+        else:
+            held[bundle[0]] = bundle
+    return list(held.values())
+
+
 def _join(bundle, other):
     for held, more in zip(bundle[1:], other[1:]):
         held += more
@@ -276,13 +337,13 @@ def _matches(a, b):
     return out + [(low + n + k, low + m + k) for k in range(rest)]
 
 
-def _node(root: Element) -> dict:
+def _node(root: Element, keys: Keys) -> dict:
     """The wrapper of one page; its groups know their elements."""
     def group(key, elements, linked):
         return {"key": key, "pages": 1, "repeat": len(elements) > 1, "linked_to": linked or elements[0].tag == "a",
                 "elements": elements}
 
-    top = group(root.key, [root], False)
+    top = group("", [root], False)
     nodes = [top]
     for node in nodes:  # grows while read
         texts, bundles = [], None
@@ -292,7 +353,7 @@ def _node(root: Element) -> dict:
                 if isinstance(child, str):
                     own.append(child)
                 else:
-                    children.append((child.key, [child]))
+                    children.append((keys[child.tag, child.names], [child]))
             texts.append(" ".join(" ".join(own).split()) if own else "")
             children = _folded(children)
             bundles = children if bundles is None else _align(bundles, children)
@@ -344,7 +405,11 @@ def _aligned(a: dict, b: dict) -> dict:
 
 def infer(pages) -> dict:
     """The wrapper of some pages; copies count once."""
-    return functools.reduce(_aligned, (_node(read(p)) for p in dict.fromkeys(pages)))
+    pages = list(dict.fromkeys(pages))
+    counts = collections.Counter(name for page in pages for name in _page_names(page))
+    stable = sorted(name for name, n in counts.items() if _is_stable(n, len(pages)))
+    keys = Keys(stable)
+    return functools.reduce(_aligned, (_node(read(p), keys) for p in pages)) | {"stable": stable}
 
 
 def expression(wrapper: dict) -> str:
@@ -394,13 +459,14 @@ def main_part(wrapper: dict) -> dict:
         out.append([depth, node["key"], node["pages"], int(node["repeat"]), node["words"],
                     node["same"], node["words"] + node["linked"], node["total"]])
         todo += [(depth + 1, c) for c in reversed(node["children"])]
-    return {"groups": out}
+    return {"stable": wrapper["stable"], "groups": out}
 
 
 class Group:
     """A group of a wrapper, as pages are mapped onto it."""
 
-    __slots__ = ("key", "tag", "pages", "repeat", "mass", "raw", "fixed", "size", "total", "left_out", "children", "_dropped")
+    __slots__ = ("key", "tag", "pages", "repeat", "mass", "raw", "fixed", "size", "total", "left_out", "children",
+                 "keys", "_dropped")
 
     def __init__(self, key, pages, repeat, words, fixed, size, total):
         self.key, self.pages, self.repeat, self.fixed, self.size, self.total = key, pages, repeat, fixed, size, total
@@ -443,6 +509,7 @@ def _groups(part: dict) -> Group:
             group.size += child.size
             group.mass += 0 if child.left_out else child.mass
         group.left_out = _is_left_out(group.key, group.raw, group.total)
+    all_groups[0].keys = Keys(part["stable"])
     return all_groups[0]
 
 
@@ -453,7 +520,9 @@ def _map_page(page: dict, wrapper: Group) -> None:
         node, group = todo.pop()
         node["group"] = group
         children = group.children if group else []
-        met = dict(_matches([c["key"] for c in node["children"]], [g.key for g in children]))
+        met = {}
+        if len(node["children"]) * len(children) <= TABLE_CELLS:
+            met = dict(_matches([c["key"] for c in node["children"]], [g.key for g in children]))
         first = {g.key: g for g in reversed(children)}
         for i, child in enumerate(node["children"]):
             todo.append((child, children[met[i]] if i in met else first.get(child["key"])))
@@ -502,7 +571,7 @@ def extract(page: str, part: dict) -> str:
 
 def _extracted(page: str, wrapper: Group) -> str:
     root = read(page)
-    top = _node(root)
+    top = _node(root, wrapper.keys)
     _map_page(top, wrapper)
     main = {id(node): node["group"].dropped() if node["group"] else frozenset() for node in _main_nodes(top)}
     node_of, nodes = {}, [top]
@@ -542,38 +611,101 @@ def _extracted(page: str, wrapper: Group) -> str:
     return "\n".join(blocks)
 
 
+def _local_names(batches):
+    """Pages of a host that a task reads, as name '', and how many of them have a name."""
+    counts = collections.Counter()
+
+    def rows():
+        hosts, names = zip(*counts)
+        return pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(names, pa.string()),
+                                           pa.array(counts.values(), pa.int64())], names=["host", "name", "n"])
+
+    for batch in batches:
+        for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            counts[host, ""] += 1
+            for name in _page_names(page):
+                counts[host, name] += 1
+        if len(counts) > 200_000:
+            yield rows()
+            counts.clear()
+    if counts:
+        yield rows()
+
+
 def _local_wrappers(batches):
     """One wrapper per host of all pages a task reads."""
     held: dict[str, dict] = {}
+    keys_of: dict[str, Keys] = {}
+    salt = TaskContext.get().partitionId() % SALTS
+
+    def rows():
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(held)), pa.array([salt] * len(held), pa.int32()),
+             pa.array([_to_json(w) for w in held.values()])], names=["host", "salt", "wrapper"])
+
     for batch in batches:
-        for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            node = _node(read(page))
-            held[host] = _aligned(held[host], node) if host in held else node
+        for host, page, stable in zip(*(column.to_pylist() for column in batch.columns)):
+            if host not in held:
+                keys_of[host] = Keys(stable or [])
+            node = _node(read(page), keys_of[host])
+            node["stable"] = sorted(keys_of[host].stable)
+            # Only the wrapper is held, without the page's elements.
+            held[host] = _merged([held[host], node]) if host in held else _from_json(_to_json(node))
         if len(held) > 20_000:
-            yield _wrapper_rows(held)
+            yield rows()
             held.clear()
+            keys_of.clear()
     if held:
-        yield _wrapper_rows(held)
+        yield rows()
+
+
+def _to_json(wrapper):
+    return json.dumps([wrapper["stable"], _rows(wrapper)])
+
 
+def _from_json(wrapper):
+    stable, rows = json.loads(wrapper)
+    return _from_rows(rows) | {"stable": stable}
 
-def _wrapper_rows(held):
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(held)), pa.array([json.dumps(_rows(w)) for w in held.values()])], names=["host", "wrapper"])
+
+def _merged(wrappers):
+    return functools.reduce(_aligned, wrappers) | {"stable": wrappers[0]["stable"]}
 
 
 def _merged_wrapper(table: pa.Table) -> pa.Table:
-    wrappers = [_from_rows(json.loads(w)) for w in sorted(table.column("wrapper").to_pylist())]
-    part = main_part(functools.reduce(_aligned, wrappers))
-    return pa.table({"host": table.column("host").slice(0, 1), "part": [json.dumps(part)]})
+    wrapper = _merged([_from_json(w) for w in sorted(table.column("wrapper").to_pylist())])
+    return pa.table({"host": table.column("host").slice(0, 1), "wrapper": [_to_json(wrapper)]})
+
+
+def _host_part(table: pa.Table) -> pa.Table:
+    wrapper = _merged([_from_json(w) for w in sorted(table.column("wrapper").to_pylist())])
+    return pa.table({"host": table.column("host").slice(0, 1), "part": [json.dumps(main_part(wrapper))]})
+
+
+def stable_names(pages: DataFrame) -> DataFrame:
+    """(host, stable) from columns host and html: the names that enough of a host's pages have."""
+    counts = pages.mapInArrow(_local_names, "host string, name string, n long")
+    counts = counts.groupBy("host", "name").agg(F.sum("n").alias("n"))
+    totals = counts.filter("name = ''").select("host", F.col("n").alias("pages"))
+    names = counts.filter("name != ''").join(totals, "host").filter(_is_stable(F.col("n"), F.col("pages")))
+    return materialize(names.groupBy("host").agg(F.sort_array(F.collect_list("name")).alias("stable")))
+
+
+def _broadcast_if_small(rows: DataFrame, column) -> DataFrame:
+    size = rows.agg(F.sum(F.octet_length("host") + F.octet_length(column))).first()[0] or 0
+    return F.broadcast(rows) if size <= BROADCAST_BYTES else rows
 
 
 def host_parts(pages: DataFrame) -> DataFrame:
     """(host, part) from columns host and html: a row per host, from all its pages."""
+    stable = _broadcast_if_small(stable_names(pages), F.concat_ws(" ", "stable"))
     # Copies collapse in the first task that sees them, so that pages are counted by content.
     distinct = pages.groupBy("host", F.sha2("html", 256).alias("digest")).agg(F.min("html").alias("html"))
-    local = distinct.select("host", "html").mapInArrow(_local_wrappers, "host string, wrapper string")
+    named = distinct.join(stable, "host", "left").select("host", "html", "stable")
     # At most one row per task and host.
-    return materialize(local.groupBy("host").applyInArrow(_merged_wrapper, "host string, part string"))
+    local = named.mapInArrow(_local_wrappers, "host string, salt int, wrapper string")
+    some = local.groupBy("host", "salt").applyInArrow(_merged_wrapper, "host string, wrapper string")
+    return materialize(some.groupBy("host").applyInArrow(_host_part, "host string, part string"))
 
 
 def main_texts(pages: DataFrame, url_col="url", html_col="html") -> DataFrame:
@@ -582,10 +714,7 @@ def main_texts(pages: DataFrame, url_col="url", html_col="html") -> DataFrame:
     host, _ = host_and_path(F.col(url_col))
     page = F.coalesce(F.col(html_col), F.lit(""))
     parts = host_parts(pages.select(host.alias("host"), page.alias("html")))
-    size = parts.agg(F.sum(F.octet_length("host") + F.octet_length("part"))).first()[0] or 0
-    parts = parts.select(F.col("host").alias("_host"), F.col("part").alias("_part"))
-    if size <= BROADCAST_BYTES:
-        parts = F.broadcast(parts)
+    parts = _broadcast_if_small(parts, "part").select(F.col("host").alias("_host"), F.col("part").alias("_part"))
 
     @F.arrow_udf("string")
     def texts(html: pa.Array, part: pa.Array) -> pa.Array:

@@ -143,3 +143,23 @@ def test_nesting_has_no_limit():
     rows = wrappers._rows(wrappers.infer([source, source + "y"]))
     assert wrappers._rows(wrappers._from_rows(rows)) == rows
     assert extracted([source, source + "y"])[1].split("\n")[-1] == "y"
+
+
+def test_a_wrapper_is_bound_by_its_templates(spark):
+    def numbered(i):
+        word = "".join(chr(97 + int(c)) for c in str(i))
+        rows = "".join(f"<div id=row-{i}-{k} class='row tag-{word}'><span id={word}{'x' * k}>{i}</span></div>" for k in range(4))
+        return page(f"<article id=post-{i} class='post slug-{word}'><h1>T{i}</h1><div class=tip>Give</div>"
+                    f"<p>{'text ' * (9 + i % 7)}</p>{rows}<t-{word}>z</t-{word}></article>")
+
+    few, many = (len(wrappers._rows(wrappers.infer([numbered(i) for i in range(n)]))) for n in (20, 200))
+    assert few == many < 20
+    # Lists that never agree fold to a group per key.
+    mixed = [page("".join(f"<{t}>{i}</{t}>" for t in (("h2", "p", "h3") * 700)[i : 1500 + i])) for i in range(3)]
+    assert len(wrappers._rows(wrappers.infer(mixed))) < 3000
+    rows = [(i, "http://h.org/", numbered(i)) for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(6)
+    parts = wrappers.host_parts(pages.select(F.lit("h.org").alias("host"), "html")).collect()
+    assert len(parts) == 1 and len(parts[0].part) < 2000
+    texts = {r.page_id: r.text for r in wrappers.main_texts(pages).collect()}
+    assert texts[7].startswith("T7\ntext text") and "Give" not in texts[7]
