@@ -1,7 +1,9 @@
 """N-gram Jaccard join: classes of documents linked by shared word shingles.
 
 Equal sets are one node. Each node has its sorted shingle hashes and a bitmap of
-hashed bits sized to its set. The join finds every pair at or above the threshold:
+hashed bits sized to its set. The join finds the classes that all pairs at or above the threshold
+make; pairs whose ends are in one component already are not verified, so the links it returns
+join each class but are not all its pairs, and no number of links per document exists:
 
 1. Order all shingles, rare before common. Two sets that reach the threshold share one
    among the first `n - ceil(t * n) + 1` of each, so a tile per such shingle holds all pairs.
