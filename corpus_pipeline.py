@@ -10,9 +10,10 @@ from pairloom.session import materialize
 
 
 def known_language(spark, docs, sf_dir):
-    """Drops documents in which no language is found: without text or letters."""
+    """Drops documents without text or letters; where nothing could be learned, lettered ones stay."""
     found = language_mix.identify_languages(docs)
-    return found.filter(found.lang_pred != language_mix.UNKNOWN).select(*docs.columns)
+    known = (found.lang_pred != language_mix.UNKNOWN) | found.text.rlike(r"\p{L}")
+    return found.filter(known).select(*docs.columns)
 
 
 def without_copies(spark, docs, sf_dir):

@@ -62,3 +62,9 @@ def test_odd_rows_and_no_rows(spark, tmp_path):
             if name == "odd" and stage != "source_mix":
                 assert {r.text for r in frame.collect()} == {r[1] for r in rows if regex.search(r"\p{L}", r[1] or "")}
         assert corpus_pipeline.encoded_documents(spark, frame, str(tmp_path)).count() == frame.count()
+
+
+def test_lettered_documents_stay_where_no_language_could_be_learned(spark):
+    rows = [(1, "plain words", None), (2, "123 456", None), (3, None, None), (4, "more words", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in corpus_pipeline.known_language(spark, docs, None).collect()) == [1, 4]
