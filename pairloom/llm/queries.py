@@ -12,6 +12,7 @@ from pairloom.llm import (
     ngram_trie,
     pareto_mix,
     token_counts,
+    transducer,
     wrappers,
 )
 
@@ -198,16 +199,16 @@ def top_vectors(spark, sf_dir):
 
 TOP_VECTORS_SQL = """
 WITH whole AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
   WHERE embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
   SELECT q.vec_id AS query_id, c.vec_id,
-         list_sum(list_transform(list_zip(q.v, c.v), p -> p[1] * p[2]))::BIGINT AS score
+         list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
   FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
 SELECT query_id, (row_number() OVER best)::INT AS rank, vec_id, score FROM scored
-QUALIFY row_number() OVER best <= 5
 WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 5
 """
 
 
@@ -227,6 +228,20 @@ def lm_scores(spark, sf_dir):
     return ngram_trie.score_held_out(docs).drop("text")
 
 
+def byte_bpe_round_trip(spark, sf_dir):
+    from public_tokenizers import PATTERN
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = transducer.round_trip(docs, vocabulary("byte_bpe_multi_50k.tiktoken"), PATTERN)
+    ids = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_ngram_join": ngram_join_classes,
     "op2_url_filter": url_verdicts,
@@ -238,6 +253,7 @@ QUERIES = {
     "op8_token_counts": token_lengths,
     "op9_source_mix": source_mix,
     "op10_lm_scores": lm_scores,
+    "op11_byte_bpe": byte_bpe_round_trip,
 }
 
 ORACLE_SQL = {
