@@ -13,6 +13,8 @@ from pairloom.llm import (
     pareto_mix,
     token_counts,
     transducer,
+    turn_repair,
+    whitening,
     wrappers,
 )
 
@@ -242,6 +244,16 @@ def byte_bpe_round_trip(spark, sf_dir):
     )
 
 
+def whitened_vectors(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(vectors).drop("at")
+
+
+def repaired_conversations(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return turn_repair.repair_damaged(turns)
+
+
 QUERIES = {
     "op1_ngram_join": ngram_join_classes,
     "op2_url_filter": url_verdicts,
@@ -254,6 +266,8 @@ QUERIES = {
     "op9_source_mix": source_mix,
     "op10_lm_scores": lm_scores,
     "op11_byte_bpe": byte_bpe_round_trip,
+    "op12_whitening": whitened_vectors,
+    "op13_turn_repair": repaired_conversations,
 }
 
 ORACLE_SQL = {
