@@ -19,10 +19,8 @@ decoded are replaced, all others are kept.
 """
 
 import base64
-import contextlib
 import functools
-import gc
-import itertools
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -30,15 +28,15 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.llm.batches import by_slices, id_lists
+
 # Bounds of a worker's memory: states with their transitions (twice so many, in generations), pairs of
 # neighbours, remembered pieces (twice so many) and their length, steps of the decoder.
-MAX_STATES = 80_000
+MAX_STATES = 120_000
 MAX_PAIRS = 300_000
-MAX_PIECES = 150_000
+MAX_PIECES = 300_000
 PIECE_CHARS = 24
 MAX_STEPS = 200_000
-# Rows whose ids are Python objects at the same time.
-SLICE_ROWS = 64
 
 CODED = "struct<ids:array<int>,decoded:string>"
 
@@ -49,13 +47,12 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file)}
 
 
-class _Node:
-    """A node of the vocabulary's trie: its children by byte, and the token that ends here."""
-
-    __slots__ = ("children", "token")
+class _Node(dict):
+    """A node of the vocabulary's trie: byte to (next node, the token that ends there or -1)."""
 
-    def __init__(self):
-        self.children, self.token = {}, -1
+    __slots__ = ()
+    # Nodes are told apart by identity.
+    __hash__, __eq__ = object.__hash__, object.__eq__
 
 
 class _State(dict):
@@ -135,6 +132,9 @@ class Transducer:
             raise ValueError(f"tokens that no earlier merges make: {unmade[:5]}")
         self._root = self._plant(ranks)
         self._apart, self._steps, self._states, self._older = {}, {}, {}, {}
+        # Text of tokens that lead the UTF-8 machine from its start back to it.
+        steps = {token: self._decoder_step(b"", token) for token in self.tokens}
+        self._whole = {token: text for token, (text, state) in steps.items() if not state}
         self._pieces = _Memory(self._encode_text_piece, MAX_PIECES, PIECE_CHARS)
         self._begin_states()
 
@@ -143,9 +143,10 @@ class Transducer:
         root = _Node()
         for token, rank in tokens.items():
             node = root
-            for byte in token:
-                node = node.children.get(byte) or node.children.setdefault(byte, _Node())
-            node.token = rank
+            for byte in token[:-1]:
+                node = node.setdefault(byte, (_Node(), -1))[0]
+            last = node.get(token[-1])
+            node[token[-1]] = (last[0] if last else _Node(), rank)
         return root
 
     def merge(self, piece: bytes, below=None) -> list[int]:
@@ -201,21 +202,22 @@ class Transducer:
         """The state after one more byte, and the tokens that are certain by then."""
         known = self._apart
         leaves, longest = [], None
-        for node, last, held in state.leaves:
-            ahead = node.children.get(byte)
+        for leaf in state.leaves:
+            ahead = leaf[0].get(byte)
             if ahead is None:
                 continue
-            token = ahead.token
+            children, token = ahead
             if token >= 0:
-                apart = known.get((last, token))
+                _, last, held = leaf
+                apart = known.get(last << 32 | token)
                 if apart is None:
                     apart = self._kept_apart(last, token)
                 if apart:
                     if longest:
                         raise ValueError("these merges allow two encodings of one text")
                     longest = (self._root, token, (*held, token))
-            if ahead.children:
-                leaves.append((ahead, last, held))
+            if children:
+                leaves.append((children, leaf[1], leaf[2]))
         if not longest:
             raise ValueError("these merges allow no encoding of a text")
         leaves.append(longest)
@@ -233,7 +235,7 @@ class Transducer:
     def _kept_apart(self, left: int, right: int) -> bool:
         if len(self._apart) >= MAX_PAIRS:
             self._apart.clear()
-        found = self._apart[left, right] = left < 0 or self.apart(left, right)
+        found = self._apart[left << 32 | right] = left < 0 or self.apart(left, right)
         return found
 
     def encode_piece(self, piece: bytes) -> list[int]:
@@ -244,11 +246,15 @@ class Transducer:
                 ids += emitted
         return [*ids, *state.leaves[-1][2]]
 
-    def _encode_text_piece(self, piece: str) -> tuple[int, ...]:
-        return tuple(self.encode_piece(piece.encode()))
+    def _encode_text_piece(self, piece: str) -> bytes:
+        return array("i", self.encode_piece(piece.encode())).tobytes()
+
+    def packed(self, text: str) -> bytes:
+        """Ids of a text as 32-bit integers."""
+        return b"".join(map(self._pieces.__getitem__, self._find(text)))
 
     def encode(self, text: str) -> list[int]:
-        return list(itertools.chain.from_iterable(map(self._pieces.__getitem__, self._find(text))))
+        return np.frombuffer(self.packed(text), np.int32).tolist()
 
     def _decoder_step(self, pending: bytes, token: int) -> tuple[str, bytes]:
         """The UTF-8 machine over the bytes of one token."""
@@ -272,7 +278,10 @@ class Transducer:
             yield "\ufffd"
 
     def decode(self, ids) -> str:
-        return "".join(self.decode_stream(ids))
+        try:
+            return "".join(map(self._whole.__getitem__, ids))
+        except KeyError:
+            return "".join(self.decode_stream(ids))
 
 
 @functools.lru_cache(maxsize=2)
@@ -280,38 +289,13 @@ def _machine(path: str, pattern: str) -> Transducer:
     return Transducer(read_ranks(path), pattern)
 
 
-def _id_lists(lists: list[list[int]]) -> pa.ListArray:
-    ends = np.cumsum([0, *map(len, lists)], dtype=np.int64)
-    flat = np.fromiter(itertools.chain.from_iterable(lists), np.int32, int(ends[-1]))
-    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
-
-
-@contextlib.contextmanager
-def _without_collector():
-    """Many small objects and no cycles: looking for cycles takes a third of the time."""
-    enabled = gc.isenabled()
-    gc.disable()
-    try:
-        yield
-    finally:
-        if enabled:
-            gc.enable()
-
-
-def _by_slices(values: pa.Array, make) -> pa.Array:
-    """Apply `make` to slices of a batch, so that only one is held as objects."""
-    with _without_collector():
-        parts = [make(values.slice(at, SLICE_ROWS).to_pylist()) for at in range(0, len(values), SLICE_ROWS)]
-        return pa.concat_arrays(parts) if parts else make([])
-
-
 def encoded(text: Column, ranks: str, pattern: str) -> Column:
     """Ids of a text column."""
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
         machine = _machine(ranks, pattern)
-        return _by_slices(texts, lambda part: _id_lists([machine.encode(t) for t in part]))
+        return by_slices(texts, lambda part: id_lists([machine.packed(t) for t in part]))
 
     return encode(F.coalesce(text, F.lit("")))
 
@@ -322,7 +306,7 @@ def decoded(ids: Column, ranks: str, pattern: str) -> Column:
     @F.arrow_udf("string")
     def decode(lists: pa.Array) -> pa.Array:
         machine = _machine(ranks, pattern)
-        return _by_slices(lists, lambda part: pa.array([machine.decode(x or ()) for x in part], pa.string()))
+        return by_slices(lists, lambda part: pa.array([machine.decode(x or ()) for x in part], pa.string()))
 
     return decode(ids)
 
@@ -335,11 +319,12 @@ def round_trip(docs: DataFrame, ranks: str, pattern: str, text="text") -> DataFr
         machine = _machine(ranks, pattern)
 
         def coded(part):
-            lists = [machine.encode(t) for t in part]
-            back = pa.array([machine.decode(ids) for ids in lists], pa.string())
-            return pa.StructArray.from_arrays([_id_lists(lists), back], ["ids", "decoded"])
+            packed = [machine.packed(t) for t in part]
+            ids = (np.frombuffer(p, np.int32).tolist() for p in packed)
+            back = pa.array([machine.decode(i) for i in ids], pa.string())
+            return pa.StructArray.from_arrays([id_lists(packed), back], ["ids", "decoded"])
 
-        return _by_slices(texts, coded)
+        return by_slices(texts, coded)
 
     kept = [c for c in docs.columns if c not in ("ids", "decoded")]
     coded = "_coded" + "_" * max(map(len, docs.columns))
