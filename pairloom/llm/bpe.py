@@ -15,6 +15,7 @@ import itertools
 import json
 import re
 import unicodedata
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +23,11 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.llm.batches import by_slices, id_lists
+
 # Bound of the worker's memory: words up to this length, and twice so many of them.
 CACHED_CHARS = 64
-CACHE_ENTRIES = 80_000
-# Rows whose ids are Python objects at the same time.
-SLICE_ROWS = 50
+CACHE_ENTRIES = 150_000
 
 ENCODED = "struct<ids:array<int>,decoded:string>"
 
@@ -95,10 +96,10 @@ class WordBpe:
         self._pieces = _Words(self._encode_piece)
         self.words = _Words(self._encode_word)
 
-    def _encode_piece(self, piece: str) -> tuple[int, ...]:
+    def _encode_piece(self, piece: str) -> bytes:
         *start, end = piece.encode()
         ids = [*map(self._inner.__getitem__, start), self._last[end]]
-        return tuple(self.merge([i for i in ids if i is not None] if None in ids else ids))
+        return array("i", self.merge([i for i in ids if i is not None] if None in ids else ids)).tobytes()
 
     def merge(self, ids: list[int]) -> list[int]:
         """Apply the merges in the order of their ranks, leftmost first."""
@@ -129,27 +130,30 @@ class WordBpe:
                     push(queue, (*found, ahead, pair))
         return [i for i in ids if i >= 0]
 
-    def _encode_word(self, word: str) -> tuple[int, ...]:
-        pieces = self._pieces
-        return tuple(i for piece in self._find(word) for i in pieces[piece])
+    def _encode_word(self, word: str) -> bytes:
+        return b"".join(map(self._pieces.__getitem__, self._find(word)))
 
-    def _encode_plain(self, text: str):
+    def _packed_plain(self, text: str) -> bytes:
         text = unicodedata.normalize("NFC", text)
         # The library lower-cases each character by itself, without a final sigma.
         text = text.replace("Σ", "σ").lower()
         split = _RUST_BLANK.split(text) if _CONTROL.search(text) else text.split()
-        return itertools.chain.from_iterable(map(self.words.__getitem__, split))
+        return b"".join(map(self.words.__getitem__, split))
 
-    def encode(self, text: str) -> list[int]:
+    def packed(self, text: str) -> bytes:
+        """Ids of a text as 32-bit integers."""
         if not any(string in text for string in self.special):
-            return list(self._encode_plain(text))
+            return self._packed_plain(text)
         found, start = [], 0
         for match in self._special.finditer(text):
-            found.extend(self._encode_plain(text[start : match.start()]))
-            found.append(self.special[match[0]])
+            found.append(self._packed_plain(text[start : match.start()]))
+            found.append(array("i", [self.special[match[0]]]).tobytes())
             start = match.end()
-        found.extend(self._encode_plain(text[start:]))
-        return found
+        found.append(self._packed_plain(text[start:]))
+        return b"".join(found)
+
+    def encode(self, text: str) -> list[int]:
+        return np.frombuffer(self.packed(text), np.int32).tolist()
 
     def decode(self, ids) -> str:
         """The vocabulary strings of the ids, one blank between them."""
@@ -161,25 +165,13 @@ def _coder(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-def _id_lists(lists: list[list[int]]) -> pa.ListArray:
-    ends = np.cumsum([0, *map(len, lists)], dtype=np.int64)
-    flat = np.fromiter(itertools.chain.from_iterable(lists), np.int32, int(ends[-1]))
-    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
-
-
-def _by_slices(values: pa.Array, make) -> pa.Array:
-    """Apply `make` to slices of a batch, so that only one is held as objects."""
-    parts = [make(values.slice(at, SLICE_ROWS).to_pylist()) for at in range(0, len(values), SLICE_ROWS)]
-    return pa.concat_arrays(parts) if parts else make([])
-
-
 def encoded(text: Column, tokenizer: str) -> Column:
     """Ids of a text column."""
 
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
         coder = _coder(tokenizer)
-        return _by_slices(texts, lambda part: _id_lists([coder.encode(t) for t in part]))
+        return by_slices(texts, lambda part: id_lists([coder.packed(t) for t in part]))
 
     return encode(F.coalesce(text, F.lit("")))
 
@@ -190,7 +182,7 @@ def decoded(ids: Column, tokenizer: str) -> Column:
     @F.arrow_udf("string")
     def decode(lists: pa.Array) -> pa.Array:
         coder = _coder(tokenizer)
-        return _by_slices(lists, lambda part: pa.array([coder.decode(x or ()) for x in part], pa.string()))
+        return by_slices(lists, lambda part: pa.array([coder.decode(x or ()) for x in part], pa.string()))
 
     return decode(ids)
 
@@ -199,13 +191,15 @@ def round_trip(docs: DataFrame, tokenizer: str, text="text") -> DataFrame:
     """`docs` with the columns ids and decoded, made in one pass over the texts."""
 
     def coded(part):
-        lists = [_coder(tokenizer).encode(t) for t in part]
-        back = pa.array([_coder(tokenizer).decode(ids) for ids in lists], pa.string())
-        return pa.StructArray.from_arrays([_id_lists(lists), back], ["ids", "decoded"])
+        coder = _coder(tokenizer)
+        packed = [coder.packed(t) for t in part]
+        ids = (np.frombuffer(p, np.int32).tolist() for p in packed)
+        back = pa.array([coder.decode(i) for i in ids], pa.string())
+        return pa.StructArray.from_arrays([id_lists(packed), back], ["ids", "decoded"])
 
     @F.arrow_udf(ENCODED)
     def both(texts: pa.Array) -> pa.Array:
-        return _by_slices(texts, coded)
+        return by_slices(texts, coded)
 
     kept = docs.drop("ids", "decoded", "_coded")
     found = kept.withColumn("_coded", both(F.coalesce(F.col(text), F.lit(""))))
