@@ -19,6 +19,7 @@ WS = r"[\t-\r\x1c-\x20\x85\p{Z}]"
 
 # What is deleted or kept of an HTML body.
 TAG = r"<[^>]+>"
+CODE_START = "<pre><code>"
 CODE_BLOCK = r"(?s)<pre><code>(.*?)</code></pre>"
 # Stand around a code block while blanks next to them are stripped, each run once.
 OPEN, CLOSE = "\ufdd0", "\ufdd1"
@@ -64,19 +65,27 @@ def unescape_html(col) -> Column:
     return F.coalesce(_decode_entities(encoded), col)
 
 
-def clean_html(col) -> Column:
-    """Readable text of an HTML body; null becomes the empty string.
+def _mark_code(text: Column) -> Column:
+    """Code blocks between marks, without blanks at their ends.
 
-    Entities are decoded first, so an encoded `&lt;b&gt;` is removed as a tag.
-    Only a bare `<pre><code>` pair is kept as a marked code block. The noncharacters
-    U+FDD0 and U+FDD1 are deleted.
+    The noncharacters U+FDD0 and U+FDD1 of such a text are deleted.
     """
-    text = unescape_html(text_or_empty(col))
     text = F.translate(text, OPEN + CLOSE, "")
     text = F.regexp_replace(text, CODE_BLOCK, f"\n[CODE]\n{OPEN}$1{CLOSE}\n[/CODE]\n")
     text = F.regexp_replace(text, rf"(?<!{WS}){WS}*{CLOSE}", CLOSE)
     text = F.regexp_replace(text, rf"{OPEN}{WS}*", OPEN)
-    text = F.translate(text, OPEN + CLOSE, "")
+    return F.translate(text, OPEN + CLOSE, "")
+
+
+def clean_html(col) -> Column:
+    """Readable text of an HTML body; null becomes the empty string.
+
+    Entities are decoded first, so an encoded `&lt;b&gt;` is removed as a tag.
+    Only a bare `<pre><code>` pair is kept as a marked code block; texts without one skip
+    the search for it.
+    """
+    text = unescape_html(text_or_empty(col))
+    text = F.when(F.contains(text, F.lit(CODE_START)), _mark_code(text)).otherwise(text)
     text = F.regexp_replace(text, TAG, "")
     text = F.regexp_replace(text, r"\n{3,}", "\n\n")
     return strip(text)

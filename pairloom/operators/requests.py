@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from pairloom.functions.text import text_or_empty
 from pairloom.operators.ordered import (
@@ -12,6 +13,7 @@ from pairloom.operators.ordered import (
     ordered_parts,
     ordered_text,
 )
+from pairloom.operators.selection import smallest
 from pairloom.operators.votes import answers, questions
 
 NO_COMMENTS = "None"
@@ -67,10 +69,13 @@ def cap_pending(pending: DataFrame, n, order_by="ParentId", zero_is_no_cap=True)
     """At most `n` requests of this run; None means all.
 
     The enrichment step reads 0 as no cap, the trace step
-    (`zero_is_no_cap=False`) as nothing.
+    (`zero_is_no_cap=False`) as nothing. Requests with the least ids are issued; the cap's id is found
+    by counting, so `pending` is read a few times by its key and then filtered.
     """
     if n is None or (n == 0 and zero_is_no_cap):
         return pending
+    if isinstance(pending.schema[order_by].dataType, IntegralType):
+        return smallest(pending, order_by, n)
     return first_rows(pending, [order_by], n)
 
 

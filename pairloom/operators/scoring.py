@@ -7,6 +7,7 @@ from pairloom.functions import answers as A
 from pairloom.functions.chat import TURN_END, TURN_START, turn_text
 from pairloom.functions.text import text_or_empty, token_count
 from pairloom.operators.ordered import first_rows, with_position
+from pairloom.session import materialize
 
 # The prompt in force by default, and the letters of the choices.
 DEFAULT_SYSTEM_PROMPT = "You are a helpful AI assistant."
@@ -127,10 +128,17 @@ def score_outputs(outputs: DataFrame, items: DataFrame, counter=None, strict=Fal
     )
 
 
+BASE, TUNED = "base", "ft"
+REPORTED = {
+    "correct": "is_correct", "think_tokens": "thinking_tokens", "ans_tokens": "answer_tokens",
+    "time": "time_seconds",
+}
+
+
 def union_models(base: DataFrame, tuned: DataFrame) -> DataFrame:
     """Results of both models in one table, told apart by `model`."""
-    named = base.withColumn("model", F.lit("base"))
-    return named.unionByName(tuned.withColumn("model", F.lit("ft")))
+    named = base.withColumn("model", F.lit(BASE))
+    return named.unionByName(tuned.withColumn("model", F.lit(TUNED)))
 
 
 def model_summary(results: DataFrame, by=("model",), models=None) -> DataFrame:
@@ -153,25 +161,28 @@ def model_summary(results: DataFrame, by=("model",), models=None) -> DataFrame:
     return named.join(summary, "model", "left").fillna(0.0)
 
 
-def compare_models(base: DataFrame, tuned: DataFrame) -> DataFrame:
-    """Both models side by side by position, keeping rows only one of them has.
+def model_comparison(results: DataFrame) -> DataFrame:
+    """Both models of one result table side by side by position, rows of only one included.
 
-    The question text comes from the base results. Without results of one model
-    there is no report.
+    One conditional aggregate per position, so the results are read and scored once. The
+    question text comes from the base results. Without results of one model there is no report.
     """
-    def side(results, prefix):
-        return results.select(
-            F.col("item_pos"),
-            F.col("is_correct").alias(f"{prefix}_correct"),
-            F.col("thinking_tokens").alias(f"{prefix}_think_tokens"),
-            F.col("answer_tokens").alias(f"{prefix}_ans_tokens"),
-            F.col("time_seconds").alias(f"{prefix}_time"),
-            *(["question"] if prefix == "base" else []),
-        )
-
-    joined = side(base, "base").join(side(tuned, "ft"), "item_pos", "full_outer")
-    report = joined.select(
-        "item_pos", "question",
-        *[f"{p}_{c}" for p in ("base", "ft") for c in ("correct", "think_tokens", "ans_tokens", "time")],
+    def of(model, value):
+        return F.max(F.when(F.col("model") == model, value))
+
+    values = F.struct(*REPORTED.values())
+    rows = results.filter(F.col("model").isin(BASE, TUNED)).groupBy("item_pos").agg(
+        of(BASE, F.struct("question")).alias("asked"),
+        of(BASE, values).alias(BASE), of(TUNED, values).alias(TUNED),
     )
-    return report.filter(base.limit(1).exists() & tuned.limit(1).exists())
+    rows = materialize(rows)
+    both = rows.agg(*[F.count(F.col(model)) for model in (BASE, TUNED)]).first()
+    return rows.filter(F.lit(all(both))).select(
+        "item_pos", "asked.question",
+        *[F.col(f"{m}.{c}").alias(f"{m}_{name}") for m in (BASE, TUNED) for name, c in REPORTED.items()],
+    )
+
+
+def compare_models(base: DataFrame, tuned: DataFrame) -> DataFrame:
+    """`model_comparison` of two tables with the results of one model each."""
+    return model_comparison(union_models(base, tuned))

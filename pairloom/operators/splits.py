@@ -4,44 +4,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions.text import draw_hash
-from pairloom.operators.ordered import HOT_ROWS, TOP_K_ROWS, with_position
-from pairloom.session import materialize
+from pairloom.operators import selection
 
+DRAW_DIGITS = 32
 
-def split_exact(df: DataFrame, key, eval_size=10, seed=42, top_k_rows=TOP_K_ROWS):
+
+def split_exact(df: DataFrame, key, eval_size=10, seed=42):
     """`(train, eval)`: `eval_size` rows with the lowest hash draws, and the rest.
 
-    Together they are `df`, copies included. Up to `top_k_rows` the evaluation
-    set is a top-k and its keys are broadcast; a larger one is cut by position.
-    Raises ValueError when no row would be left for training.
+    Together they are `df`, copies included; copies of a key are told apart by a digest of the
+    row. The cut is found by counting draws, so both parts are filters of `df` at any
+    evaluation size. Raises ValueError when no row would be left for training.
     """
-    if df.select(F.lit(1)).limit(eval_size + 1).count() <= eval_size:
+    draw = draw_hash(F.col(key), seed, "split")
+    found = selection.cut(df, draw, DRAW_DIGITS, eval_size)
+    if found is None or found[1].isEmpty():
         raise ValueError(f"need more than {eval_size} rows to split")
-    drawn = df.withColumn("_draw", draw_hash(F.col(key), seed, "split"))
-    # The other columns order the copies of one key.
-    order = ["_draw", key, *[c for c in df.columns if c != key]]
-    if eval_size > top_k_rows:
-        return _split_by_position(drawn, order, eval_size)
-
-    # Stored, so that both results are cut at the same row.
-    held_out = materialize(drawn.orderBy(*order).limit(eval_size).drop("_draw"))
-    keys = F.broadcast(held_out.select(F.col(key).alias("_held")).distinct())
-    same = F.col(key).eqNullSafe(F.col("_held"))
-    train = df.join(keys, same, "left_anti")
-    # Reads the key column only. More rows than were held out: a key has copies
-    # on both sides of the cut, and the held-out ones are subtracted row by row.
-    if df.select(key).join(keys, same, "left_semi").count() > eval_size:
-        train = train.unionByName(df.join(keys, same, "left_semi").exceptAll(held_out))
+    held_out, train = found
     return train, held_out
 
 
-def _split_by_position(drawn: DataFrame, order, eval_size):
-    """A large evaluation set is cut from the table in draw order, without a top-k."""
-    placed = materialize(with_position(drawn, order, "_pos", hot_rows=min(HOT_ROWS, eval_size)))
-    parts = placed.filter(F.col("_pos") >= eval_size), placed.filter(F.col("_pos") < eval_size)
-    return tuple(part.drop("_pos", "_draw") for part in parts)
-
-
 def split_summary(train: DataFrame, held_out: DataFrame) -> DataFrame:
     """Row counts of `train`, `eval` and `total`."""
     def sized(df, name):
@@ -72,3 +54,52 @@ def split_leak_check(
         (F.col("n_train") + F.col("n_eval") != F.col("n_all"))
         | ((F.col("n_train") > 0) & (F.col("n_eval") > 0))
     )
+
+
+# Ranges of the digest comparison, and how many ranges each differing one is cut into.
+RANGES = 1 << 10
+NARROWER = 1 << 10
+
+
+def _digests(df: DataFrame, key, ranges):
+    """Rows and a sum of row digests per range of the key's hash: it does not depend on order."""
+    place = F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(ranges))
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)])
+    # Halves, so that sums of any number of rows stay within a decimal.
+    return df.select(place.alias("range"), row.cast("decimal(20,0)").alias("row"))
+
+
+def table_differences(left: DataFrame, right: DataFrame, key) -> DataFrame:
+    """Keys whose rows differ between two tables of the same columns, copies included.
+
+    Compares commutative digests of hash ranges of the key (one aggregate, one row per range) and
+    reads only the rows of ranges that differ again, by finer ranges and then by key. Equal
+    tables cost one pass and move no row. Returns key, n_left, n_right.
+    """
+    def compared(a, b, ranges):
+        both = _digests(a, key, ranges).withColumn("side", F.lit(1)).unionByName(
+            _digests(b, key, ranges).withColumn("side", F.lit(-1)))
+        summed = both.groupBy("range").agg(
+            F.sum(F.col("side") * F.col("row")).alias("digest"), F.sum("side").alias("n"))
+        return summed.filter("digest <> 0 or n <> 0").select("range")
+
+    def within(df, ranges, broken):
+        place = F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(ranges))
+        return df.withColumn("_range", place).join(
+            F.broadcast(broken.select(F.col("range").alias("_range"))), "_range", "left_semi").drop("_range")
+
+    # At most RANGES, then at most RANGES * NARROWER numbers are broadcast.
+    for ranges in (RANGES, RANGES * NARROWER):
+        broken = compared(left, right, ranges)
+        left, right = within(left, ranges, broken), within(right, ranges, broken)
+
+    def counted(df, name):
+        row = F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)])
+        return df.select(F.col(f"`{key}`").alias("key"), row.cast("decimal(20,0)").alias("row"), F.lit(name).alias("side"))
+
+    rows = counted(left, 1).unionByName(counted(right, -1))
+    found = rows.groupBy("key").agg(
+        F.count_if(F.col("side") == 1).alias("n_left"), F.count_if(F.col("side") == -1).alias("n_right"),
+        F.sum(F.col("side") * F.col("row")).alias("digest"),
+    )
+    return found.filter("digest <> 0 or n_left <> n_right").drop("digest")

@@ -127,11 +127,15 @@ def pack_sequences(
 ) -> DataFrame:
     """Place the rows of each shard end to end and cut the line into blocks.
 
+    `order_by` is a column or a list of them. The rows are sorted with all their columns, so
+    they should be narrow.
+
     Adds the first and last block a row falls into and the running end position.
     Every shard restarts at 0. Rows without tokens lie in the block they touch.
     """
     placed = running_total(
-        df, [shard], [order_by], F.col(tokens), "end_token", hot_rows=hot_rows, slices=slices
+        df, [shard], [order_by] if isinstance(order_by, str) else order_by, F.col(tokens),
+        "end_token", hot_rows=hot_rows, slices=slices,
     )
     # `div` keeps long positions exact.
     return placed.withColumns({

@@ -18,6 +18,7 @@ from pairloom.operators.requests import (
     pair_texts,
     resume_pending,
 )
+from pairloom.session import materialize
 
 # Neutral frames: what a model is to do with the slots is for the caller to say.
 ENRICH_TEMPLATE = (
@@ -27,10 +28,11 @@ TRACE_TEMPLATE = "[question]\n{question}\n\n[answer]\n{answer}\n"
 
 
 def _pending(pairs, processed, max_items):
+    """Ids of the pending pairs, stored: every branch of a request table starts from them."""
     pending = pairs.select("ParentId", "Id")
     if processed is not None:
         pending = resume_pending(pending, processed)
-    return cap_pending(pending, max_items)
+    return cap_pending(materialize(pending), max_items)
 
 
 def _cleaned(pending, posts):
