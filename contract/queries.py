@@ -8,11 +8,11 @@ from pairloom.functions import answers as A
 from pairloom.functions import chat
 from pairloom.functions.text import clean_html
 from pairloom.operators import judging, requests, responses, scoring, splits, training, votes
-from pairloom.operators.ordered import with_position
+from pairloom.operators.selection import positions
 from pairloom.plans.curate import curate_pairs
 from pairloom.plans.enrich import enrich_request_parts, enrich_requests, trace_requests
 from pairloom.plans.evaluate import judge_requests
-from pairloom.plans.train import even_shard
+from pairloom.plans.train import even_shard, training_sequences
 from pairloom.session import scratch_path
 from pairloom.sources import readers, writers
 from pairloom.streaming.resume import stream_trace_requests
@@ -259,6 +259,24 @@ def split_summary(spark, d):
     return splits.split_summary(*_split(spark, d))
 
 
+@query
+def split_leaks(spark, d):
+    """The leak check on a broken split: every third row is lost, every second evaluated."""
+    traced, key = fx.traced(spark, d), F.col("question_id")
+    return splits.split_leak_check(traced.filter(key % 3 != 0), traced.filter(key % 2 == 0), traced, "question_id")
+
+
+@query
+def split_differences(spark, d):
+    """What a split that loses, doubles and changes rows differs in from the whole."""
+    whole = fx.traced(spark, d).select("question_id", "title", "enriched_answer")
+    key = F.col("question_id")
+    broken = whole.filter(key % 35 != 0).withColumn(
+        "title", F.when(key % 77 == 0, F.lit("changed")).otherwise(F.col("title")))
+    broken = broken.unionByName(broken.filter(key % 39 == 0))
+    return splits.table_differences(whole, broken, "question_id")
+
+
 @query
 def split_leak_check(spark, d):
     return splits.split_leak_check(*_split(spark, d), fx.traced(spark, d), "question_id")
@@ -332,6 +350,11 @@ def pack_sequences(spark, d):
     return training.pack_sequences(sized, "shard", "question_id", "n_tokens", BUDGET)
 
 
+@query
+def training_sequences_(spark, d):
+    return training_sequences(fx.traced(spark, d), drop_prob=0.3, max_tokens=BUDGET, block=BUDGET)
+
+
 # --- evaluation -------------------------------------------------------------
 
 
@@ -374,7 +397,7 @@ def eval_items(spark, d):
 @query
 def item_position(spark, d):
     docs = fx.table(spark, d, "documents").select("source", "doc_id")
-    return with_position(docs, ["source", "doc_id"]).select("doc_id", "item_pos")
+    return positions(docs, ["source", "doc_id"]).select("doc_id", "item_pos")
 
 
 @query
@@ -426,7 +449,26 @@ def model_summary(spark, d):
 
 def _report(spark, d):
     results = _math_results(spark, d)
-    return scoring.compare_models(_of(results, "base"), _of(results, "ft"))
+    return scoring.model_comparison(results)
+
+
+@query
+def model_results(spark, d):
+    """Results of both models, unnamed on their own, in one table."""
+    results = _math_results(spark, d)
+    sides = [_of(results, model).drop("model") for model in ("base", "ft")]
+    return scoring.union_models(*sides).select("model", "item_pos", "predicted_answer", "is_correct")
+
+
+@query
+def mcq_scored(spark, d):
+    """Multiple choice from raw outputs to scores."""
+    outputs = fx.letters(spark, d).select(
+        F.lit(A.MULTIPLE_CHOICE).alias("benchmark"), F.lit("base").alias("model"),
+        F.col("doc_id").alias("item_pos"), "raw_output", F.lit(1.5).alias("time_seconds"),
+    )
+    results = scoring.score_outputs(outputs, scoring.mcq_items(fx.choice_items(spark, d)))
+    return results.drop("raw_output", "question", "time_seconds")
 
 
 @query
@@ -549,6 +591,20 @@ def benchmark_files(spark, d):
     return items.select("question", F.array_join("choices", "").alias("joined"), "answer")
 
 
+@query
+def benchmark_math_files(spark, d):
+    path = scratch_path(spark, "items")
+    writers.append_jsonl(fx.math_references(spark, d).drop("item_pos"), path)
+    return readers.read_benchmark(spark, A.MATH, path)
+
+
+@query
+def benchmark_open_files(spark, d):
+    path = scratch_path(spark, "items")
+    writers.append_jsonl(fx.traced(spark, d), path)
+    return readers.read_benchmark(spark, A.OPEN_QA, path)
+
+
 @query
 def result_files(spark, d):
     path = scratch_path(spark, "results")

@@ -305,6 +305,12 @@ _REPORT = """SELECT coalesce(b.item_pos, t.item_pos) AS item_pos, b.question,
     FROM (SELECT * FROM math_results WHERE model = 'base') b
     FULL JOIN (SELECT * FROM math_results WHERE model = 'ft') t ON b.item_pos = t.item_pos"""
 
+_FINAL_TEXT = f"""{turn("'system'", lit(SYSTEM_PROMPT))}
+        || {turn("'user'", strip("title || chr(10) || chr(10) || question_body"))}
+        || {turn("'assistant'", f'''CASE WHEN thinking_trace_re = '' THEN '' ELSE '<think>'
+            || CASE WHEN {draw('question_id', 42, 'drop')} >= 0.3 THEN thinking_trace_re ELSE '' END
+            || '</think>' || chr(10) || chr(10) END || replace(enriched_answer, '**', '')''')}"""
+
 TWINS = {
     # curation
     "curate_pairs": sql(
@@ -447,6 +453,18 @@ TWINS = {
         UNION ALL SELECT 'total', count(*) FROM split""",
         "split",
     ),
+    "split_leaks": sql(
+        """SELECT question_id AS key, (question_id % 3 <> 0)::BIGINT AS n_train,
+        (question_id % 2 = 0)::BIGINT AS n_eval, 1::BIGINT AS n_all
+        FROM traced WHERE (question_id % 3 <> 0) = (question_id % 2 = 0)""",
+        "traced",
+    ),
+    "split_differences": sql(
+        """SELECT question_id AS key, 1::BIGINT AS n_left, CASE WHEN question_id % 35 = 0 THEN 0
+            WHEN question_id % 39 = 0 THEN 2 ELSE 1 END::BIGINT AS n_right
+        FROM traced WHERE question_id % 35 = 0 OR question_id % 39 = 0 OR question_id % 77 = 0""",
+        "traced",
+    ),
     "split_leak_check": sql(
         """SELECT question_id AS key, 0::BIGINT AS n_train, 0::BIGINT AS n_eval, count(*) AS n_all
         FROM split GROUP BY question_id HAVING count(DISTINCT part) > 1""",
@@ -470,14 +488,15 @@ TWINS = {
         AS trace_dropped FROM traced""",
         "traced",
     ),
-    "training_texts": sql(
-        f"""SELECT question_id, {turn("'system'", lit(SYSTEM_PROMPT))}
-        || {turn("'user'", strip("title || chr(10) || chr(10) || question_body"))}
-        || {turn("'assistant'", f'''CASE WHEN thinking_trace_re = '' THEN '' ELSE '<think>'
-            || CASE WHEN {draw('question_id', 42, 'drop')} >= 0.3 THEN thinking_trace_re ELSE '' END
-            || '</think>' || chr(10) || chr(10) END || replace(enriched_answer, '**', '')''')} AS text
-        FROM traced""",
-        "traced",
+    "training_texts": sql(f"SELECT question_id, {_FINAL_TEXT} AS text FROM traced", "traced"),
+    "training_sequences": sql(
+        f"""SELECT question_id, text, n_tokens, shard, end_token, (end_token - n_tokens) // 512 AS start_block,
+        greatest(end_token - 1, end_token - n_tokens) // 512 AS end_block
+        FROM (SELECT *, (sum(n_tokens) OVER (PARTITION BY shard ORDER BY question_id))::BIGINT AS end_token
+            FROM (SELECT question_id, final AS text, {tokens('final')} AS n_tokens, floor(
+                {draw('question_id', 42, 'shard')} * greatest(1, ceil(count(*) OVER () / 500000.0)))::BIGINT AS shard
+                FROM (SELECT *, {_FINAL_TEXT} AS final FROM sized WHERE NOT trace_truncated AND n_tokens <= 512)))""",
+        "sized",
     ),
     "chat_serialize": f"""SELECT conv_id, string_agg({turn('role', 'text')}, '' ORDER BY turn, role, text)
         AS chat FROM conversations GROUP BY conv_id""",
@@ -544,6 +563,15 @@ TWINS = {
         "math_results", "open_results",
     ),
     "compare_models": sql(_REPORT, "math_results"),
+    "model_results": sql("SELECT model, item_pos, predicted_answer, is_correct FROM math_results", "math_results"),
+    "mcq_scored": sql(
+        f"""SELECT benchmark, 'base' AS model, item_pos, reference AS reference_answer,
+        predicted_answer, reference IS NOT DISTINCT FROM predicted_answer AS is_correct,
+        {tokens(trace('raw_output'))} AS thinking_tokens, {tokens(answer_part('raw_output'))} AS answer_tokens
+        FROM (SELECT *, CASE WHEN NOT {unclosed('raw_output')} THEN {letter(answer_part('raw_output'))} END
+            AS predicted_answer FROM letters JOIN mcq ON doc_id = item_pos)""",
+        "letters", "mcq",
+    ),
     "eval_pending": sql(
         """SELECT 'ft' AS model, benchmark, item_pos, question, reference FROM math_items
         WHERE item_pos NOT IN (SELECT item_pos FROM outputs WHERE model = 'ft')""",
@@ -586,6 +614,8 @@ TWINS = {
     "output_ids": sql("SELECT DISTINCT question_id FROM traced", "traced"),
     "split_files": sql("SELECT part, * EXCLUDE (part) FROM split", "split"),
     "benchmark_files": sql("SELECT question, choices[1] || choices[2] || choices[3] || choices[4] AS joined, answer FROM choice_items", "choice_items"),
+    "benchmark_math_files": sql("SELECT question, answer FROM math_refs", "math_refs"),
+    "benchmark_open_files": sql("SELECT question_id, question_body, enriched_answer FROM traced", "traced"),
     "result_files": sql(f"SELECT {_RESULT_COLUMNS} FROM math_results", "math_results"),
     "verdict_files": sql("SELECT * FROM judged", "judged"),
     "comparison_file": sql(_REPORT, "math_results"),

@@ -11,6 +11,7 @@ import os
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.operators.ordered import running_total
 from pairloom.session import materialize
 
 DIGITS = 4
@@ -70,6 +71,29 @@ def numbered_rows(df: DataFrame, name: str) -> DataFrame:
     return placed.select(*df.columns, name)
 
 
+def positions(df: DataFrame, order_by, name="item_pos") -> DataFrame:
+    """Number the rows 0, 1, 2, ... in the order of the named columns.
+
+    Rows are dealt to tasks by ranges of the order and sorted there; the counts of the ranges give
+    the first number of each. No task has more than its range, however large the table.
+    """
+    order = [F.col(f"`{c}`") for c in order_by]
+    return numbered_rows(df.repartitionByRange(*order).sortWithinPartitions(*order), name)
+
+
+def file_positions(df: DataFrame, block, row, name="item_pos") -> DataFrame:
+    """Number the rows of files in file order: the rows of all blocks before, and the place in the block.
+
+    `block` names the columns that order the blocks; `row` counts up by one within a block, from
+    any number. Only one row per block is ordered; the rows themselves are not sorted.
+    """
+    counts = df.groupBy(*block).agg(F.count(F.lit(1)).alias("_n"), F.min(row).alias("_first"))
+    before = running_total(counts, [], block, F.col("_n"), "_upto")
+    before = before.select(*block, (F.col("_upto") - F.col("_n") - F.col("_first")).alias("_before"))
+    kept = [c for c in df.columns if c not in (*block, row)]
+    return df.join(before, block).select(*kept, (F.col("_before") + F.col(row)).alias(name))
+
+
 def cut(df: DataFrame, rank: Column, length: int, n: int, start=""):
     """`(first, rest)`: the n rows of least rank, equal ranks by a digest of the row, and the others.
 

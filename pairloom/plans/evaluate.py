@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.operators.judging import judge_pairs, judge_pending
-from pairloom.operators.scoring import compare_models, model_summary
+from pairloom.operators.scoring import model_comparison, model_summary
 
 
 def model_results(results: DataFrame, model) -> DataFrame:
@@ -13,8 +13,7 @@ def model_results(results: DataFrame, model) -> DataFrame:
 
 def reports(results: DataFrame):
     """`(summary, comparison)` of the models `base` and `ft`."""
-    base, tuned = model_results(results, "base"), model_results(results, "ft")
-    return model_summary(results, models=("base", "ft")), compare_models(base, tuned)
+    return model_summary(results, models=("base", "ft")), model_comparison(results)
 
 
 def judge_requests(

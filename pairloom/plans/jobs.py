@@ -14,8 +14,10 @@ from pairloom.operators import responses as R
 from pairloom.operators import scoring
 from pairloom.operators.judging import judge_pending, judge_rates, verdicts
 from pairloom.operators.requests import resume_pending
+from pairloom.operators.selection import file_positions
 from pairloom.operators.splits import split_exact, split_summary
 from pairloom.operators.training import MAX_TOKENS, drop_truncated, train_profile, training_texts
+from pairloom.operators.votes import duplicate_ids
 from pairloom.plans.curate import curate_pairs
 from pairloom.plans.enrich import ENRICH_TEMPLATE, TRACE_TEMPLATE, enrich_requests, trace_requests
 from pairloom.plans.evaluate import judge_requests, reports
@@ -28,8 +30,8 @@ ITEMS = {
     "ee_qa": scoring.open_items,
     "gsm8k": scoring.math_items,
 }
-# Place of a record in its file, and the rows of a file in order.
-FILE_ORDER = ["_file", "_block", "_row"]
+# The blocks of files, in order.
+FILE_BLOCK = ["_file", "_block"]
 
 
 def _existing(read):
@@ -48,10 +50,21 @@ def _dump(spark, data_dir, name) -> DataFrame:
     return materialize(read[name](spark, f"{data_dir}/{name}.xml"))
 
 
-def curate(spark: SparkSession, data_dir, pairs_path, **limits):
-    """Dump to curated pairs (CSV). `limits` are those of `curate_pairs`."""
-    posts, votes = _dump(spark, data_dir, "Posts"), _dump(spark, data_dir, "Votes")
-    writers.write_pairs(curate_pairs(posts, votes, **limits), pairs_path)
+def _posts(spark, data_dir) -> DataFrame:
+    """The dump's posts. Their ids must be unique: every lookup by id relies on it."""
+    posts = _dump(spark, data_dir, "Posts")
+    copies = [r[0] for r in duplicate_ids(posts.filter("Id IS NOT NULL")).limit(5).collect()]
+    if copies:
+        raise ValueError(f"posts with the same Id, for example {copies}")
+    return posts
+
+
+def curate(spark: SparkSession, data_dir, pairs_path, csv_path=None, **limits):
+    """Dump to curated pairs (Parquet; CSV only as an export). `limits` are those of `curate_pairs`."""
+    posts, votes = _posts(spark, data_dir), _dump(spark, data_dir, "Votes")
+    curate_pairs(posts, votes, **limits).write.mode("overwrite").parquet(pairs_path)
+    if csv_path is not None:
+        writers.write_pairs(readers.read_pairs(spark, pairs_path, "parquet"), csv_path)
 
 
 def ask_enrichment(
@@ -60,8 +73,8 @@ def ask_enrichment(
 ):
     """Curated pairs not processed yet to enrichment requests (Parquet)."""
     requests = enrich_requests(
-        readers.read_pairs(spark, pairs_path),
-        _dump(spark, data_dir, "Posts"),
+        readers.read_pairs(spark, pairs_path, "parquet"),
+        _posts(spark, data_dir),
         _dump(spark, data_dir, "Comments"),
         template,
         _existing(lambda: readers.read_ids(spark, processed_path)),
@@ -75,33 +88,45 @@ def _new_responses(spark, responses_path, done):
     return answered if done is None else resume_pending(answered, done, "question_id")
 
 
-def record_enrichment(spark, requests_path, responses_path, enriched_path, processed_path):
-    """Append enriched pairs (JSON lines), then the ids that are done.
+def record_enrichment(spark, requests_path, responses_path, enriched_path, processed_path) -> DataFrame:
+    """Append enriched pairs (JSON lines), then the ids that are done; return the outcomes.
 
-    Truncated responses are done without a record; failed ones are asked again.
+    Truncated responses are done without a record; failed ones are asked again. Records and ids
+    of a run go under its id, which follows from the responses: a run that ended between the
+    two writes is written again over itself, and counts only once it has its ids.
     """
     done = _existing(lambda: readers.read_ids(spark, processed_path))
-    answered = _new_responses(spark, responses_path, done)
+    answered = materialize(_new_responses(spark, responses_path, done))
     requests = spark.read.parquet(requests_path)
-    writers.append_jsonl(R.merge_enriched(requests, answered), enriched_path)
-    writers.append_ids(R.processed_ids(answered), processed_path)
+    ids = R.processed_ids(answered)
+    if not ids.isEmpty():
+        run = writers.run_id(answered)
+        writers.append_run(R.merge_enriched(requests, answered), ids, enriched_path, processed_path, run)
+    return R.response_status_counts(answered)
+
+
+def _enriched(spark, enriched_path, processed_path) -> DataFrame:
+    """Enriched pairs of the runs that have their ids as well."""
+    return readers.read_runs(spark, enriched_path, processed_path, schemas.ENRICHED_PAIRS)
 
 
 def ask_traces(
-    spark, enriched_path, traced_path, requests_path, max_items=None, template=TRACE_TEMPLATE
+    spark, enriched_path, processed_path, traced_path, requests_path, max_items=None,
+    template=TRACE_TEMPLATE,
 ):
     """Enriched pairs without a stored trace to trace requests (Parquet)."""
-    enriched = readers.read_jsonl(spark, enriched_path, schemas.ENRICHED_PAIRS)
+    enriched = _enriched(spark, enriched_path, processed_path)
     done = _existing(lambda: readers.ids_from_output(spark, traced_path))
     trace_requests(enriched, template, done, max_items).write.parquet(requests_path)
 
 
-def record_traces(spark, enriched_path, responses_path, traced_path):
-    """Append traced pairs (JSON lines), truncated ones flagged."""
+def record_traces(spark, enriched_path, processed_path, responses_path, traced_path) -> DataFrame:
+    """Append traced pairs (JSON lines), truncated ones flagged; return the outcomes."""
     done = _existing(lambda: readers.ids_from_output(spark, traced_path))
-    enriched = readers.read_jsonl(spark, enriched_path, schemas.ENRICHED_PAIRS)
-    answered = _new_responses(spark, responses_path, done)
+    enriched = _enriched(spark, enriched_path, processed_path)
+    answered = materialize(_new_responses(spark, responses_path, done))
     writers.append_jsonl(R.merge_traces(enriched, answered), traced_path)
+    return R.response_status_counts(answered)
 
 
 def audit(spark, traced_path, counter=None):
@@ -148,7 +173,7 @@ def _items(spark, benchmark, items_path, stored_path, max_items, fmt) -> DataFra
             F.col("_metadata.file_block_start").alias("_block"),
             F.monotonically_increasing_id().alias("_row"),
         ))
-        numbered = scoring.eval_items(placed, None, FILE_ORDER).drop(*FILE_ORDER)
+        numbered = file_positions(placed, FILE_BLOCK, "_row")
         ITEMS[benchmark](numbered).write.parquet(stored_path)
         stored = spark.read.parquet(stored_path)
     return scoring.eval_items(stored, max_items)

@@ -57,10 +57,15 @@ def read_comments(spark, path) -> DataFrame:
     return comments.filter(F.col("PostId").isNotNull())
 
 
-def read_pairs(spark, path) -> DataFrame:
-    """Curated pairs from CSV; quotes are doubled and bodies hold newlines."""
-    reader = spark.read.schema(schemas.CURATED_PAIRS).option("header", True)
-    return reader.option("multiLine", True).option("escape", '"').csv(path)
+def read_pairs(spark, path, fmt="csv") -> DataFrame:
+    """Curated pairs from Parquet or CSV; in CSV quotes are doubled and bodies hold newlines.
+
+    A CSV file with such bodies is read by one task, so steps exchange Parquet.
+    """
+    reader = spark.read.schema(schemas.CURATED_PAIRS)
+    if fmt != "csv":
+        return reader.format(fmt).load(path)
+    return reader.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
 
 
 def read_jsonl(spark, path, schema, mode="skip") -> DataFrame:
@@ -89,6 +94,13 @@ def parse_json_lines(lines: DataFrame, schema) -> DataFrame:
     return parsed.filter(usable).select(*[F.col(f"r.{f.name}") for f in schema.fields])
 
 
+def read_runs(spark, records_path, ids_path, schema) -> DataFrame:
+    """Records of the runs (`writers.append_run`) that have both records and ids."""
+    complete = spark.read.text(ids_path).select("run").distinct()
+    lines = spark.read.text(records_path).join(complete, "run", "left_semi")
+    return parse_json_lines(lines.select("value"), schema)
+
+
 def read_ids(spark, path) -> DataFrame:
     """One integer per line; blank lines are ignored."""
     lines = spark.read.text(path).select(F.trim("value").alias("value"))

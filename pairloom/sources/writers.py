@@ -29,6 +29,25 @@ def append_ids(ids: DataFrame, path):
     ids.select(line).filter("value IS NOT NULL").write.mode("append").text(path)
 
 
+def run_id(rows: DataFrame) -> str:
+    """An id that follows from the rows, in any order and partitioning."""
+    row = F.xxhash64(*[F.col(c) for c in rows.columns]).cast("decimal(20,0)")
+    total, n = rows.agg(F.sum(row), F.count(F.lit(1))).first()
+    # A letter in front, or a folder name of digits would be read as a number.
+    return f"r{int(total or 0) % 2**64:016x}-{n}"
+
+
+def append_run(records: DataFrame, ids: DataFrame, records_path, ids_path, run):
+    """Write the records of a run, then its ids, each over what an earlier try left.
+
+    A run counts once it has both (`readers.read_runs`), so the two appends act as one.
+    """
+    folder = f"run={run}"
+    records.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{records_path}/{folder}")
+    line = F.col(ids.columns[0]).cast("string").alias("value")
+    ids.select(line).filter("value IS NOT NULL").write.mode("overwrite").text(f"{ids_path}/{folder}")
+
+
 def write_split(train: DataFrame, held_out: DataFrame, train_path, eval_path):
     for df, path in ((train, train_path), (held_out, eval_path)):
         df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)

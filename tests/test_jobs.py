@@ -1,11 +1,12 @@
 """All steps in a row, from dump files to the judge's rates, run twice."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from pairloom import schemas
 from pairloom.operators.judging import judge_rates
 from pairloom.plans import jobs
-from pairloom.sources import readers
+from pairloom.sources import readers, writers
 
 LONG = "words " * 60
 
@@ -45,8 +46,8 @@ def test_from_dump_to_splits(spark, tmp_path):
     at = lambda name: str(tmp_path / name)
     good = [q for q in range(1, 31) if q % 5]
 
-    jobs.curate(spark, data, at("pairs"))
-    pairs = readers.read_pairs(spark, at("pairs"))
+    jobs.curate(spark, data, at("pairs"), at("csv"))
+    pairs = readers.read_pairs(spark, at("pairs"), "parquet")
     assert ids(pairs, "ParentId") == good and ids(pairs, "Id") == [2000 + q for q in good]
 
     jobs.ask_enrichment(spark, at("pairs"), data, at("done"), at("ask1"))
@@ -54,20 +55,23 @@ def test_from_dump_to_splits(spark, tmp_path):
     assert ids(asked) == good and "[comment_1] (score=1): c1\n" in asked.orderBy("question_id").first()["prompt"]
     respond(spark, at("ask1"), at("said1"), F.concat(F.lit("**e** "), F.col("title")))
     for _ in range(2):
-        jobs.record_enrichment(spark, at("ask1"), at("said1"), at("enriched"), at("done"))
+        outcomes = jobs.record_enrichment(spark, at("ask1"), at("said1"), at("enriched"), at("done"))
+        counts = counts + [dict(outcomes.collect())] if _ else [dict(outcomes.collect())]
+    # The second run meets only what failed.
+    assert counts[0]["failed"] == counts[1]["failed"] > 0 and counts[0]["ok"] > 0 and "ok" not in counts[1]
     enriched = readers.read_jsonl(spark, at("enriched"), schemas.ENRICHED_PAIRS)
     kept = [q for q in good if q % 6 and q % 7]
     assert ids(enriched) == kept
     jobs.ask_enrichment(spark, at("pairs"), data, at("done"), at("ask2"))
     assert ids(spark.read.parquet(at("ask2"))) == [q for q in good if q % 6 == 0]
 
-    jobs.ask_traces(spark, at("enriched"), at("traced"), at("ask3"), max_items=10)
+    jobs.ask_traces(spark, at("enriched"), at("done"), at("traced"), at("ask3"), max_items=10)
     assert ids(spark.read.parquet(at("ask3"))) == kept[:10]
-    jobs.ask_traces(spark, at("enriched"), at("traced"), at("ask4"))
+    jobs.ask_traces(spark, at("enriched"), at("done"), at("traced"), at("ask4"))
     respond(spark, at("ask4"), at("said4"), F.concat(F.lit(" think "), F.col("title")))
     for _ in range(2):
-        jobs.record_traces(spark, at("enriched"), at("said4"), at("traced"))
-    jobs.ask_traces(spark, at("enriched"), at("traced"), at("ask5"))
+        jobs.record_traces(spark, at("enriched"), at("done"), at("said4"), at("traced"))
+    jobs.ask_traces(spark, at("enriched"), at("done"), at("traced"), at("ask5"))
     assert spark.read.parquet(at("ask5")).count() == 0
     stats, cut = jobs.audit(spark, at("traced"))
     assert stats.first()["total_traces"] == len(kept) and cut.count() == 0
@@ -156,3 +160,47 @@ def test_failed_judge_calls_store_nothing_and_are_asked_again(spark, tmp_path):
     stored = readers.read_jsonl(spark, at("verdicts"), schemas.VERDICTS, "fail")
     assert ids(stored, "item_pos") == [0, 1, 4]
     assert (rates["total"], rates["ft_won_count"], rates["base_won_count"]) == (3, 1, 1)
+
+
+def test_a_run_killed_between_its_two_writes_is_neither_doubled_nor_lost(spark, tmp_path, monkeypatch):
+    at = lambda name: str(tmp_path / name)
+    requests = spark.range(1, 30).select(
+        F.col("id").alias("question_id"), F.col("id").alias("answer_id"), F.lit("t").alias("title"),
+        F.lit("b").alias("question_body"), F.lit("a").alias("original_answer"), F.lit("g").alias("tags"),
+    )
+    requests.write.parquet(at("ask"))
+    respond(spark, at("ask"), at("said"), F.lit("said"))
+    record = lambda: jobs.record_enrichment(spark, at("ask"), at("said"), at("enriched"), at("done"))
+
+    class Killed(Exception):
+        pass
+
+    real = writers.append_run
+
+    def killed(records, ids, records_path, ids_path, run):
+        records.write.mode("overwrite").json(f"{records_path}/run={run}")
+        raise Killed
+
+    monkeypatch.setattr(writers, "append_run", killed)
+    with pytest.raises(Killed):
+        record()
+    monkeypatch.setattr(writers, "append_run", real)
+    # More responses arrive, so the next run has another id and the first one stays without ids.
+    more = spark.createDataFrame([(6, "late", "stop", None)], schemas.RESPONSES)
+    more.write.mode("append").json(at("said"))
+    for _ in range(2):
+        record()
+    kept = sorted([q for q in range(1, 30) if q % 6 and q % 7] + [6])
+    read = readers.read_runs(spark, at("enriched"), at("done"), schemas.ENRICHED_PAIRS)
+    assert ids(read) == kept
+    assert ids(readers.read_ids(spark, at("done"))) == sorted([q for q in range(1, 30) if q % 6] + [6])
+    jobs.ask_traces(spark, at("enriched"), at("done"), at("traced"), at("ask2"))
+    assert ids(spark.read.parquet(at("ask2"))) == kept
+
+
+def test_posts_with_the_same_id_are_refused(spark, tmp_path):
+    dump(tmp_path, 6)
+    path = tmp_path / "Posts.xml"
+    path.write_text(path.read_text().replace('Id="2" ', 'Id="1" '))
+    with pytest.raises(ValueError, match="same Id"):
+        jobs.curate(spark, str(tmp_path), str(tmp_path / "pairs"))

@@ -6,14 +6,15 @@ import pytest
 
 import __spark_entry__ as contract
 from contract import fixtures as fx
+from pairloom.plans import curate
 
 DATA = "/root/testdata/sf0.001"
 QUERIES = contract.QUERIES
 # These write files while the query is built.
 WRITERS = {n for n in QUERIES if n.endswith(("_file", "_files")) or n.startswith(("xml_", "csv_", "jsonl_"))}
 WRITERS |= {"output_ids", "streamed_trace_requests"}
-# One row of totals, or the window of a table known to be small.
-ONE_TASK = {"judge_rates", "token_audit", "train_profile", "item_position"}
+# One row of totals.
+ONE_TASK = {"judge_rates", "token_audit", "train_profile"}
 
 
 @pytest.fixture(autouse=True)
@@ -36,13 +37,45 @@ def test_no_pairwise_joins_and_no_single_task(spark, name):
     assert python == (1 if name in ("clean_html", "enrich_requests", "enrich_request_parts") else 0)
 
 
-def test_curation_moves_votes_and_ids_only_until_the_end(spark):
+def test_curation_moves_ids_only_until_the_end(spark):
     text = plan(QUERIES["curate_pairs"](spark, DATA))
-    votes = [s for s in re.findall(r"ReadSchema: (\S+)", text) if "l_partkey" in s]
-    assert votes and set(votes) == {"struct<l_partkey:bigint,l_quantity:double,l_returnflag:string>"}
     assert "Window" not in text
-    # Votes combine before each of their shuffles.
-    assert text.count("partial_count") >= 2
+    # Votes were read, counted and joined once, for the stored narrow posts.
+    assert "l_partkey" not in text and "partial_count" not in text
+    stored = [s for s in re.findall(r"ReadSchema: (\S+)", text) if "Upvotes" in s]
+    assert len(stored) == 2 and not any("Body" in s for s in stored)
+
+
+def test_votes_of_both_kinds_are_counted_once(spark):
+    scans = []
+    real = curate.materialize
+    curate.materialize = lambda df: scans.append(plan(df)) or real(df)
+    try:
+        QUERIES["curate_pairs"](spark, DATA)
+    finally:
+        curate.materialize = real
+    assert len(scans) == 1 and scans[0].count("l_partkey:bigint") == 1
+    assert scans[0].count("partial_count") == 1 or "partial_count" in scans[0]
+
+
+def test_a_split_and_a_cap_are_filters(spark):
+    for name in ("split_train", "split_eval", "pending_capped"):
+        text = plan(QUERIES[name](spark, DATA))
+        assert not re.search("TakeOrdered|Sort .*text|rangepartitioning|GlobalLimit", text), name
+        # The inputs' own spreading of a small file is the only exchange.
+        if name != "pending_capped":
+            assert text.count("Exchange") == text.count("REPARTITION_BY_NUM"), name
+
+
+def test_texts_meet_their_blocks_in_the_last_join(spark):
+    text = plan(QUERIES["training_sequences"](spark, DATA))
+    narrow = [s for s in re.findall(r"ReadSchema: (\S+)", text) if "full_tokens" in s]
+    wide = [s for s in re.findall(r"ReadSchema: (\S+)", text) if "text:string" in s]
+    assert len(narrow) == 1 and "text:string" not in narrow[0] and wide == ["struct<_row:bigint,text:string>"]
+
+
+def test_both_models_are_scored_once(spark):
+    assert "raw_output" not in plan(QUERIES["compare_models"](spark, DATA))
 
 
 def test_columns_are_pruned_in_the_scan(spark):
