@@ -4,13 +4,6 @@ Each stage is written as Parquet and read again as the next one's documents. Row
 that a stage drops are gone for the later ones; a row that the mix takes twice is two rows.
 """
 
-import contextlib
-import ctypes
-import gc
-import time
-
-import pyarrow as pa
-
 from pairloom.llm import bpe, grace_dedup, language_mix, ngram_join, pareto_mix
 from pairloom.llm.queries import table, vocabulary
 from pairloom.session import materialize
@@ -23,42 +16,20 @@ def known_language(spark, docs, sf_dir):
     return found.filter(known).select(*docs.columns)
 
 
-def _give_back(spark):
-    """Python workers that live on from the stage before return memory they no longer use.
-
-    Freed blocks stay with a worker's allocators otherwise, and add to what this stage needs.
-    """
-    def trim(batches):
-        gc.collect()
-        pa.default_memory_pool().release_unused()
-        # Only some C libraries have it.
-        with contextlib.suppress(OSError, AttributeError):
-            ctypes.CDLL(None).malloc_trim(0)
-        time.sleep(0.05)  # so that the tasks meet all workers
-        yield from batches
-
-    tasks = 4 * spark.sparkContext.defaultParallelism
-    spark.range(0, tasks, 1, tasks).mapInArrow(trim, "id long").write.format("noop").mode("append").save()
-
-
 def without_copies(spark, docs, sf_dir):
-    _give_back(spark)
     return grace_dedup.keep_one(docs)
 
 
 def without_near_copies(spark, docs, sf_dir):
-    _give_back(spark)
     return ngram_join.keep_one_of_each(docs)
 
 
 def mixed_sources(spark, docs, sf_dir):
-    _give_back(spark)
     return pareto_mix.repeated(pareto_mix.mix(docs), docs.columns)
 
 
 def encoded_documents(spark, docs, sf_dir):
     """The mixed documents with their token ids and the text these decode to."""
-    _give_back(spark)
     return bpe.round_trip(docs, vocabulary("word_bpe_49k.json"))
 
 
