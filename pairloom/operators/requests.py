@@ -13,6 +13,7 @@ from pairloom.operators.ordered import (
     ordered_parts,
     ordered_text,
 )
+from pairloom.operators.parts import PART_BYTES, byte_parts
 from pairloom.operators.selection import smallest
 from pairloom.operators.votes import answers, questions
 
@@ -121,6 +122,17 @@ def comment_parts(
     )
 
 
+def comment_byte_parts(
+    comments: DataFrame, targets: DataFrame = None, part_bytes=PART_BYTES, hot_rows=HOT_ROWS,
+    slices=None,
+) -> DataFrame:
+    """The texts of `comment_block` in parts of bounded bytes, for posts and comments of any size."""
+    return byte_parts(
+        _comment_rows(comments), ["PostId"], ["_undated", "CreationDate"], _comment_line,
+        "comment_block", keep=targets, part_bytes=part_bytes, hot_rows=hot_rows, slices=slices,
+    )
+
+
 def fill_template(template: str, **slots):
     """Text of a template whose `{slot}` marks are replaced by columns.
 

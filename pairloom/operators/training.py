@@ -13,6 +13,7 @@ from pairloom.operators.ordered import (
     ordered_text,
     running_total,
 )
+from pairloom.operators.parts import PART_BYTES, byte_parts
 
 SYSTEM_PROMPT = "Answer the question."
 MAX_TOKENS = 7168
@@ -109,6 +110,18 @@ def turn_parts(
     )
 
 
+def turn_byte_parts(
+    turns: DataFrame, by="conv_id", order_by="turn", turn=chat.turn_text, part_bytes=PART_BYTES,
+    hot_rows=HOT_ROWS, slices=None,
+) -> DataFrame:
+    """The texts of `serialize_turns` in parts of bounded bytes, for turns of any size."""
+    rows = turns.select(by, order_by, "role", "text")
+    return byte_parts(
+        rows, [by], [order_by], lambda get, number: turn(get("role"), get("text")), "chat",
+        part_bytes=part_bytes, hot_rows=hot_rows, slices=slices,
+    )
+
+
 def supervised_turns(turns: DataFrame, by="conv_id", counter=None) -> DataFrame:
     """Tokens per conversation that count for the loss, and tokens that do not."""
     counted = turns.select(
