@@ -42,7 +42,12 @@ def vote_counts(votes: DataFrame) -> DataFrame:
 
 def post_vote_counts(posts: DataFrame, votes: DataFrame) -> DataFrame:
     """Posts with their vote counts; a post without votes counts 0."""
-    counts = vote_counts(votes).withColumnRenamed("PostId", "_post")
+    return with_vote_counts(posts, vote_counts(votes))
+
+
+def with_vote_counts(posts: DataFrame, counts: DataFrame) -> DataFrame:
+    """`post_vote_counts` from votes that are counted already."""
+    counts = counts.withColumnRenamed("PostId", "_post")
     joined = posts.join(counts, posts["Id"] == counts["_post"], "left").drop("_post")
     return joined.fillna(0, ["Upvotes", "Downvotes"])
 

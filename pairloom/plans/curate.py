@@ -7,30 +7,16 @@ from pairloom.functions.quality import has_image
 from pairloom.functions.text import html_text_length
 from pairloom.operators.votes import (
     answers,
-    post_vote_counts,
     questions,
     top_answer_ids,
     up_down_votes,
+    vote_counts,
     vote_quality,
+    with_vote_counts,
 )
 from pairloom.session import materialize
 
 
-def scored_posts(usable_questions: DataFrame, all_answers: DataFrame, votes: DataFrame) -> DataFrame:
-    """Stored narrow posts with their votes: questions (Id, QuestionLength), answers with `is_answer`.
-
-    Votes are read, counted and joined once for both kinds; each kind is then a filter of
-    the stored table.
-    """
-    asked = usable_questions.select("Id", "QuestionLength", F.lit(False).alias("is_answer"))
-    given = all_answers.select(
-        "Id", "ParentId", "Score", F.col("Body").isNotNull().alias("has_body"),
-        F.lit(True).alias("is_answer"),
-    )
-    posts = asked.unionByName(given, allowMissingColumns=True)
-    return materialize(post_vote_counts(posts, up_down_votes(votes)))
-
-
 def curate_pairs(
     posts: DataFrame, votes: DataFrame, min_upvotes=5, max_downvote_ratio=0.3,
     min_text=300, fill_nulls=True,
@@ -41,10 +27,11 @@ def curate_pairs(
     question is dropped and the runner-up is not tried.
 
     Votes, joins and the choice of the answer run on narrow rows: a question is
-    reduced to its visible length in the scan, an answer to its votes. Votes are read once. Only the
-    bodies of answers are shuffled, once, to meet the survivors, behind cheap
-    conditions that every final row meets (no image; raw length not below the
-    wanted visible length). With posts bucketed on Id even that join moves no text.
+    reduced to its visible length in the scan, an answer to its votes. Votes are read and counted
+    once, and the counts are stored for both kinds of posts. Only the bodies of answers
+    are shuffled, once, to meet the survivors, behind cheap conditions that every final
+    row meets (no image; raw length not below the wanted visible length). With posts
+    bucketed on Id even that join moves no text.
     """
     qs, ans = questions(posts), answers(posts)
     quality = {"min_upvotes": min_upvotes, "max_downvote_ratio": max_downvote_ratio}
@@ -55,12 +42,13 @@ def curate_pairs(
         return rows.filter(F.length(body) >= min_text) if min_text > 0 else rows
 
     lengths = usable(qs).select("Id", html_text_length(body).alias("QuestionLength"))
-    scored = scored_posts(lengths.filter(F.col("QuestionLength") >= min_text), ans, votes)
+    lengths = lengths.filter(F.col("QuestionLength") >= min_text)
+    counts = materialize(vote_counts(up_down_votes(votes)))
 
-    good = vote_quality(scored.filter(~F.col("is_answer")), **quality)
+    good = vote_quality(with_vote_counts(lengths, counts), **quality)
     good = good.select(F.col("Id").alias("_question"), "QuestionLength")
-    given = scored.filter("is_answer").drop("QuestionLength")
-    top = vote_quality(top_answer_ids(given, fill_nulls), **quality)
+    narrow = ans.select("Id", "ParentId", "Score", body.isNotNull().alias("has_body"))
+    top = vote_quality(top_answer_ids(with_vote_counts(narrow, counts), fill_nulls), **quality)
     # One row per question on both sides, so this join cannot skew.
     top = top.join(good, top["ParentId"] == good["_question"])
 
