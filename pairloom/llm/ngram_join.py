@@ -12,11 +12,14 @@ join each class but are not all its pairs, and no number of links per document e
 2. A tile is sorted by set size and cut into size bands; in each band every node is a
    candidate with the band's first. Of a node's candidates the one that it shares most
    tiles with is verified, which already joins most large groups of near copies.
-3. Neighbours in a tile that are not yet in one component follow, in rounds, while these
-   still join many: of each node the one that it so meets in most tiles.
-4. Then all pairs of a tile that are not yet in one component. Their bitmaps bound the
-   overlap from above: a bit that only one side has is a shingle only that side has.
-   Pairs that pass are verified by intersecting the sorted hashes.
+3. Neighbours in a tile that are not yet in one component follow, in rounds that each look
+   a window further, as long as they join many. So a large group of near copies becomes one
+   component by links that grow with its rows, and few of its pairs are left.
+4. Then all pairs of a tile that are not yet in one component. No pair is verified twice.
+
+Before the exact test the bitmaps of a pair bound the overlap from above: a bit that only one
+side has is a shingle only that side has. Pairs that pass are verified by intersecting the
+sorted hashes.
 
 How common a shingle is comes from a sketch of fixed size that counts those of all
 sets; any order is right, this one keeps tiles small. Tiles too large for one task
@@ -24,7 +27,8 @@ are split into blocks that meet pairwise, so no pair is lost.
 
 Defined results: A-Z count as a-z; a text of fewer words than a shingle is one
 shingle; null, empty and blank texts have n_shingles 0, no links and their own id as
-component; null ids never become a component's id. Shingles are compared by
+component; null ids never become a component's id. A row's linked_id is another row of the
+same set, else one of a set it was verified to link with, else null. Shingles are compared by
 48-bit hashes (64-bit for the counts), sets by a 64-bit hash and their size.
 """
 
@@ -42,10 +46,13 @@ from pairloom.session import materialize, scratch_path
 
 SKETCH_BITS = 22
 TILE_ROWS = 2048
-# Rounds over neighbours in tiles before all pairs that are left; they change no result.
-ROUNDS = 2
+# Neighbours that a row of a tile meets in a round, and the links (and their share of the
+# pairs tried) below which rounds end. They change the work and no result.
 NEAR = 4
 LEAST_JOINED = 20
+LEAST_SHARE = 0.02
+# A pair meets in many tiles; a task drops its copies among this many pairs.
+PAIRS_HELD = 500_000
 _CHUNK = 1 << 16
 _FACTORS = words.numbers(64, 2)  # shingles have at most 64 words
 _LENGTHS = words.numbers(64, 3)
@@ -64,8 +71,8 @@ def shingle_sets(data, bounds, size):
         if count >= size:
             yield np.unique(rolled[first : first + count - size + 1])
         elif count:
-            short = (hashes[first : first + count] * _FACTORS[:count]).sum(dtype=np.uint64)
-            yield words.mix(np.array([short + _LENGTHS[count]]))
+            short = (hashes[first : first + count] * _FACTORS[:count]).sum(dtype=np.uint64, keepdims=True)
+            yield words.mix(short + _LENGTHS[count])
         else:
             yield np.zeros(0, np.uint64)
 
@@ -247,33 +254,36 @@ def _first_pairs(batches, percent):
         yield from emit([np.array(pairs)] if pairs else [], [np.array(crowded)] if crowded else [])
 
 
-def _tile_pairs(batches, percent, near=None):
+def _tile_pairs(batches, percent, window=None):
     """Pairs (a, b) of different components in a tile whose places and bitmaps allow the overlap.
 
-    With `near`, a row meets only the next so many of other components, without bitmaps.
+    With a `window`, a row meets only so many of other components, without bitmaps: NEAR from
+    the window's place on, counted round and round.
 
     Rows come sorted by (token, block_a, block_b, n, node). In the tile of a block with itself all
     pairs count, in that of two blocks those across.
     """
     def pairs(rows):
-        found = []
         node, n, place, comp, side = (np.array(c, np.int64) for c in zip(*(r[:5] for r in rows)))
         if (comp == comp[0]).all():
-            return found
+            return
         left = n - place
-        maps = [] if near else [np.frombuffer(r[5], np.uint8) for r in rows]
+        maps = [] if window is not None else [np.frombuffer(r[5], np.uint8) for r in rows]
         widths = np.array([len(m) for m in maps])
         ready = {}
+        stops = np.searchsorted(n, 100 * n // percent, "right")
         for i in range(len(rows) - 1):
-            stop = int(np.searchsorted(n, 100 * n[i] // percent, "right"))
-            others = np.arange(i + 1, stop)
+            others = np.arange(i + 1, stops[i])
             others = others[comp[others] != comp[i]]
             allowed = np.minimum(left[i], left[others]) >= needed(n[i], n[others], percent)
             others = others[allowed]
             if side[i] >= 0:
                 others = others[side[others] != side[i]]
-            if near:
-                found.extend((min(node[i], x), max(node[i], x)) for x in node[others[:near]])
+            if not len(others):
+                continue
+            if window is not None:
+                met = node[others[(window + np.arange(min(NEAR, len(others)))) % len(others)]]
+                yield np.stack([np.minimum(node[i], met), np.maximum(node[i], met)], axis=1)
                 continue
             for width in np.unique(widths[others]):
                 some = others[widths[others] == width]
@@ -284,32 +294,36 @@ def _tile_pairs(batches, percent, near=None):
                     ready[width] = places, np.stack([maps[j] for j in where])
                 places, stacked = ready[width]
                 bound = overlap_bound(n[i], maps[i], n[some], stacked[places[some]])
-                for j in some[bound >= needed(n[i], n[some], percent)]:
-                    found.append((min(node[i], node[j]), max(node[i], node[j])))
-        return found
+                met = node[some[bound >= needed(n[i], n[some], percent)]]
+                yield np.stack([np.minimum(node[i], met), np.maximum(node[i], met)], axis=1)
 
     def batch_of(found):
-        # Rounds count how many tiles a pair meets in, so there copies stay.
-        pairs_ = np.array(found, np.int64)
-        columns = (pairs_ if near else np.unique(pairs_, axis=0)).T
+        columns = np.unique(np.concatenate(found), axis=0).T
         return pa.RecordBatch.from_arrays(
             [pa.array(np.ascontiguousarray(c)) for c in columns], names=["a", "b"])
 
-    key, rows, found = None, [], []
+    key, rows, found, held = None, [], [], 0
+
+    def close():
+        nonlocal held
+        if len(rows) > 1:
+            for some in pairs(rows):
+                found.append(some)
+                held += len(some)
+                if held > PAIRS_HELD:
+                    yield batch_of(found)
+                    found.clear()
+                    held = 0
+
     for batch in batches:
         columns = [batch.column(i).to_pylist() for i in range(batch.num_columns)]
         for token, block_a, block_b, block, *row in zip(*columns):
             if (token, block_a, block_b) != key:
-                if len(rows) > 1:
-                    found.extend(pairs(rows))
+                yield from close()
                 key, rows = (token, block_a, block_b), []
             # Within one block all pairs count; between two, only those across.
             rows.append((*row[:4], -1 if block_a == block_b else block, *row[4:]))
-        if len(found) > 10_000:
-            yield batch_of(found)
-            found = []
-    if len(rows) > 1:
-        found.extend(pairs(rows))
+    yield from close()
     if found:
         yield batch_of(found)
 
@@ -348,12 +362,12 @@ def shingle_nodes(docs: DataFrame, id_col, text_col, size, key=None):
     spark = docs.sparkSession
     key = F.lit(0).cast("bigint") if key is None else key
     columns = docs.select(F.col(id_col).alias("id"), key.alias("key"), F.col(text_col).alias("text"))
-    id_type = columns.schema["id"].dataType.simpleString()
+    id_type, key_type = (columns.schema[c].dataType.simpleString() for c in ("id", "key"))
 
     def rows(batches):
         return _set_rows(batches, size)
 
-    sets = columns.mapInArrow(rows, f"id {id_type}, key long, node long, n long, hashes binary, bits binary")
+    sets = columns.mapInArrow(rows, f"id {id_type}, key {key_type}, node long, n long, hashes binary, bits binary")
     members = materialize(sets.select("id", "key", "node", "n"))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     kept = sets.filter("n > 0").select("node", "n", "hashes", "bits")
@@ -391,37 +405,42 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def links(nodes: DataFrame, percent=80, tile_rows=TILE_ROWS):
-    """Verified links (a, b) that connect every class of linked nodes, and its roots."""
+    """Verified links (a, b) that connect every class of linked nodes, and (node, root) of these."""
     tiles = candidate_tiles(nodes, percent)
     pairs = materialize(tiles.filter("a is not null").select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "times"
     ).groupBy("a", "b").agg(F.sum("times").alias("times")))
     # The candidate that each node shares most tiles with.
     best = pairs.groupBy(F.col("b").alias("node")).agg(F.max_by("a", F.struct("times", "a")).alias("other"))
-    first = best.select(F.col("other").alias("a"), F.col("node").alias("b"))
-    edges = _linked(first, nodes, percent)
+    tried = best.select(F.col("other").alias("a"), F.col("node").alias("b"))
+    edges = _linked(tried, nodes, percent)
     roots = materialize(components(edges))
 
+    def joined_by(more):
+        # The roots stand for the links before.
+        stars = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        return materialize(components(stars.unionByName(more)))
+
     crowded = tiles.filter("token is not null").select("token", "node", "n", "place")
-    for _ in range(ROUNDS):
-        near = _mixed_pairs(crowded, roots, nodes, percent, tile_rows, NEAR)
-        near = near.groupBy("a", "b").agg(F.count(F.lit(1)).alias("times"))
-        ends = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "times"))
-        best = ends.groupBy("a").agg(F.max_by("b", F.struct("times", "b")).alias("b"))
-        tried = materialize(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-        more = _linked(tried, nodes, percent)
+    window = 0
+    while True:
+        near = _mixed_pairs(crowded, roots, nodes, percent, tile_rows, window)
+        fresh = materialize(near.distinct().join(tried, ["a", "b"], "left_anti"))
+        more = _linked(fresh, nodes, percent)
         joined = more.count()
-        edges = edges.unionByName(more)
         if joined:
-            roots = materialize(components(edges))
-        if 10 * joined < tried.count() or joined < LEAST_JOINED:
+            roots = joined_by(more)
+        edges, tried = edges.unionByName(more), tried.unionByName(fresh)
+        if joined < max(LEAST_JOINED, LEAST_SHARE * fresh.count()):
             break
+        window += NEAR
     inside = _mixed_pairs(crowded, roots, nodes, percent, tile_rows)
-    rest = _apart(pairs, roots).unionByName(inside).distinct()
-    return edges.unionByName(_linked(rest, nodes, percent))
+    rest = _apart(pairs, roots).unionByName(inside).distinct().join(tried, ["a", "b"], "left_anti")
+    more = _linked(rest, nodes, percent)
+    return edges.unionByName(more), joined_by(more)
 
 
-def _mixed_pairs(crowded, roots, nodes, percent, tile_rows, near=None) -> DataFrame:
+def _mixed_pairs(crowded, roots, nodes, percent, tile_rows, window=None) -> DataFrame:
     """Pairs of tiles that still hold several components, see `_tile_pairs`."""
     placed = crowded.join(roots, "node", "left_outer").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("token").agg(
@@ -430,17 +449,17 @@ def _mixed_pairs(crowded, roots, nodes, percent, tile_rows, near=None) -> DataFr
     held = meet_groups(placed, mixed, "token", "rows")
     blocks = F.ceil(F.col("rows") / tile_rows).cast("int")
     block = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    if not near:
+    if window is None:
         held = held.join(nodes.select("node", "bits"), "node")
     held = held.withColumn("block", block)
     meets = F.transform(F.sequence(F.lit(0), blocks - 1), lambda other: F.struct(
         F.least("block", other).alias("block_a"), F.greatest("block", other).alias("block_b")))
     spread = held.withColumn("meet", F.explode(meets)).select(
         "token", "meet.block_a", "meet.block_b", "block", "node", "n", "place", "root",
-        *([] if near else ["bits"]))
+        *(["bits"] if window is None else []))
 
     def within(batches):
-        return _tile_pairs(batches, percent, near)
+        return _tile_pairs(batches, percent, window)
 
     order = ["token", "block_a", "block_b", "n", "node"]
     return spread.repartition(*order[:3]).sortWithinPartitions(*order).mapInArrow(
@@ -449,36 +468,57 @@ def _mixed_pairs(crowded, roots, nodes, percent, tile_rows, near=None) -> DataFr
 
 def jaccard_classes(docs: DataFrame, id_col="doc_id", text_col="text", size=5, percent=80,
                     tile_rows=TILE_ROWS, hot_rows=HOT_ROWS, key=None) -> DataFrame:
-    """Every row's id, n_shingles and component_id.
+    """Every row's id, n_shingles, component_id and linked_id.
 
-    With a `key`, a column of longs that tells rows apart, also the row's key and
+    With a `key`, an orderable column that tells rows apart, also the row's key and
     whether it stays when each class keeps one row: that of the least id (null last), then key.
     """
     members, nodes = shingle_nodes(docs, id_col, text_col, size, key)
-    roots = components(links(nodes, percent, tile_rows))
+    edges, roots = links(nodes, percent, tile_rows)
     smallest = members.filter("n > 0").groupBy("node", "n").agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("least"),
+        F.max("id").alias("greatest"),
         F.count(F.lit(1)).alias("rows"))
     rooted = materialize(smallest.join(roots, "node", "left_outer").withColumn(
         "root", F.coalesce("root", "node")))
     heads = materialize(rooted.groupBy("root").agg(
         F.min("least").alias("head"), F.count(F.lit(1)).alias("nodes")))
-    labels = meet_groups(rooted.select("node", "root", "rows"), heads, "root", "nodes")
-    labels = materialize(labels.select(
-        "node", "rows", F.col("head.id").alias("component_id"), F.col("head.key").alias("head_key")))
+    # One verified neighbour of each node, by the least id of its set.
+    ends = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    beside = ends.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).join(
+        rooted.select(F.col("node").alias("b"), F.col("least.id").alias("beside")), "b").drop("b")
+    labels = meet_groups(rooted.select("node", "root", "rows", "least", "greatest"), heads, "root", "nodes")
+    labels = materialize(labels.join(beside, "node", "left_outer").select(
+        "node", "rows", F.col("head.id").alias("component_id"), F.col("head.key").alias("head_key"),
+        F.col("least.id").alias("least_id"), "greatest", "beside"))
     whole = meet_groups(members.filter("n > 0"), labels, "node", "rows", hot_rows)
     stays = F.col("id").eqNullSafe(F.col("component_id")) & (F.col("key") == F.col("head_key"))
-    whole = whole.withColumn("stays", stays)
-    alone = members.filter("n = 0").withColumns({"component_id": F.col("id"), "stays": F.lit(True)})
-    columns = [F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id"]
+    copy = F.when(~F.col("least_id").eqNullSafe(F.col("id")), F.col("least_id"))
+    other = F.when(F.col("greatest") != F.col("id"), F.col("greatest"))
+    whole = whole.withColumns({"stays": stays, "linked_id": F.coalesce(copy, "beside", other)})
+    alone = members.filter("n = 0").withColumns({
+        "component_id": F.col("id"), "stays": F.lit(True), "linked_id": F.lit(None).cast(members.schema["id"].dataType)})
+    columns = [F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "linked_id"]
     if key is not None:
         columns += ["key", "stays"]
     return whole.select(columns).unionByName(alone.select(columns))
 
 
 def keep_one_of_each(docs: DataFrame, id_col="doc_id", text_col="text", **options) -> DataFrame:
-    """The rows of `docs` without all but one of each class; rows without words stay."""
-    key = F.xxhash64(id_col, text_col)
-    classes = jaccard_classes(docs, id_col, text_col, key=key, **options)
-    dropped = classes.filter(~F.col("stays")).select(F.col("key").alias("_dropped"))
-    return docs.join(dropped, key == F.col("_dropped"), "left_anti")
+    """The rows of `docs` without all but one of each class; rows without words stay.
+
+    Rows are told apart by 128 bits of their id and text. Of rows equal in both, one stays, with
+    all its columns.
+    """
+    key = F.struct(F.xxhash64(id_col, text_col).alias("x"), F.xxhash64(F.lit(1), id_col, text_col).alias("y"))
+    classes = materialize(jaccard_classes(docs, id_col, text_col, key=key, **options))
+    dropped = classes.filter(~F.col("stays")).select(F.col("key").alias("_pairloom_key"))
+    equal = classes.filter(F.col("stays") & (F.col("n_shingles") > 0)).groupBy(
+        F.col("key").alias("_pairloom_key")).agg(F.count(F.lit(1)).alias("rows"))
+    equal = materialize(equal.filter("rows > 1").select("_pairloom_key"))
+    same = key == F.col("_pairloom_key")
+    kept = docs.join(dropped, same, "left_anti")
+    # Combined before the shuffle, so a row that is repeated without end moves once per task.
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    once = kept.join(equal, same, "left_semi").groupBy(key.alias("_pairloom_key")).agg(F.first(row).alias("row"))
+    return kept.join(equal, same, "left_anti").unionByName(once.select("row.*"))

@@ -12,6 +12,7 @@ from pairloom.llm.shared import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DATA = "/root/testdata/sf0.001"
+CONTRACT = ["doc_id", "n_shingles", "component_id"]
 
 
 def lower(text):
@@ -52,7 +53,7 @@ def brute_force(rows, size=5, percent=80):
 def found_rows(spark, rows, **options):
     docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, n_shingles string")
     out = ngram_join.jaccard_classes(docs.repartition(3), **options)
-    return sorted(map(tuple, out.collect()), key=str)
+    return sorted(map(tuple, out.select(*CONTRACT).collect()), key=str)
 
 
 def near_copies(seed):
@@ -98,7 +99,8 @@ def test_registered_query_equals_brute_force(spark):
     from pairloom.llm.queries import ngram_join_classes
 
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
-    assert sorted(map(tuple, ngram_join_classes(spark, DATA).collect()), key=str) == brute_force(rows)
+    found = ngram_join_classes(spark, DATA).select(*CONTRACT)
+    assert sorted(map(tuple, found.collect()), key=str) == brute_force(rows)
 
 
 def test_bounds_never_fall_below_the_overlap():
@@ -148,3 +150,52 @@ def test_hot_group_of_near_copies(spark):
         F.concat(F.lit(" ".join(f"v{i}" for i in range(120)) + " tail "), F.col("id").cast("string")).alias("text"))
     out = ngram_join.jaccard_classes(docs, tile_rows=64)
     assert out.groupBy("component_id").count().collect() == [(0, 600)]
+
+
+def linked(x, y, percent=80):
+    a, b = shingles(x), shingles(y)
+    return bool(a and b) and 100 * len(a & b) >= percent * len(a | b)
+
+
+def test_each_row_names_another_that_it_links_with(spark):
+    texts = {i: text for i, text in enumerate({t: 0 for _, t in near_copies(6)})}
+    texts |= {1000 + i: texts[i] for i in range(0, len(texts), 9)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for row in ngram_join.jaccard_classes(docs.repartition(3)).collect():
+        others = {i for i in texts if i != row.doc_id and linked(texts[row.doc_id], texts[i])}
+        assert row.linked_id in others if others else row.linked_id is None
+
+
+def test_one_row_of_each_class_stays(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    near, other = base + " end", " ".join(f"v{i}" for i in range(30))
+    rows = [(1, base, "p", 0), (1, base, "p", 0), (1, base, "q", 0), (2, near, "r", 0), (None, other, "s", 0), (None, other, "s", 0),
+            (7, None, "t", 0), (7, None, "t", 0), (8, "", "u", 0), (9, "a b", "v", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key string, rows long")
+    kept = ngram_join.keep_one_of_each(docs.repartition(3))
+    assert kept.columns == docs.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    assert found == sorted([(1, base), (None, other), (7, None), (7, None), (8, ""), (9, "a b")], key=str)
+    assert ngram_join.keep_one_of_each(docs.limit(0)).count() == 0
+
+
+def test_group_of_drifting_copies_needs_few_pairs_after_the_rounds(spark, monkeypatch):
+    rnd = random.Random(3)
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    for i in range(400):
+        words_ = list(base)
+        for at in rnd.sample(range(200), 2):
+            words_[at] = f"x{rnd.randrange(10**6)}"
+        texts.append((i, " ".join(words_)))
+    sizes = []
+    original = ngram_join._linked
+
+    def counted(pairs, nodes, percent):
+        sizes.append(pairs.count())
+        return original(pairs, nodes, percent)
+
+    monkeypatch.setattr(ngram_join, "_linked", counted)
+    assert found_rows(spark, texts) == brute_force(texts)
+    # 79,800 pairs in all.
+    assert sizes[-1] < 2000, sizes
