@@ -96,17 +96,26 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
 
 
 def judge_urls(pages: DataFrame, rules, url_col="url", threshold=0.5, z=1.0, hot_rows=HOT_ROWS) -> DataFrame:
-    """`pages` with host, path, rule, verdict (allow or block) and bound."""
-    kept = pages.drop("host", "path", "rule", "verdict", "bound", "rows", "a", "b", "good")
+    """`pages` with host, path, rule, verdict (allow or block) and bound.
+
+    Columns of these names are replaced; all others stay, whatever they are called.
+    """
+    kept = pages.drop("host", "path", "rule", "verdict", "bound")
+    # What is known of the host goes beside the page's columns under names that none of them has.
+    mark = "_of_host"
+    while any(c.lower().endswith(mark) for c in kept.columns):
+        mark += "_"
+    rows, a, b = (name + mark for name in ("rows", "a", "b"))
     host, path = host_and_path(F.col(url_col))
     split = kept.withColumns({"host": host, "path": path})
     rule, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
     ruled = split.withColumns({"rule": rule, "verdict": verdict})
     good = F.when(F.col("verdict") == "allow", 1).when(F.col("verdict") == "block", 0)
-    reputation = host_reputation(ruled.select("host", good.alias("good")))
-    judged = meet_groups(ruled, reputation, "host", "rows", hot_rows)
-    mean = F.col("a") / (F.col("a") + F.col("b"))
-    bound = mean - z * F.sqrt(mean * (1 - mean) / (F.col("a") + F.col("b") + 1))
+    reputation = host_reputation(ruled.select("host", good.alias("good"))).withColumnsRenamed(
+        {"rows": rows, "a": a, "b": b})
+    judged = meet_groups(ruled, reputation, "host", rows, hot_rows)
+    mean = F.col(a) / (F.col(a) + F.col(b))
+    bound = mean - z * F.sqrt(mean * (1 - mean) / (F.col(a) + F.col(b) + 1))
     method = F.when(bound >= threshold, "allow").otherwise("block")
     return judged.select(*kept.columns, "host", "path", "rule",
                          F.coalesce("verdict", method).alias("verdict"), bound.alias("bound"))

@@ -87,3 +87,20 @@ def test_no_python_in_the_plan_and_empty_table(spark):
     plan = host_filter.judge_urls(pages, URL_RULES)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert host_filter.judge_urls(pages.filter("page_id < 0"), URL_RULES).count() == 0
+
+
+def test_clashing_columns_repeated_rows_and_long_urls(spark):
+    long_url = "http://example.org/es/" + "x" * 200_000
+    rows = [(1, "http://a.org/x", 5, "k", 0.5, 1, "r", "h")] * 2 + [(2, long_url, 6, "l", 1.5, 0, "s", "i"),
+            (3, None, 7, None, None, None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, rows long, a string, b double, good long, "
+                                        "rows_of_host string, host string")
+    for hot_rows in (1, 10_000):
+        judged = host_filter.judge_urls(pages, URL_RULES, hot_rows=hot_rows)
+        assert judged.columns == [*pages.columns[:-1], "host", "path", "rule", "verdict", "bound"]
+        found = sorted(judged.collect(), key=lambda r: r.page_id)
+        assert [tuple(r)[:7] for r in found] == [r[:7] for r in rows]
+        assert [(r.host, r.rule, r.verdict) for r in found[:3]] == [
+            ("a.org", "org/", "allow"), ("a.org", "org/", "allow"), ("example.org", "example.org/es/", "block")]
+        assert found[2].path == long_url[len("http://example.org"):]
+        assert (found[3].host, found[3].path, found[3].rule) == ("", "", None)
