@@ -511,14 +511,17 @@ def keep_one_of_each(docs: DataFrame, id_col="doc_id", text_col="text", **option
     all its columns.
     """
     key = F.struct(F.xxhash64(id_col, text_col).alias("x"), F.xxhash64(F.lit(1), id_col, text_col).alias("y"))
+    name = "_key"
+    while name in map(str.lower, docs.columns):
+        name += "_"
     classes = materialize(jaccard_classes(docs, id_col, text_col, key=key, **options))
-    dropped = classes.filter(~F.col("stays")).select(F.col("key").alias("_pairloom_key"))
+    dropped = classes.filter(~F.col("stays")).select(F.col("key").alias(name))
     equal = classes.filter(F.col("stays") & (F.col("n_shingles") > 0)).groupBy(
-        F.col("key").alias("_pairloom_key")).agg(F.count(F.lit(1)).alias("rows"))
-    equal = materialize(equal.filter("rows > 1").select("_pairloom_key"))
-    same = key == F.col("_pairloom_key")
+        F.col("key").alias(name)).agg(F.count(F.lit(1)).alias("rows"))
+    equal = materialize(equal.filter("rows > 1").select(name))
+    same = key == F.col(name)
     kept = docs.join(dropped, same, "left_anti")
     # Combined before the shuffle, so a row that is repeated without end moves once per task.
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
-    once = kept.join(equal, same, "left_semi").groupBy(key.alias("_pairloom_key")).agg(F.first(row).alias("row"))
+    once = kept.join(equal, same, "left_semi").groupBy(key.alias(name)).agg(F.first(row).alias("row"))
     return kept.join(equal, same, "left_anti").unionByName(once.select("row.*"))

@@ -171,7 +171,7 @@ def test_one_row_of_each_class_stays(spark):
     near, other = base + " end", " ".join(f"v{i}" for i in range(30))
     rows = [(1, base, "p", 0), (1, base, "p", 0), (1, base, "q", 0), (2, near, "r", 0), (None, other, "s", 0), (None, other, "s", 0),
             (7, None, "t", 0), (7, None, "t", 0), (8, "", "u", 0), (9, "a b", "v", 0)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, key string, rows long")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key string, rows long")
     kept = ngram_join.keep_one_of_each(docs.repartition(3))
     assert kept.columns == docs.columns
     found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
