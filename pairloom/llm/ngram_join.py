@@ -12,14 +12,14 @@ join each class but are not all its pairs, and no number of links per document e
 2. A tile is sorted by set size and cut into size bands; in each band every node is a
    candidate with the band's first. Of a node's candidates the one that it shares most
    tiles with is verified, which already joins most large groups of near copies.
-3. Neighbours in a tile that are not yet in one component follow, in rounds that each look
-   a window further, as long as they join many. So a large group of near copies becomes one
-   component by links that grow with its rows, and few of its pairs are left.
+3. Then each tile gives a forest: of its pairs whose ends are in different components and
+   whose bitmaps make a link likely, only those that join what the tile's earlier ones left
+   apart, so fewer pairs than rows. Rounds of this go on as long as most of the pairs link.
+   So a large group of near copies becomes one component by links that grow with its rows.
 4. Then all pairs of a tile that are not yet in one component. No pair is verified twice.
 
-Before the exact test the bitmaps of a pair bound the overlap from above: a bit that only one
-side has is a shingle only that side has. Pairs that pass are verified by intersecting the
-sorted hashes.
+The bitmaps of a pair bound the overlap from above: a bit that only one side has is a shingle
+only that side has. Pairs that pass are verified by intersecting the sorted hashes.
 
 How common a shingle is comes from a sketch of fixed size that counts those of all
 sets; any order is right, this one keeps tiles small. Tiles too large for one task
@@ -46,11 +46,12 @@ from pairloom.session import materialize, scratch_path
 
 SKETCH_BITS = 22
 TILE_ROWS = 2048
-# Neighbours that a row of a tile meets in a round, and the links (and their share of the
-# pairs tried) below which rounds end. They change the work and no result.
-NEAR = 4
+# The links, and their share of the pairs tried, below which rounds end. These three change
+# the work and no result.
 LEAST_JOINED = 20
-LEAST_SHARE = 0.02
+LEAST_SHARE = 0.5
+# How much less of the overlap needed is likely enough in each further round.
+LOOSER = 0.05
 # A pair meets in many tiles; a task drops its copies among this many pairs.
 PAIRS_HELD = 500_000
 _CHUNK = 1 << 16
@@ -114,6 +115,19 @@ def overlap_bound(n_a, map_a: np.ndarray, n_b, map_b: np.ndarray):
     return np.minimum(n_a - only_a, n_b - only_b)
 
 
+def likely_overlap(n_a, map_a: np.ndarray, n_b, maps: np.ndarray):
+    """What a set most likely shares with each of others, by the bits that both have by chance."""
+    size = min(map_a.shape[-1], maps.shape[-1])
+    map_a, maps = _folded(map_a, size), _folded(maps, size)
+    set_a = np.bitwise_count(map_a).sum(dtype=np.int64)
+    set_b = np.bitwise_count(maps).sum(-1, dtype=np.int64)
+    both = np.bitwise_count(map_a & maps).sum(-1, dtype=np.int64)
+    free_a, free_b = (np.maximum(1 - s / (8 * size), 1e-6) for s in (set_a, set_b))
+    by_a = n_a * (1 - (1 - both / set_a) / free_b)
+    by_b = n_b * (1 - (1 - both / set_b) / free_a)
+    return (by_a + by_b) / 2
+
+
 def needed(n_a, n_b, percent):
     """Least overlap at which 100 * intersection >= percent * union."""
     return -(-percent * (n_a + n_b) // (100 + percent))
@@ -254,11 +268,12 @@ def _first_pairs(batches, percent):
         yield from emit([np.array(pairs)] if pairs else [], [np.array(crowded)] if crowded else [])
 
 
-def _tile_pairs(batches, percent, window=None):
+def _tile_pairs(batches, percent, turn=None):
     """Pairs (a, b) of different components in a tile whose places and bitmaps allow the overlap.
 
-    With a `window`, a row meets only so many of other components, without bitmaps: NEAR from
-    the window's place on, counted round and round.
+    With a `turn`, only a forest of those that likely link, less likely ones each turn: a row meets
+    the likeliest member of each component that it reaches, and then counts as one component
+    with all of these.
 
     Rows come sorted by (token, block_a, block_b, n, node). In the tile of a block with itself all
     pairs count, in that of two blocks those across.
@@ -268,7 +283,7 @@ def _tile_pairs(batches, percent, window=None):
         if (comp == comp[0]).all():
             return
         left = n - place
-        maps = [] if window is not None else [np.frombuffer(r[5], np.uint8) for r in rows]
+        maps = [np.frombuffer(r[5], np.uint8) for r in rows]
         widths = np.array([len(m) for m in maps])
         ready = {}
         stops = np.searchsorted(n, 100 * n // percent, "right")
@@ -281,10 +296,7 @@ def _tile_pairs(batches, percent, window=None):
                 others = others[side[others] != side[i]]
             if not len(others):
                 continue
-            if window is not None:
-                met = node[others[(window + np.arange(min(NEAR, len(others)))) % len(others)]]
-                yield np.stack([np.minimum(node[i], met), np.maximum(node[i], met)], axis=1)
-                continue
+            passing, likely = [], []
             for width in np.unique(widths[others]):
                 some = others[widths[others] == width]
                 if width not in ready:
@@ -294,8 +306,20 @@ def _tile_pairs(batches, percent, window=None):
                     ready[width] = places, np.stack([maps[j] for j in where])
                 places, stacked = ready[width]
                 bound = overlap_bound(n[i], maps[i], n[some], stacked[places[some]])
-                met = node[some[bound >= needed(n[i], n[some], percent)]]
-                yield np.stack([np.minimum(node[i], met), np.maximum(node[i], met)], axis=1)
+                some = some[bound >= needed(n[i], n[some], percent)]
+                if turn is not None and len(some):
+                    share = likely_overlap(n[i], maps[i], n[some], stacked[places[some]])
+                    share /= needed(n[i], n[some], percent)
+                    some = some[share >= 1 - LOOSER * turn]
+                    likely.append(share[share >= 1 - LOOSER * turn])
+                passing.append(some)
+            met = np.concatenate(passing)
+            if turn is not None and len(met):
+                met = met[np.argsort(-np.concatenate(likely), kind="stable")]
+                reached, first = np.unique(comp[met], return_index=True)
+                met = met[first]
+                comp[np.isin(comp, reached)] = comp[i]
+            yield np.stack([np.minimum(node[i], node[met]), np.maximum(node[i], node[met])], axis=1)
 
     def batch_of(found):
         columns = np.unique(np.concatenate(found), axis=0).T
@@ -422,10 +446,10 @@ def links(nodes: DataFrame, percent=80, tile_rows=TILE_ROWS):
         return materialize(components(stars.unionByName(more)))
 
     crowded = tiles.filter("token is not null").select("token", "node", "n", "place")
-    window = 0
+    turn = 0
     while True:
-        near = _mixed_pairs(crowded, roots, nodes, percent, tile_rows, window)
-        fresh = materialize(near.distinct().join(tried, ["a", "b"], "left_anti"))
+        forest = _mixed_pairs(crowded, roots, nodes, percent, tile_rows, turn)
+        fresh = materialize(forest.distinct().join(tried, ["a", "b"], "left_anti"))
         more = _linked(fresh, nodes, percent)
         joined = more.count()
         if joined:
@@ -433,14 +457,14 @@ def links(nodes: DataFrame, percent=80, tile_rows=TILE_ROWS):
         edges, tried = edges.unionByName(more), tried.unionByName(fresh)
         if joined < max(LEAST_JOINED, LEAST_SHARE * fresh.count()):
             break
-        window += NEAR
+        turn += 1
     inside = _mixed_pairs(crowded, roots, nodes, percent, tile_rows)
     rest = _apart(pairs, roots).unionByName(inside).distinct().join(tried, ["a", "b"], "left_anti")
     more = _linked(rest, nodes, percent)
     return edges.unionByName(more), joined_by(more)
 
 
-def _mixed_pairs(crowded, roots, nodes, percent, tile_rows, window=None) -> DataFrame:
+def _mixed_pairs(crowded, roots, nodes, percent, tile_rows, turn=None) -> DataFrame:
     """Pairs of tiles that still hold several components, see `_tile_pairs`."""
     placed = crowded.join(roots, "node", "left_outer").withColumn("root", F.coalesce("root", "node"))
     mixed = placed.groupBy("token").agg(
@@ -449,17 +473,14 @@ def _mixed_pairs(crowded, roots, nodes, percent, tile_rows, window=None) -> Data
     held = meet_groups(placed, mixed, "token", "rows")
     blocks = F.ceil(F.col("rows") / tile_rows).cast("int")
     block = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    if window is None:
-        held = held.join(nodes.select("node", "bits"), "node")
-    held = held.withColumn("block", block)
+    held = held.join(nodes.select("node", "bits"), "node").withColumn("block", block)
     meets = F.transform(F.sequence(F.lit(0), blocks - 1), lambda other: F.struct(
         F.least("block", other).alias("block_a"), F.greatest("block", other).alias("block_b")))
     spread = held.withColumn("meet", F.explode(meets)).select(
-        "token", "meet.block_a", "meet.block_b", "block", "node", "n", "place", "root",
-        *(["bits"] if window is None else []))
+        "token", "meet.block_a", "meet.block_b", "block", "node", "n", "place", "root", "bits")
 
     def within(batches):
-        return _tile_pairs(batches, percent, window)
+        return _tile_pairs(batches, percent, turn)
 
     order = ["token", "block_a", "block_b", "n", "node"]
     return spread.repartition(*order[:3]).sortWithinPartitions(*order).mapInArrow(
