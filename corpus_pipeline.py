@@ -5,43 +5,37 @@ that a stage drops are gone for the later ones; a row that the mix takes twice i
 """
 
 from pairloom.llm import bpe, grace_dedup, language_mix, ngram_join, pareto_mix
+from pairloom.llm.batches import small_batches
 from pairloom.llm.queries import table, vocabulary
 from pairloom.session import materialize
 
-# Batches of texts between Spark and its Python workers; both sides hold whole ones.
-BATCH_BYTES = 4 << 20
-
-
-def _small_batches(spark):
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-
 
 def known_language(spark, docs, sf_dir):
     """Drops documents without text or letters; where nothing could be learned, lettered ones stay."""
-    _small_batches(spark)
+    small_batches(spark)
     found = language_mix.identify_languages(docs)
     known = (found.lang_pred != language_mix.UNKNOWN) | found.text.rlike(r"\p{L}")
     return found.filter(known).select(*docs.columns)
 
 
 def without_copies(spark, docs, sf_dir):
-    _small_batches(spark)
+    small_batches(spark)
     return grace_dedup.keep_one(docs)
 
 
 def without_near_copies(spark, docs, sf_dir):
-    _small_batches(spark)
+    small_batches(spark)
     return ngram_join.keep_one_of_each(docs)
 
 
 def mixed_sources(spark, docs, sf_dir):
-    _small_batches(spark)
+    small_batches(spark)
     return pareto_mix.repeated(pareto_mix.mix(docs), docs.columns)
 
 
 def encoded_documents(spark, docs, sf_dir):
     """The mixed documents with their token ids and the text these decode to."""
-    _small_batches(spark)
+    small_batches(spark)
     return bpe.round_trip(docs, vocabulary("word_bpe_49k.json"))
 
 

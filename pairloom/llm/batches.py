@@ -8,6 +8,13 @@ import pyarrow as pa
 
 # Rows whose ids are Python objects at the same time.
 SLICE_ROWS = 50
+# Batches of texts between Spark and its Python workers; both sides hold whole ones.
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark) -> None:
+    """Ask for Arrow batches of at most BATCH_BYTES in what follows."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def id_lists(packed: list[bytes]) -> pa.ListArray:

@@ -14,23 +14,28 @@ SLICE = 1 << 16
 # Place of the k-th set bit of a byte.
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
 _PLACE = np.argsort(1 - _BITS, axis=1, kind="stable").astype(np.uint8)
+# Masks of every second bit, every second pair, every second four, the first and the top bit of each byte.
+_PAIRS, _QUADS, _BYTES, _EACH, _TOPS = (
+    np.uint64(byte * 0x0101010101010101) for byte in (0x55, 0x33, 0x0F, 0x01, 0x80))
 
 
 def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
     """Arrays of a non-decreasing sequence of numbers below `universe`."""
-    values = np.asarray(values, np.uint64)
     n = len(values)
     low_bits = max(0, int(universe // max(n, 1)).bit_length() - 1)
-    highs = (values >> np.uint64(low_bits)).astype(np.int64)
     n_bits = n + (universe >> low_bits) + 2
-    words = -(-n_bits // 64)
-    high = np.zeros(words, np.uint64)
-    at = highs + np.arange(n)
-    np.bitwise_or.at(high, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
+    high = np.zeros(-(-n_bits // 64), np.uint64)
     low = np.zeros(-(-n * low_bits // 64) + 2, np.uint64)
-    if low_bits:
-        part = values & np.uint64((1 << low_bits) - 1)
-        offset = np.arange(n, dtype=np.int64) * low_bits
+    # In slices, as each value takes several numbers on its way.
+    for begin in range(0, n, SLICE):
+        some = np.asarray(values[begin : begin + SLICE], np.uint64)
+        index = np.arange(begin, begin + len(some))
+        at = (some >> np.uint64(low_bits)).astype(np.int64) + index
+        np.bitwise_or.at(high, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
+        if not low_bits:
+            continue
+        part = some & np.uint64((1 << low_bits) - 1)
+        offset = index * low_bits
         shift = (offset & 63).astype(np.uint64)
         np.bitwise_or.at(low, offset >> 6, part << shift)
         over = shift + np.uint64(low_bits) > 64
@@ -48,21 +53,27 @@ class EliasFano:
 
     def _select(self, rank: np.ndarray, ones: bool) -> np.ndarray:
         """Bit positions of the set (or clear) bits with these ranks, from 0."""
-        # In slices, as each rank takes a whole block of bits to look through.
+        # In slices that stay in the processor's cache.
         parts = [self._select_some(rank[i : i + SLICE], ones) for i in range(0, len(rank), SLICE)]
         return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
     def _select_some(self, rank, ones):
         counts = self.before if ones else self.zeros
         word = np.searchsorted(counts, rank.astype(counts.dtype), "right") - 1
-        rest = (rank - counts[word]).astype(np.uint8)
+        rest = (rank - counts[word]).astype(np.uint64)
         bits = self.high[word]
-        octets = (bits if ones else ~bits).view(np.uint8).reshape(-1, 8)
-        upto = np.cumsum(np.bitwise_count(octets), axis=1, dtype=np.uint8)
-        octet = (upto <= rest[:, None]).sum(1)
-        row = np.arange(len(rank))
-        rest = rest - np.where(octet > 0, upto[row, octet - 1], np.uint8(0))
-        return word * 64 + octet * 8 + _PLACE[octets[row, octet], rest]
+        if not ones:
+            bits = ~bits
+        # Set bits up to and with each byte of the word, all eight in one number.
+        upto = bits - ((bits >> np.uint64(1)) & _PAIRS)
+        upto = (upto & _QUADS) + ((upto >> np.uint64(2)) & _QUADS)
+        upto = ((upto + (upto >> np.uint64(4))) & _BYTES) * _EACH
+        # The top bit of each byte tells whether the place is beyond it.
+        beyond = ((rest * _EACH | _TOPS) - upto) & _TOPS
+        shift = np.bitwise_count(beyond).astype(np.uint64) << np.uint64(3)
+        rest -= ((upto << np.uint64(8)) >> shift) & np.uint64(255)
+        octet = (bits >> shift) & np.uint64(255)
+        return word * 64 + shift.astype(np.int64) + _PLACE[octet, rest]
 
     def _low(self, index: np.ndarray) -> np.ndarray:
         if not self.low_bits:

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm import elias_fano, words
+from pairloom.llm.batches import small_batches
 from pairloom.session import materialize, scratch_path
 
 # The end token's hash; it also stands before the first word as a context.
@@ -43,7 +44,9 @@ LEAST_COUNT = 2
 CODES_PER_UNIT = 4000
 SHARD_ROWS = 2_000_000
 CHUNK_BYTES = 1 << 20
-TALLY_ROWS = 1_000_000
+TALLY_ROWS = 500_000
+# N-grams of a shard that are worked on at a time.
+SLICE_ROWS = 200_000
 
 
 def held_out(id_col="doc_id", folds=10, fold=0):
@@ -87,9 +90,14 @@ class Tally:
                 yield from self.flush()
 
     def _merge(self):
-        keys, where = np.unique(np.concatenate(self.keys), return_inverse=True)
-        counts = np.bincount(where, weights=np.concatenate(self.counts)).astype(np.int64)
-        self.keys, self.counts, self.held = [keys], [counts], len(keys)
+        if len(self.keys) < 2:
+            return
+        keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
+        # The parts are sorted, which a stable sort makes use of.
+        order = np.argsort(keys, kind="stable")
+        keys, counts = keys[order], counts[order]
+        edges = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        self.keys, self.counts, self.held = [keys[edges]], [np.add.reduceat(counts, edges)], len(edges)
 
     def flush(self):
         if self.held:
@@ -161,6 +169,7 @@ def _sharded(counts: DataFrame, write):
         if not parts:
             return
         keys, times = (np.concatenate([b.column(i).to_numpy() for b in parts]) for i in (0, 1))
+        del parts
         write(shard, keys, times)
         yield pa.RecordBatch.from_arrays(
             [pa.array([int(x)]) for x in (keys[0], keys[-1], len(keys), shard)],
@@ -358,7 +367,8 @@ class Model:
             score = self.pair_log10(ids, before, pair, unigram)
             if self.triples.size:
                 context = self.pair_before(pair, starts)
-                triple = self.triples.find(context, ids)
+                # Training kept a triple only where it kept both of its pairs.
+                triple = self.triples.find(context, np.where(pair >= 0, ids, -1))
                 shorter = score + _value(self.pairs.gather("backoff", context))
                 score = np.where(triple >= 0, _value(self.triples.gather("prob", triple)), shorter)
         at = starts[:-1]
@@ -374,10 +384,11 @@ def _write_backoffs(counts: DataFrame, n_words, level: Level, folder):
 
     def one(key, table):
         at = key[0].as_py()
-        contexts = table.column("context").to_numpy()
-        left = 1 - table.column("kept").to_numpy() / level.gather("times", contexts)
         codes = np.zeros(shards[at][2], np.uint16)
-        codes[contexts - offsets[at]] = _coded(np.log10(np.maximum(left, 1e-12)))
+        for batch in table.to_batches(SLICE_ROWS):
+            contexts = batch.column("context").to_numpy()
+            left = 1 - batch.column("kept").to_numpy() / level.gather("times", contexts)
+            codes[contexts - offsets[at]] = _coded(np.log10(np.maximum(left, 1e-12)))
         elias_fano.save(folder, file(shards[at][3]), {"backoff": codes})
         return pa.table({"shard": [at]})
 
@@ -399,11 +410,14 @@ def _write_level(counts, model, contexts: Level, name, lower):
     def write(shard, keys, times):
         file = f"{name}-{shard}"
         write_grams(folder, file, keys, n_words)
-        context, word = keys // n_words, keys % n_words
-        direct = (times - DISCOUNT) / contexts.gather("times", context)
-        backoff = 10 ** _value(contexts.gather("backoff", context))
-        prob = direct + backoff * 10 ** lower(context, word)
-        elias_fano.save(folder, file, {"prob": _coded(np.log10(prob)), "times": times})
+        codes = np.empty(len(keys), np.uint16)
+        for at in range(0, len(keys), SLICE_ROWS):
+            part = slice(at, at + SLICE_ROWS)
+            context, word = keys[part] // n_words, keys[part] % n_words
+            direct = (times[part] - DISCOUNT) / contexts.gather("times", context)
+            backoff = 10 ** _value(contexts.gather("backoff", context))
+            codes[part] = _coded(np.log10(direct + backoff * 10 ** lower(context, word)))
+        elias_fano.save(folder, file, {"prob": codes, "times": times})
 
     return _sharded(counts, write)
 
@@ -476,5 +490,6 @@ def score_documents(docs: DataFrame, model: Model, text="text") -> DataFrame:
 
 def score_held_out(docs: DataFrame) -> DataFrame:
     """`docs` (doc_id, text) with held_out and the scores of a model of the other rows."""
+    small_batches(docs.sparkSession)
     marked = docs.withColumn("held_out", held_out())
     return score_documents(marked, train(marked.filter(~F.col("held_out"))))

@@ -1,5 +1,6 @@
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -124,3 +125,35 @@ def test_missing_mount_is_refused(spark, docs, monkeypatch):
     monkeypatch.setattr(ngram_trie, "scratch_path", lambda *a: "store://bucket/x")
     with pytest.raises(ValueError):
         ngram_trie.train(docs)
+
+
+def test_coding_takes_memory_by_slices():
+    values = np.cumsum(np.arange(1_000_000) % 7)
+    tracemalloc.start()
+    coded = elias_fano.encode(values, int(values[-1]) + 1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * values.nbytes
+    some = np.arange(0, len(values), 997)
+    assert (elias_fano.EliasFano(**coded).access(some) == values[some]).all()
+
+
+def test_select_in_full_and_empty_words():
+    values = np.concatenate([np.arange(200), np.arange(200) + 64_000, [10**6] * 130])
+    sequence = elias_fano.EliasFano(**elias_fano.encode(values, 10**6 + 1))
+    places = np.arange(len(values))
+    assert (sequence.access(places) == values).all()
+    asked = np.unique(np.concatenate([values, values[:-1] + 1]))
+    found = sequence.successor(asked, np.zeros_like(asked), np.full_like(asked, len(values)))
+    assert (found == np.searchsorted(values, asked)).all()
+
+
+def test_tally_counts_over_merges(monkeypatch):
+    monkeypatch.setattr(ngram_trie, "TALLY_ROWS", 40)
+    tally, keys = ngram_trie.Tally(), np.arange(500) ** 2 % 37
+    batches = [b for at in range(0, 500, 9) for b in tally.add(keys[at : at + 9])]
+    batches += tally.flush()
+    total = Counter()
+    for batch in batches:
+        total.update(dict(zip(*(c.to_pylist() for c in batch.columns))))
+    assert total == Counter(keys.tolist())
