@@ -10,6 +10,9 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+# Records hold the same texts several times, so packed lines are a fraction of plain ones. Readers
+# unpack by the name of the file; a file is what one task wrote and is read by one.
+JSON_OPTIONS = {"ignoreNullFields": "false", "compression": "gzip"}
 
 
 def write_pairs(df: DataFrame, path, sort=True):
@@ -19,8 +22,8 @@ def write_pairs(df: DataFrame, path, sort=True):
 
 
 def append_jsonl(df: DataFrame, path):
-    """Append records; keys with null values are written."""
-    df.write.mode("append").option("ignoreNullFields", "false").json(path)
+    """Append records as packed lines; keys with null values are written."""
+    df.write.mode("append").options(**JSON_OPTIONS).json(path)
 
 
 def append_ids(ids: DataFrame, path):
@@ -43,14 +46,14 @@ def append_run(records: DataFrame, ids: DataFrame, records_path, ids_path, run):
     A run counts once it has both (`readers.read_runs`), so the two appends act as one.
     """
     folder = f"run={run}"
-    records.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{records_path}/{folder}")
+    records.write.mode("overwrite").options(**JSON_OPTIONS).json(f"{records_path}/{folder}")
     line = F.col(ids.columns[0]).cast("string").alias("value")
     ids.select(line).filter("value IS NOT NULL").write.mode("overwrite").text(f"{ids_path}/{folder}")
 
 
 def write_split(train: DataFrame, held_out: DataFrame, train_path, eval_path):
     for df, path in ((train, train_path), (held_out, eval_path)):
-        df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+        df.write.mode("overwrite").options(**JSON_OPTIONS).json(path)
 
 
 def append_results(df: DataFrame, path):
@@ -59,7 +62,7 @@ def append_results(df: DataFrame, path):
 
 
 def write_verdicts(df: DataFrame, path):
-    df.write.mode("append").option("ignoreNullFields", "false").json(path)
+    df.write.mode("append").options(**JSON_OPTIONS).json(path)
 
 
 def write_comparison(df: DataFrame, path):

@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 from pairloom import schemas
 from pairloom.plans.enrich import TRACE_TEMPLATE, trace_requests
 from pairloom.sources.readers import parse_json_lines
+from pairloom.sources.writers import JSON_OPTIONS
 
 
 def stream_trace_requests(
@@ -24,7 +25,7 @@ def stream_trace_requests(
     # Lines are kept and dropped by the same rule as in the batch reader.
     enriched = parse_json_lines(reader.text(enriched_path), schemas.ENRICHED_PAIRS)
     requests = trace_requests(enriched, template)
-    writer = requests.writeStream.format("json").option("ignoreNullFields", "false")
+    writer = requests.writeStream.format("json").options(**JSON_OPTIONS)
     return (
         writer.option("path", out_path)
         .option("checkpointLocation", checkpoint_path)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pairloom import schemas
 from pairloom.operators.requests import resume_pending
 from pairloom.operators.votes import post_vote_counts, split_posts
+from pairloom.plans.enrich import trace_requests
 from pairloom.sources import readers, writers
 from pairloom.streaming.resume import stream_trace_requests
 
@@ -179,3 +180,18 @@ def test_lines_with_json_blanks_are_kept_by_batch_and_stream(spark, tmp_path):
     query.awaitTermination()
     seen = spark.read.schema("question_id long, title string").json(str(tmp_path / "out"))
     assert sorted((r["question_id"] or 0, r["title"]) for r in seen.collect()) == rows
+
+
+def test_lines_of_repeated_texts_are_stored_packed(spark, tmp_path):
+    source, out, log = (str(tmp_path / n) for n in ("in", "out", "log"))
+    body = " ".join(str(i * i) for i in range(500))
+    rows = [(i, i, "t", f"{body} {i}", f"{body} {i}", f"{body} {i}", None) for i in range(40)]
+    records = spark.createDataFrame(rows, schemas.ENRICHED_PAIRS)
+    writers.append_jsonl(records, source)
+    stream_trace_requests(spark, source, out, log).awaitTermination()
+    for path, texts in ((source, 3), (out, 5)):
+        size = sum(f.stat().st_size for f in (tmp_path / path).iterdir() if f.name.startswith("part-"))
+        assert 0 < size < len(body) * len(rows) * texts / 3
+    assert readers.read_jsonl(spark, source, schemas.ENRICHED_PAIRS, "fail").exceptAll(records).count() == 0
+    asked = readers.read_jsonl(spark, out, trace_requests(records).schema, "fail")
+    assert sorted(asked.collect()) == sorted(trace_requests(records).collect())
