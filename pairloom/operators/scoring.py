@@ -107,24 +107,20 @@ def extract_answers(outputs: DataFrame, strict=False) -> DataFrame:
 def score_outputs(outputs: DataFrame, items: DataFrame, counter=None, strict=False) -> DataFrame:
     """Evaluation results from raw outputs and their items (question, reference).
 
-    Answers are extracted and counted before the join, so raw texts meet the items
-    only where they are wanted in the result.
+    Only raw outputs meet the items; answers are parts of them and are extracted after the join,
+    so that no text moves twice.
     """
-    parts = extract_answers(outputs, strict)
-    narrow = parts.select(
-        "benchmark", "model", "item_pos", "predicted_answer",
-        token_count(F.col("thinking_trace"), counter).alias("thinking_tokens"),
-        token_count(F.col("answer_part"), counter).alias("answer_tokens"),
-        "time_seconds", "raw_output",
-    )
-    found = narrow.join(items, ["benchmark", "item_pos"])
-    return found.select(
+    given = outputs.select("benchmark", "model", "item_pos", "time_seconds", "raw_output")
+    parts = extract_answers(given.join(items, ["benchmark", "item_pos"]), strict)
+    return parts.select(
         "benchmark", "model", "item_pos", "question",
         F.col("reference").alias("reference_answer"), "predicted_answer",
         A.exact_match(
             F.col("reference"), F.col("predicted_answer"), F.col("benchmark"), strict
         ).alias("is_correct"),
-        "thinking_tokens", "answer_tokens", "time_seconds", "raw_output",
+        token_count(F.col("thinking_trace"), counter).alias("thinking_tokens"),
+        token_count(F.col("answer_part"), counter).alias("answer_tokens"),
+        "time_seconds", "raw_output",
     )
 
 
