@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.llm.batches import by_slices, id_lists
+from pairloom.llm.batches import by_slices, id_lists, small_batches
 
 # Bounds of a worker's memory: states with their transitions (twice so many, in generations), pairs of
 # neighbours, remembered pieces (twice so many) and their length, steps of the decoder.
@@ -202,22 +202,19 @@ class Transducer:
         """The state after one more byte, and the tokens that are certain by then."""
         known = self._apart
         leaves, longest = [], None
-        for leaf in state.leaves:
-            ahead = leaf[0].get(byte)
-            if ahead is None:
+        for node, last, held in state.leaves:
+            if byte not in node:
                 continue
-            children, token = ahead
-            if token >= 0:
-                _, last, held = leaf
+            children, token = node[byte]
+            # The encoding is unique, so the other leaves need no look once it is found.
+            if token >= 0 and longest is None:
                 apart = known.get(last << 32 | token)
                 if apart is None:
                     apart = self._kept_apart(last, token)
                 if apart:
-                    if longest:
-                        raise ValueError("these merges allow two encodings of one text")
                     longest = (self._root, token, (*held, token))
             if children:
-                leaves.append((children, leaf[1], leaf[2]))
+                leaves.append((children, last, held))
         if not longest:
             raise ValueError("these merges allow no encoding of a text")
         leaves.append(longest)
@@ -269,8 +266,11 @@ class Transducer:
 
     def decode_stream(self, ids):
         """Text of each token as soon as its characters are complete, then what is left."""
-        state, known = b"", self._steps
+        state, known, whole = b"", self._steps, self._whole
         for token in ids:
+            if not state and token in whole:
+                yield whole[token]
+                continue
             found = known.get((state, token))
             text, state = found if found is not None else self._decoder_step(state, token)
             yield text
@@ -313,6 +313,7 @@ def decoded(ids: Column, ranks: str, pattern: str) -> Column:
 
 def round_trip(docs: DataFrame, ranks: str, pattern: str, text="text") -> DataFrame:
     """`docs` with the columns ids and decoded, made in one pass over the texts."""
+    small_batches(docs.sparkSession)
 
     @F.arrow_udf(CODED)
     def both(texts: pa.Array) -> pa.Array:
