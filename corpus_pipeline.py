@@ -36,7 +36,7 @@ def mixed_sources(spark, docs, sf_dir):
 def encoded_documents(spark, docs, sf_dir):
     """The mixed documents with their token ids and the text these decode to."""
     small_batches(spark)
-    return bpe.round_trip(docs, vocabulary("word_bpe_49k.json"))
+    return bpe.round_trip(docs, vocabulary("word_bpe_49k.json"), forget=True)
 
 
 STAGES = [

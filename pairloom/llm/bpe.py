@@ -16,6 +16,7 @@ import json
 import re
 import unicodedata
 from array import array
+from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -96,6 +97,12 @@ class WordBpe:
         self._pieces = _Words(self._encode_piece)
         self.words = _Words(self._encode_word)
 
+    def forget(self):
+        """Drop the remembered words; results stay the same."""
+        for held in (self._pieces, self.words):
+            held.clear()
+            held._older.clear()
+
     def _encode_piece(self, piece: str) -> bytes:
         *start, end = piece.encode()
         ids = [*map(self._inner.__getitem__, start), self._last[end]]
@@ -187,8 +194,11 @@ def decoded(ids: Column, tokenizer: str) -> Column:
     return decode(ids)
 
 
-def round_trip(docs: DataFrame, tokenizer: str, text="text") -> DataFrame:
-    """`docs` with the columns ids and decoded, made in one pass over the texts."""
+def round_trip(docs: DataFrame, tokenizer: str, text="text", forget=False) -> DataFrame:
+    """`docs` with the columns ids and decoded, made in one pass over the texts.
+
+    With `forget`, a worker keeps no words after its task, for sessions with other stages to come.
+    """
 
     def coded(part):
         coder = _coder(tokenizer)
@@ -198,8 +208,13 @@ def round_trip(docs: DataFrame, tokenizer: str, text="text") -> DataFrame:
         return pa.StructArray.from_arrays([id_lists(packed), back], ["ids", "decoded"])
 
     @F.arrow_udf(ENCODED)
-    def both(texts: pa.Array) -> pa.Array:
-        return by_slices(texts, coded)
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            for texts in batches:
+                yield by_slices(texts, coded)
+        finally:
+            if forget:
+                _coder(tokenizer).forget()
 
     kept = docs.drop("ids", "decoded", "_coded")
     found = kept.withColumn("_coded", both(F.coalesce(F.col(text), F.lit(""))))

@@ -28,6 +28,8 @@ BUCKET_BITS = 15
 ORDERS = (1, 2, 3, 4)
 # Languages a model may hold: with 2^15 buckets of 4 bytes each, 64 MB.
 MAX_LANGUAGES = 512
+# Bytes of texts that are worked on at a time; each takes some tens of bytes of arrays.
+CHUNK_BYTES = 1 << 18
 ROUNDS = 8
 PENALTY = 2.0
 # A word's n-grams overlap, so their product overstates its evidence.
@@ -82,7 +84,7 @@ def _training_counts(batches):
     counts: dict[str, np.ndarray] = {}
     for batch in batches:
         langs = np.array(batch.column("lang").to_pylist(), object)
-        for rows, data, bounds in words.chunks(batch.column("text")):
+        for rows, data, bounds in words.chunks(batch.column("text"), CHUNK_BYTES):
             starts, lengths, number, firsts = _distinct_words(data, bounds)
             if not len(starts):
                 continue
@@ -167,7 +169,7 @@ def _predict_batch(texts: pa.Array, lettered: pa.Array, langs, table) -> pa.Arra
     scores = np.zeros(len(texts))
     known = np.array(lettered.to_pylist(), bool)
     # Arrays below hold a number per n-gram and language.
-    limit = max(1 << 14, words.CHUNK_BYTES * 8 // max(8, len(langs)))
+    limit = max(1 << 14, CHUNK_BYTES * 8 // max(8, len(langs)))
     for rows, data, bounds in words.chunks(texts, limit):
         starts, lengths, number, firsts = _distinct_words(data, bounds)
         counts = np.diff(firsts)

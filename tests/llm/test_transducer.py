@@ -124,3 +124,10 @@ def test_query_equals_the_library(spark, library):
         assert row["n_tokens"] == len(ids)
         assert row["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert row["decoded_sha256"] == hashlib.sha256(texts[row["doc_id"]].encode()).hexdigest()
+
+
+def test_whole_tokens_take_no_steps(machine, monkeypatch):
+    monkeypatch.setattr(machine, "_steps", {})
+    ids = machine.encode("one two three")
+    assert "".join(machine.decode_stream(ids)) == "one two three"
+    assert not machine._steps
