@@ -102,9 +102,9 @@ def test_registered_queries_equal_the_library(spark):
 def test_round_trip_that_forgets_gives_the_same_rows(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     docs = spark.createDataFrame([(1, "One two, one two."), (2, None), (3, "")], "doc_id long, text string")
-    kept, forgot = (bpe.round_trip(docs, path, forget=f).orderBy("doc_id").collect() for f in (False, True))
+    kept, forgot = (round_trip(docs, path, forget=f).orderBy("doc_id").collect() for f in (False, True))
     assert kept == forgot and kept[0].ids
-    coder = bpe.WordBpe(path)
+    coder = WordBpe(path)
     first = coder.packed("One two three")
     coder.forget()
     assert not coder.words and not coder._pieces and coder.packed("One two three") == first

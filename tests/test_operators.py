@@ -521,3 +521,16 @@ def test_hot_key_of_a_join_is_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_outputs_move_before_their_answers_are_extracted(spark):
+    outputs = spark.createDataFrame(
+        [("ee_qa", "base", 1, "<think>a b</think>c", 1.0)],
+        "benchmark string, model string, item_pos long, raw_output string, time_seconds double")
+    items = spark.createDataFrame(
+        [("ee_qa", 1, "q", "c")], "benchmark string, item_pos long, question string, reference string")
+    scored = scoring.score_outputs(outputs, items)
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "</think>" in plan and "</think>" not in plan.split("Join", 1)[1]
+    row = scored.first()
+    assert (row.predicted_answer, row.thinking_tokens, row.answer_tokens) == ("c", 2, 1)
