@@ -368,8 +368,7 @@ def _math_items(spark, d):
 
 
 def _results(spark, d, benchmark, items):
-    outputs = fx.outputs(spark, d).withColumn("benchmark", F.lit(benchmark))
-    return scoring.score_outputs(outputs, items)
+    return scoring.score_outputs(fx.outputs(spark, d), items, benchmark=benchmark)
 
 
 def _math_results(spark, d):

@@ -104,14 +104,22 @@ def extract_answers(outputs: DataFrame, strict=False) -> DataFrame:
     return parts.withColumn("predicted_answer", predicted).drop("_stated")
 
 
-def score_outputs(outputs: DataFrame, items: DataFrame, counter=None, strict=False) -> DataFrame:
+def score_outputs(outputs: DataFrame, items: DataFrame, counter=None, strict=False,
+                  benchmark=None) -> DataFrame:
     """Evaluation results from raw outputs and their items (question, reference).
 
     Only raw outputs meet the items; answers are parts of them and are extracted after the join,
-    so that no text moves twice.
+    so that no text moves twice. Outputs of a single `benchmark` need no such column: its name
+    joins no shuffle, so a query that scores them against several benchmarks moves them once.
     """
-    given = outputs.select("benchmark", "model", "item_pos", "time_seconds", "raw_output")
-    parts = extract_answers(given.join(items, ["benchmark", "item_pos"]), strict)
+    given = outputs.select("model", "item_pos", "time_seconds", "raw_output",
+                           *(["benchmark"] if benchmark is None else []))
+    if benchmark is None:
+        met = given.join(items, ["benchmark", "item_pos"])
+    else:
+        mine = items.filter(F.col("benchmark") == benchmark).drop("benchmark")
+        met = given.join(mine, "item_pos").withColumn("benchmark", F.lit(benchmark))
+    parts = extract_answers(met, strict)
     return parts.select(
         "benchmark", "model", "item_pos", "question",
         F.col("reference").alias("reference_answer"), "predicted_answer",

@@ -534,3 +534,36 @@ def test_outputs_move_before_their_answers_are_extracted(spark):
     assert "</think>" in plan and "</think>" not in plan.split("Join", 1)[1]
     row = scored.first()
     assert (row.predicted_answer, row.thinking_tokens, row.answer_tokens) == ("c", 2, 1)
+
+
+def test_outputs_scored_against_two_benchmarks_move_once(spark, tmp_path):
+    rows = [("base", 1, "<think>a</think>Final Answer: 5", 1.0), ("ft", 1, "5", 2.0), ("ft", 2, "7", 3.0),
+            ("ft", None, "8", 1.0)]
+    spark.createDataFrame(rows, "model string, item_pos long, raw_output string, time_seconds double").write.parquet(
+        str(tmp_path / "outputs"))
+    stored = spark.read.parquet(str(tmp_path / "outputs"))
+    outputs = stored.filter("model = 'base'").unionByName(stored.filter("model = 'ft'"))
+    items = {b: spark.createDataFrame([(b, 1, "q", "5"), (b, 3, "q", "6"), ("other", 2, "q", "7")],
+                                      "benchmark string, item_pos long, question string, reference string")
+             for b in ("gsm8k", "ee_qa")}
+
+    def scored(**how):
+        found = [scoring.score_outputs(
+            outputs if how else outputs.withColumn("benchmark", F.lit(b)), items[b],
+            **{k: b for k in how}) for b in items]
+        return found[0].unionByName(found[1])
+
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    try:
+        once = scored(benchmark=True)
+        assert once.columns == scored().columns
+        got = sorted(map(str, once.collect()))
+        assert len(got) == 4 and got == sorted(map(str, scored().collect()))
+        plan = once._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "ReusedExchange" in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
