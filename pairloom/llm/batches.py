@@ -10,11 +10,14 @@ import pyarrow as pa
 SLICE_ROWS = 50
 # Batches of texts between Spark and its Python workers; both sides hold whole ones.
 BATCH_BYTES = 4 << 20
+# Rows that the Parquet reader decodes at once, each column into one array that doubles as it grows.
+READ_ROWS = 512
 
 
 def small_batches(spark) -> None:
-    """Ask for Arrow batches of at most BATCH_BYTES in what follows."""
+    """Ask for Arrow batches of at most BATCH_BYTES and for READ_ROWS rows a read in what follows."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(READ_ROWS))
 
 
 def id_lists(packed: list[bytes]) -> pa.ListArray:

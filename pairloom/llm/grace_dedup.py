@@ -17,6 +17,7 @@ except the prefix `_dedup_`.
 """
 
 import hashlib
+import itertools
 import os
 import tempfile
 
@@ -34,6 +35,7 @@ from pairloom.session import materialize
 LOCAL_BYTES = 48 << 20
 TABLE_BYTES = 96 << 20
 FANOUT = 8
+BATCH_ROWS = 1000
 
 _BLANKS = b" \t\n\x0b\x0c\r"
 _ROW, _CHARS, _DIGEST, _ROWS = "_dedup_row", "_dedup_chars", "_dedup_digest", "_dedup_rows"
@@ -50,37 +52,41 @@ def normalised(text: bytes | None) -> bytes:
 
 
 class ContentTable:
-    """Open addressing with linear probing; equal means equal in every byte."""
+    """Open addressing with linear probing; equal means equal in every byte.
 
-    def __init__(self, budget: int):
-        self.budget = budget
+    Contents stay in the rows that the table would keep: `content_at` gives that of a row,
+    by the last two entries of its order.
+    """
+
+    def __init__(self, budget: int, content_at):
+        self.budget, self.content_at = budget, content_at
         self.clear()
 
     def clear(self):
         self.slots = [-1] * 1024
-        self.digests, self.contents = [], []
-        self.best, self.rows, self.held = [], [], 0
+        self.digests, self.best, self.rows, self.held = [], [], [], 0
 
-    def _slot(self, digest: bytes, content: bytes) -> int:
+    def _slot(self, digest: bytes, same) -> int:
         mask = len(self.slots) - 1
         at = int.from_bytes(digest[:8], "little") & mask
-        while (entry := self.slots[at]) >= 0:
-            if self.digests[entry] == digest and self.contents[entry] == content:
-                return at
+        while (entry := self.slots[at]) >= 0 and not same(entry):
             at = (at + 1) & mask
         return at
 
     def _grow(self):
         self.slots = [-1] * (2 * len(self.slots))
-        for entry, (digest, content) in enumerate(zip(self.digests, self.contents)):
-            self.slots[self._slot(digest, content)] = entry
+        for entry, digest in enumerate(self.digests):
+            self.slots[self._slot(digest, lambda _: False)] = entry
 
     def add(self, digest: bytes, content: bytes, order: tuple, rows: int) -> bool:
         """Count `rows` more of this content; False if it is new and does not fit.
 
         `order` starts with what decides which row stays; the least one is kept.
         """
-        at = self._slot(digest, content)
+        def same(entry):
+            return self.digests[entry] == digest and self.content_at(*self.best[entry][4:]) == content
+
+        at = self._slot(digest, same)
         entry = self.slots[at]
         if entry >= 0:
             self.rows[entry] += rows
@@ -90,7 +96,6 @@ class ContentTable:
             return False
         self.slots[at] = len(self.digests)
         self.digests.append(digest)
-        self.contents.append(content)
         self.best.append(order)
         self.rows.append(rows)
         self.held += len(content) + 200
@@ -99,22 +104,40 @@ class ContentTable:
         return True
 
 
+def _joined(batches, rows=BATCH_ROWS):
+    """Neighbouring batches as one, as long as they have no more than `rows` rows."""
+    some, held = [], 0
+    for batch in batches:
+        if some and held + batch.num_rows > rows:
+            yield from pa.Table.from_batches(some).combine_chunks().to_batches()
+            some, held = [], 0
+        some.append(batch)
+        held += batch.num_rows
+    if some:
+        yield from pa.Table.from_batches(some).combine_chunks().to_batches()
+
+
 class _Winners:
     """A content table with the batches that hold the rows it would keep."""
 
-    def __init__(self, budget: int):
-        self.table = ContentTable(budget)
+    def __init__(self, budget: int, text_col: str):
+        self.table = ContentTable(budget, self._content)
+        self.text_col = text_col
         self.batches: list[pa.RecordBatch] = []
 
-    def add(self, batch: pa.RecordBatch, id_col: str, text_col: str):
+    def _content(self, batch: int, row: int) -> bytes:
+        text = self.batches[batch].column(self.text_col)[row].as_buffer()
+        return normalised(text and text.to_pybytes())
+
+    def add(self, batch: pa.RecordBatch, id_col: str):
         """Row numbers of the batch whose contents did not fit."""
         left, held = [], len(self.batches)
         self.batches.append(batch)
-        texts = batch.column(text_col).cast(pa.binary()).to_pylist()
+        texts = batch.column(self.text_col).cast(pa.binary())
         columns = [batch.column(c).to_pylist() for c in (_DIGEST, _CHARS, id_col, _ROW, _ROWS)]
         for i, (text, digest, chars, key, row, rows) in enumerate(zip(texts, *columns)):
             order = (-chars, key is None, key or 0, row, held, i)
-            if not self.table.add(digest, normalised(text), order, rows):
+            if not self.table.add(digest, normalised(text.as_py()), order, rows):
                 left.append(i)
         self._compact()
         return left
@@ -123,40 +146,45 @@ class _Winners:
         # Batches hold rows that lost meanwhile; keep only the rows still needed.
         total = sum(b.num_rows for b in self.batches)
         if len(self.batches) > 1 and total > 2 * len(self.table.best) + 1000:
-            rows = self._rows()
-            self.batches = rows.combine_chunks().to_batches() or []
-            places = [(b, i) for b, x in enumerate(self.batches) for i in range(x.num_rows)]
-            self.table.best = [(*o[:4], *at) for o, at in zip(self.table.best, places)]
-
-    def _rows(self) -> pa.Table:
-        starts, total = [], 0
-        for batch in self.batches:
-            starts.append(total)
-            total += batch.num_rows
-        take = pa.array([starts[o[4]] + o[5] for o in self.table.best], pa.int64())
-        return pa.Table.from_batches(self.batches).take(take)
+            entries = self._by_place()
+            self.batches = list(_joined(self._taken(entries)))
+            places = ((b, i) for b, x in enumerate(self.batches) for i in range(x.num_rows))
+            for entry, place in zip(entries, places):
+                self.table.best[entry] = (*self.table.best[entry][:4], *place)
+
+    def _by_place(self):
+        best = self.table.best
+        return sorted(range(len(best)), key=lambda entry: best[entry][4:])
+
+    def _taken(self, entries):
+        """The rows of these entries, which are in the order of their places; batches go on the way."""
+        for at, group in itertools.groupby(entries, lambda entry: self.table.best[entry][4]):
+            rows = pa.array([self.table.best[entry][5] for entry in group], pa.int64())
+            yield self.batches[at].take(rows)
+            self.batches[at] = None
 
     def flush(self):
         """The best row of each content, with the number of rows it stands for."""
-        if self.table.best:
-            rows = self._rows()
+        entries, done = self._by_place(), 0
+        for rows in _joined(self._taken(entries)):
+            counts = [self.table.rows[entry] for entry in entries[done : done + rows.num_rows]]
+            done += rows.num_rows
             at = rows.schema.get_field_index(_ROWS)
-            rows = rows.set_column(at, _ROWS, pa.array(self.table.rows, pa.int64()))
-            yield from rows.combine_chunks().to_batches(max_chunksize=1000)
+            yield rows.set_column(at, _ROWS, pa.array(counts, pa.int64()))
         self.table.clear()
         self.batches = []
 
 
 def _collapse(batches, id_col, text_col, budget):
     """All rows without their other columns, and the best rows of what a task saw."""
-    winners = _Winners(budget)
+    winners = _Winners(budget, text_col)
     base = TaskContext.get().partitionId() << 40
     for batch in batches:
-        for start in range(0, batch.num_rows, 1000):
-            part = batch.slice(start, 1000)
+        for start in range(0, batch.num_rows, BATCH_ROWS):
+            part = batch.slice(start, BATCH_ROWS)
             size = part.num_rows
-            texts = part.column(text_col).cast(pa.binary()).to_pylist()
-            digests = [hashlib.sha256(normalised(t)).digest() for t in texts]
+            texts = part.column(text_col).cast(pa.binary())
+            digests = [hashlib.sha256(normalised(t.as_py())).digest() for t in texts]
             chars = pc.fill_null(pc.utf8_length(part.column(text_col)), 0).cast(pa.int64())
             added = [
                 pa.array(range(base, base + size), pa.int64()), chars,
@@ -169,13 +197,13 @@ def _collapse(batches, id_col, text_col, budget):
                     for n, c in zip(part.schema.names, part.columns)]
             added[3] = pa.nulls(size, pa.int64())
             yield pa.RecordBatch.from_arrays([*bare, *added], names=names)
-            left = winners.add(full, id_col, text_col)
+            left = winners.add(full, id_col)
             if left:
                 yield from winners.flush()
                 # An empty table takes any content, so each turn gets further.
                 while left:
                     full = full.take(pa.array(left))
-                    left = winners.add(full, id_col, text_col)
+                    left = winners.add(full, id_col)
                     if left:
                         yield from winners.flush()
     yield from winners.flush()
@@ -187,13 +215,13 @@ def _spill_name(folder, level, part):
 
 def _grace(batches, id_col, text_col, budget, level=0):
     """One row per content; contents that do not fit go through spill files."""
-    winners = _Winners(budget)
+    winners = _Winners(budget, text_col)
     with tempfile.TemporaryDirectory(prefix="dedup-") as folder:
         writers = {}
         for whole in batches:
-            for start in range(0, whole.num_rows, 1000):
-                batch = whole.slice(start, 1000)
-                left = winners.add(batch, id_col, text_col)
+            for start in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(start, BATCH_ROWS)
+                left = winners.add(batch, id_col)
                 if not left:
                     continue
                 digests = batch.column(_DIGEST)

@@ -55,6 +55,8 @@ LOOSER = 0.05
 # A pair meets in many tiles; a task drops its copies among this many pairs.
 PAIRS_HELD = 500_000
 _CHUNK = 1 << 16
+# Bytes of text hashed at once; arrays of a chunk take some fifty times as much.
+TEXT_BYTES = 1 << 18
 _FACTORS = words.numbers(64, 2)  # shingles have at most 64 words
 _LENGTHS = words.numbers(64, 3)
 
@@ -136,7 +138,7 @@ def needed(n_a, n_b, percent):
 def _set_rows(batches, size):
     for batch in batches:
         ids, keys = batch.column(0), batch.column(1)
-        for rows, data, bounds in words.chunks(batch.column(2)):
+        for rows, data, bounds in words.chunks(batch.column(2), TEXT_BYTES):
             sets = list(shingle_sets(data, bounds, size))
             nodes = [int(words.mix(s).sum(dtype=np.uint64)) for s in sets]
             yield pa.RecordBatch.from_arrays([

@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,6 +51,33 @@ def test_large_group_leaves_a_task_as_one_row(spark):
     assert grace_dedup.copy_groups(docs, hot_rows=100).filter("kept").collect()[0].group_size == 5000
 
 
+def test_contents_are_held_once_while_copies_are_told_apart():
+    names = ["doc_id", "text", grace_dedup._ROW, grace_dedup._CHARS, grace_dedup._DIGEST, grace_dedup._ROWS]
+
+    def batches():
+        # Three copies of each content, the last one the longest, as blanks count.
+        for copy in range(3):
+            for first in range(0, 3000, 100):
+                ids = range(first, first + 100)
+                texts = [f"{i} " * 2000 + " " * copy for i in ids]
+                digests = [(b"%08d" % (i // 2))[::-1] * 4 for i in ids]  # equal ones for two contents each
+                rows = [3000 * copy + i for i in ids]
+                columns = [rows, texts, rows, list(map(len, texts)), digests, [1] * 100]
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), names=names)
+
+    size = sum(len(f"{i}" * 2000) for i in range(3000))
+    next(batches())  # imports what Arrow needs
+    tracemalloc.start()
+    try:
+        found = [(r["doc_id"], r[grace_dedup._ROWS]) for batch in grace_dedup._grace(batches(), "doc_id", "text", 1 << 26)
+                 for r in batch.select(["doc_id", grace_dedup._ROWS]).to_pylist()]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sorted(found) == [(6000 + i, 3) for i in range(3000)]
+    assert peak < size / 2
+
+
 def test_dedup_of_an_empty_table(spark):
     docs = spark.createDataFrame([], DOCS)
     assert grace_dedup.copy_groups(docs).count() == 0

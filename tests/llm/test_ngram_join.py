@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -114,6 +115,18 @@ def test_bounds_never_fall_below_the_overlap():
         assert (ngram_join.unpack(ngram_join.pack(a)) == a >> np.uint64(16)).all()
 
 
+def test_sets_of_a_batch_are_made_in_small_chunks():
+    texts = [f"{i} word of a text " * 300 for i in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300)), pa.array([0] * 300), pa.array(texts)], names=["id", "key", "text"])
+    tracemalloc.start()
+    try:
+        assert sum(made.num_rows for made in ngram_join._set_rows([batch], 5)) == 300
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 20 << 20
+
+
 def test_words_of_chunks():
     texts = ["a  b", "", " ", None, "É x\ty", "A b", "long " * 50, "a\x0bb\x0cc d"]
     seen = {}
